@@ -18,13 +18,29 @@ from ledgerline.operators.scale import checked_broadcast, fits
 PART_ROWS = 50_000
 
 
-def large_keys(children: list[DataFrame], key: str, part_rows: int) -> DataFrame:
+def large_keys(children: list[DataFrame], keys: list[str], part_rows: int) -> DataFrame:
     """Keys that need several parts, with their number of parts."""
     counts = reduce(
         DataFrame.unionByName,
-        [c.groupBy(key).count().where(F.col("count") > part_rows) for c in children],
+        [c.groupBy(*keys).count().where(F.col("count") > part_rows) for c in children],
+    )
+    return counts.groupBy(*keys).agg(F.max(F.ceil(F.col("count") / F.lit(part_rows))).cast("int").alias("parts"))
+
+
+def lists(
+    rows: DataFrame, keys: list[str], fields: list[str], name: str, order: str = "pos", part_rows: int = PART_ROWS
+) -> DataFrame:
+    """Rows of each key as one ordered array of structs, in parts when there are very many."""
+    large = large_keys([rows], keys, part_rows)
+    if fits(large, 0):
+        marked = rows.withColumn("part", F.lit(0))
+    else:
+        part = F.coalesce(F.pmod(F.xxhash64(order), "parts").cast("int"), F.lit(0))
+        marked = rows.join(checked_broadcast(large), keys, "left").withColumn("part", part)
+    item = F.struct(F.col(order).alias("at"), F.struct(*fields).alias("item"))
+    return marked.groupBy(*keys, "part").agg(
+        F.transform(F.array_sort(F.collect_list(item)), lambda x: x["item"]).alias(name)
     )
-    return counts.groupBy(key).agg(F.max(F.ceil(F.col("count") / F.lit(part_rows))).cast("int").alias("parts"))
 
 
 def fold(
@@ -35,7 +51,7 @@ def fold(
     part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """``parent`` with one array of structs per child, ordered by ``order``; none gives an empty array."""
-    large = large_keys([c for c, _ in children.values()], key, part_rows)
+    large = large_keys([c for c, _ in children.values()], [key], part_rows)
     split = not fits(large, 0)
     if split:
         large = checked_broadcast(large)

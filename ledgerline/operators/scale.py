@@ -41,7 +41,16 @@ def lookup(
     """Join many facts to a table with one row per key (inner, left, left_semi, left_anti), safe under skew."""
     if fits(dim, bound):
         return facts.join(F.broadcast(dim), keys, how)
-    hot = heavy_keys(facts.where(F.col(keys[0]).isNotNull()), keys, heavy).select(*keys)
+    if how == "left" and len(keys) == 1:
+        # rows without a key would all meet in one task; they match nothing
+        keyed = facts.where(F.col(keys[0]).isNotNull())
+        blank = facts.where(F.col(keys[0]).isNull())
+        return _by_weight(keyed, dim, keys, how, heavy, bound).unionByName(blank, allowMissingColumns=True)
+    return _by_weight(facts, dim, keys, how, heavy, bound)
+
+
+def _by_weight(facts: DataFrame, dim: DataFrame, keys: list[str], how: str, heavy: int, bound: int) -> DataFrame:
+    hot = heavy_keys(facts, keys, heavy).select(*keys)
     if fits(hot, 0) or not fits(hot, bound):
         return facts.join(dim, keys, how)
     hot = F.broadcast(hot)

@@ -1,5 +1,6 @@
 """Registered queries and their SQL twins."""
 
 from ledgerline.registry.book import ORACLES, QUERIES
+from ledgerline.registry import q_finance  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]
