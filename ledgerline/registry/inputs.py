@@ -66,7 +66,7 @@ SELECT {_num('o_custkey')} AS num,
             ELSE CAST(70000 + l_partkey % 1000 AS STRING) END AS nace_code,
        CASE WHEN l_returnflag = 'R' AND l_suppkey % 9 = 0 THEN 'MAIN ' WHEN l_returnflag = 'R' THEN 'MAIN'
             WHEN l_partkey % 50 = 7 THEN NULL ELSE 'SECO' END AS classification,
-       l_linestatus AS activity_group, @row(l_orderkey, l_linenumber, l_partkey, l_suppkey) AS pos
+       l_linestatus AS activity_group, @row(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linestatus, l_returnflag) AS pos
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "fx_contact": f"""
 SELECT {_num('c_custkey')} AS num,
@@ -127,7 +127,7 @@ SELECT {_num('o_custkey')} AS num, {REFERENCE} AS reference,
             WHEN l_partkey % 23 = 0 THEN '-' || CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING)
             WHEN l_partkey % 37 = 0 AND l_linenumber = 1 THEN '0'
             ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING) END AS val,
-       @row(l_linenumber, l_partkey, l_suppkey) AS pos
+       @row(l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) AS pos
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "fx_account": f"""
 SELECT o_orderkey AS deposit_id, CASE WHEN o_orderkey % 53 = 0 THEN NULL ELSE {_num('o_custkey')} END AS num,
