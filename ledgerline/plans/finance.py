@@ -164,26 +164,28 @@ def eligible(accounts: DataFrame) -> DataFrame:
     return accounts.where(~F.coalesce(F.col("migration"), F.lit(False)) & (F.trim("raw_csv") != ""))
 
 
-def last_entry(entries: Column, code: str) -> Column:
-    return F.try_element_at(F.filter(entries, lambda e: e["code"] == code), F.lit(-1))
+def last_csv_value(raw: Column, code: str) -> Column:
+    """Value on the last line of ``code`` after the first line; NULL when absent or empty.
+
+    One compiled pattern per code over the text: no array is built and codegen is kept.
+    """
+    pattern = rf'(?s)^[^\n]*\n(?:.*\n)?[ \t]*"?\Q{code}\E"?[ \t]*,[ \t]*"?([^"\n]*)'
+    return none_if_empty(F.trim(F.regexp_extract(raw, pattern, 1)))
 
 
 def code_table(accounts: DataFrame, keys: list[str]) -> DataFrame:
     """Last amount per code of each filing, no shuffle; a filing with an unreadable used code is left out."""
     used = KPI_CODES + ["670/3"]
-    entries = accounts.select(*keys, csv_entries(F.col("raw_csv")).alias("entries"))
-    last = entries.select(
-        *keys,
-        *[
-            last_entry(F.col("entries"), c).alias(c) for c in [*used, ENTITY_NAME, PERIOD_END]
-        ],
-    )
+    raw = F.col("raw_csv")
+    wanted = F.struct(*[last_csv_value(raw, c).alias(c) for c in [*used, ENTITY_NAME, PERIOD_END]])
+    # the one-element explode keeps the filter below from matching every pattern a second time
+    values = accounts.select(*keys, F.explode(F.array(wanted)).alias("v")).select(*keys, "v.*")
     broken = F.lit(False)
     for c in KPI_CODES:
-        broken = broken | _amount(c)["val"].isNotNull() & _amount(c)["amount"].isNull()
-    return last.where(~broken).select(
-        *keys, *[_amount(c)["amount"].alias(c) for c in used], _amount(ENTITY_NAME)["val"].alias("entity"),
-        _amount(PERIOD_END)["val"].alias("period_end"),
+        broken = broken | (_amount(c).isNotNull() & parse_float(_amount(c)).isNull())
+    return values.where(~broken).select(
+        *keys, *[parse_float(_amount(c)).alias(c) for c in used], _amount(ENTITY_NAME).alias("entity"),
+        _amount(PERIOD_END).alias("period_end"),
     )
 
 
