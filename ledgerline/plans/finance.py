@@ -134,23 +134,15 @@ def chosen_year(yearly: DataFrame, year: str) -> DataFrame:
 # --- filing indicators -------------------------------------------------------
 
 
-def csv_entries(raw: Column) -> Column:
-    """Code, value and amount of every line of a CSV text after its first line; stays inside the row."""
-    lines = F.filter(F.split(raw, "\n"), lambda line, i: (i > 0) & (F.trim(line) != ""))
-
-    def entry(line: Column) -> Column:
-        value = none_if_empty(F.regexp_extract(line, CSV_PATTERN, 2))
-        code = F.trim(F.regexp_extract(line, CSV_PATTERN, 1))
-        return F.struct(code.alias("code"), value.alias("val"), parse_float(value).alias("amount"))
-
-    return F.transform(lines, entry)
-
-
 def csv_codes(accounts: DataFrame, keys: list[str]) -> DataFrame:
-    """The entries of each filing, one row per line."""
-    return accounts.select(*keys, F.posexplode(csv_entries(F.col("raw_csv"))).alias("line_no", "e")).select(
-        *keys, "line_no", "e.*"
+    """Code, value and amount of every line of a filing's CSV text after its first line."""
+    lines = accounts.select(*keys, F.posexplode(F.split("raw_csv", "\n")).alias("line_no", "line"))
+    lines = lines.where((F.col("line_no") > 0) & (F.trim("line") != ""))
+    value = none_if_empty(F.regexp_extract("line", CSV_PATTERN, 2))
+    cells = lines.select(
+        *keys, "line_no", F.trim(F.regexp_extract("line", CSV_PATTERN, 1)).alias("code"), value.alias("val")
     )
+    return cells.withColumn("amount", parse_float(F.col("val")))
 
 
 def parse_float(text: Column) -> Column:

@@ -328,7 +328,7 @@ def mth04(d):
     return f.select("num", "reference", F.round(gross, 2).alias("marge_brute"), F.round(charges, 2).alias("charges"))
 
 
-@query("src17_csv_codes", f"WITH {ACCOUNT_CODES} SELECT deposit_id, CAST(line_no - 2 AS INT) AS line_no, code, val, amount FROM amounts")
+@query("src17_csv_codes", f"WITH {ACCOUNT_CODES} SELECT deposit_id, CAST(line_no - 1 AS INT) AS line_no, code, val, amount FROM amounts")
 def src17(d):
     return fin.csv_codes(fin.eligible(d.fx_account), ["deposit_id"])
 
