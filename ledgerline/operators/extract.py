@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.constants import (
@@ -29,7 +29,7 @@ def label_values(rows: DataFrame) -> DataFrame:
         lambda c, i: F.struct(c["text"].alias("label"), F.get(F.col("tds"), i + 1)["text"].alias("val"), c["cls"].alias("cls"), i.alias("at")),
     )
     marked = F.filter(next_td, lambda p: F.array_contains(F.split(p["cls"], r"\s+"), "QL"))
-    rest = F.array_join(F.transform(F.slice("tds", 2, 10_000), lambda c: c["text"]), " ")
+    rest = F.array_join(F.transform(F.slice("tds", F.lit(2), F.size("tds")), lambda c: c["text"]), " ")
     whole = F.when(
         F.size("tds") >= 2,
         F.array(F.struct(F.get("tds", F.lit(0))["text"].alias("label"), rest.alias("val"), F.lit("").alias("cls"), F.lit(0).alias("at"))),
@@ -61,8 +61,6 @@ def with_section(rows: DataFrame) -> DataFrame:
 
     The window covers the rows of one page only.
     """
-    from pyspark.sql import Window
-
     first = F.get("cells", F.lit(0))
     header = F.array_contains(F.split(first["cls"], r"\s+"), "I")
     w = Window.partitionBy("num", "page").orderBy("row_no").rowsBetween(Window.unboundedPreceding, 0)

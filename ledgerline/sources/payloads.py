@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEPOSIT_PAGE = (
-    "content array<struct<id: bigint, enterpriseNumber: string, reference: string, periodEndDateYear: int, depositDate: string, "
-    "language: string, modelCode: string, migration: boolean>>, totalElements: int, totalPages: int"
+    "struct<content: array<struct<id: bigint, enterpriseNumber: string, reference: string, periodEndDateYear: int, depositDate: string, "
+    "language: string, modelCode: string, migration: boolean>>, totalElements: int, totalPages: int>"
 )
 STATUTE_PAGE = (
-    "statutes array<struct<documentId: bigint, deedDate: string, documentStatus: string, documentTitle: string>>, totalItems: bigint"
+    "struct<statutes: array<struct<documentId: bigint, deedDate: string, documentStatus: string, documentTitle: string>>, totalItems: bigint>"
 )
 
 

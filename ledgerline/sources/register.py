@@ -32,8 +32,8 @@ def line_position() -> Column:
 def read_snapshot_date(spark: SparkSession, folder: str) -> str | None:
     """``SnapshotDate`` of the key/value file (last one wins); None when the file is unreadable."""
     try:
-        meta = read_raw_csv(spark, f"{folder}/{META_FILE}").where(F.col("Variable") == "SnapshotDate")
-        row = meta.agg(F.max_by("Value", F.monotonically_increasing_id()).alias("v")).first()
+        meta = read_raw_csv(spark, f"{folder}/{META_FILE}").withColumn("at", F.monotonically_increasing_id())
+        row = meta.where(F.col("Variable") == "SnapshotDate").agg(F.max_by("Value", "at").alias("v")).first()
         return row["v"]
     except (AnalysisException, PySparkException):
         return None

@@ -7,14 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.merge import read_version, replace_rows, set_columns, write_version
+from ledgerline.operators.merge import read_version, set_columns, write_version
 from ledgerline.plans.finance import gold, yearly_metrics
 
 
 def stateful_upsert(
-    stream: DataFrame, root: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame], keys: list[str]
+    stream: DataFrame, root: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame],
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> int:
-    """Upsert every micro-batch into the state under ``root``; returns the last version.
+    """Merge every micro-batch into the state under ``root``; returns the last version, -1 when nothing was new.
 
     Version N is derived from version N-1 and batch N, so a batch repeated after a crash
     writes the same version again.
@@ -24,7 +25,7 @@ def stateful_upsert(
     def upsert(batch: DataFrame, batch_id: int) -> None:
         new = prepare(batch)
         if batch_id > 0:
-            new = replace_rows(read_version(batch.sparkSession, root, batch_id - 1), new, keys)
+            new = merge(read_version(batch.sparkSession, root, batch_id - 1), new)
         write_version(new, root, batch_id)
         seen["version"] = batch_id
 
