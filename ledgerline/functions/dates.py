@@ -32,6 +32,17 @@ def fiscal_year(period_end: Column, reference: Column) -> Column:
     return F.when(found != "", found).when(head.rlike(f"^{YEAR_PATTERN}$"), head).otherwise(F.lit("?"))
 
 
+def year_number(period_end: Column) -> Column:
+    """Year inside the period-end value as a number, 0 when it has none, NULL for NULL."""
+    found = F.regexp_extract(period_end, YEAR_PATTERN, 0)
+    return F.when(period_end.isNotNull(), F.coalesce(found.try_cast("double"), F.lit(0.0)))
+
+
+def fiscal_year_of(number: Column, reference: Column) -> Column:
+    """The fiscal year from :func:`year_number`."""
+    return fiscal_year(F.when(number > 0, number.cast("int").cast("string")), reference)
+
+
 def filing_year(reference: Column, deposit_date: Column, period_year: Column) -> Column:
     """Four digits leading the reference, else the deposit date, else the period year."""
     head = reference_head(reference)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.keys import company_number
 from ledgerline.functions.text import none_if_empty
+from ledgerline.operators.picks import display_names
 from ledgerline.operators.scale import BROADCAST_ROWS, fits, lookup
 
 LANGUAGES = ["FR", "NL"]
@@ -29,14 +30,14 @@ def raw_code_labels(codes: DataFrame) -> DataFrame:
 class Decoder:
     """Joins labels to code columns; the dictionary's size is checked once."""
 
-    def __init__(self, labels: DataFrame):
-        self.labels = labels
-        self.small = fits(labels, BROADCAST_ROWS)
+    def __init__(self, codes: DataFrame, labels: DataFrame):
+        self.codes, self.labels = codes, labels
+        self.small = fits(codes, BROADCAST_ROWS)
 
     def _join(self, facts: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
         if self.small:
             return facts.join(F.broadcast(dim), keys, "left")
-        return lookup(facts, dim, keys)
+        return lookup(facts, dim, keys, size_of=self.codes)
 
     def both(self, facts: DataFrame, category: Column, code: str, prefix: str) -> DataFrame:
         """Adds ``<prefix>_fr`` and ``<prefix>_nl``."""
@@ -67,19 +68,20 @@ def nace_category(version: str = "nace_version") -> Column:
 
 def decode_activities(activities: DataFrame, codes: DataFrame) -> DataFrame:
     """Activities with French and Dutch labels of group, classification and code."""
-    decoder = Decoder(raw_code_labels(codes))
+    decoder = Decoder(codes, raw_code_labels(codes))
     out = decoder.both(activities, F.lit("ActivityGroup"), "activity_group", "group")
     out = decoder.both(out, F.lit("Classification"), "classification", "classification")
     return decoder.both(out, nace_category(), "nace_code", "nace")
 
 
-def resolve_officers(officers: DataFrame, names: DataFrame) -> DataFrame:
+def resolve_officers(officers: DataFrame, denominations: DataFrame) -> DataFrame:
     """Officers that are companies get the company's name, its number and a flag; others stay as they are.
 
     One company may hold a large share of all offices: the join is safe under skew.
     """
     marked = officers.withColumn("ref_bce", company_number(F.col("nom")))
-    resolved = lookup(marked, names.select(F.col("num").alias("ref_bce"), F.col("denomination").alias("company")), ["ref_bce"])
+    names = display_names(denominations).select(F.col("num").alias("ref_bce"), F.col("denomination").alias("company"))
+    resolved = lookup(marked, names, ["ref_bce"], size_of=denominations)
     return resolved.select(
         *[c for c in officers.columns if c != "nom"], F.coalesce("company", "nom").alias("nom"), "ref_bce",
         F.col("ref_bce").isNotNull().alias("is_company"),
@@ -88,7 +90,8 @@ def resolve_officers(officers: DataFrame, names: DataFrame) -> DataFrame:
 
 def flag_present(rows: DataFrame, keys: DataFrame, flag: str, key: str = "num") -> DataFrame:
     """Adds a membership flag."""
-    return lookup(rows, keys.select(key, F.lit(True).alias(flag)).distinct(), [key]).withColumn(flag, F.coalesce(flag, F.lit(False)))
+    marks = keys.select(key, F.lit(True).alias(flag)).distinct()
+    return lookup(rows, marks, [key], size_of=keys).withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
 def document_list(catalogue: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -105,5 +108,5 @@ def document_list(catalogue: DataFrame, accounts: DataFrame) -> DataFrame:
         F.concat(F.lit("/"), "num", F.lit("/hbb/"), "reference", F.lit(".csv")).alias("path"), F.col("reference").alias("label"),
     )
     once = files.groupBy("path").agg(F.min(F.struct(*[c for c in files.columns if c != "path"])).alias("f")).select("path", "f.*")
-    fresh = once.join(catalogue.select("path").distinct(), "path", "left_anti")
+    fresh = once.join(catalogue.select("path"), "path", "left_anti")
     return listed.unionByName(fresh)

@@ -45,13 +45,17 @@ def lists(
 
 def fold(
     parent: DataFrame,
-    children: dict[str, tuple[DataFrame, list[str]]],
+    children: dict[str, tuple],
     key: str = "num",
     order: str = "pos",
     part_rows: int = PART_ROWS,
 ) -> DataFrame:
-    """``parent`` with one array of structs per child, ordered by ``order``; none gives an empty array."""
-    large = large_keys([c for c, _ in children.values()], [key], part_rows)
+    """``parent`` with one array of structs per child, ordered by ``order``; none gives an empty array.
+
+    A child is ``(rows, fields)`` or ``(rows, fields, counted)``, where ``counted`` has the same keys
+    as ``rows`` but is cheaper to count.
+    """
+    large = large_keys([c[-1] if len(c) == 3 else c[0] for c in children.values()], [key], part_rows)
     split = not fits(large, 0)
     if split:
         large = checked_broadcast(large)
@@ -66,7 +70,7 @@ def fold(
         return marked.withColumn("part", F.coalesce(F.pmod(F.xxhash64(*spread), "parts").cast("int"), F.lit(0))).drop("parts")
 
     pieces = [with_part(parent).select(key, "part", F.struct(*[c for c in parent.columns if c != key]).alias("parent"))]
-    for name, (child, fields) in children.items():
+    for name, (child, fields, *_) in children.items():
         item = F.struct(F.col(order).alias("at"), F.struct(*fields).alias("item"))
         pieces.append(with_part(child, order).select(key, "part", item.alias(name)))
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces)

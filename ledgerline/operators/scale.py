@@ -1,9 +1,9 @@
 """Size checks and skew handling shared by the joins.
 
-A side is broadcast only after a row-count check. Beyond it, keys that hold very
-many rows are joined apart: there can be at most ``rows / threshold`` of them, and
-the looked-up side has one row per key, so their part is small enough to broadcast
-(checked again); all other keys take the ordinary shuffled join.
+A side is broadcast only after a row-count check. Beyond it, the keys that hold very
+many rows are joined apart: at most ``MAX_HEAVY`` of them, and the looked-up side has
+one row per key, so their part of it is small enough to broadcast. All other keys take
+the ordinary shuffled join, which adaptive execution can still split.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
 HEAVY_ROWS = 1_000_000
+MAX_HEAVY = 10_000
 
 
 def fits(df: DataFrame, rows: int) -> bool:
@@ -25,9 +26,14 @@ def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if fits(df, rows) else df
 
 
-def heavy_keys(df: DataFrame, keys: list[str], rows: int = HEAVY_ROWS) -> DataFrame:
-    """Keys holding more than ``rows`` rows (counts combine map-side, so skew costs nothing)."""
-    return df.groupBy(*keys).count().where(F.col("count") > rows)
+def heavy_keys(df: DataFrame, keys: list[str], rows: int = HEAVY_ROWS, limit: int = MAX_HEAVY) -> DataFrame:
+    """The heaviest keys with more than ``rows`` rows (counts combine map-side, so skew costs nothing).
+
+    The result is a small local table: the count runs once.
+    """
+    counted = df.groupBy(*keys).agg(F.count("*").alias("key_rows")).where(F.col("key_rows") > rows)
+    found = counted.orderBy(F.desc("key_rows")).limit(limit).select(*keys)
+    return df.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
 def lookup(
@@ -35,26 +41,33 @@ def lookup(
     dim: DataFrame,
     keys: list[str],
     how: str = "left",
+    size_of: DataFrame | None = None,
     heavy: int = HEAVY_ROWS,
     bound: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join many facts to a table with one row per key (inner, left, left_semi, left_anti), safe under skew."""
-    if fits(dim, bound):
+    """Join many facts to a table with one row per key (for semi and anti joins: any rows), safe under skew.
+
+    ``size_of`` is a cheaper table known to have at least as many rows as ``dim``, such as
+    the one it is aggregated from; the size check then stops at the bound.
+    """
+    if fits(dim if size_of is None else size_of, bound):
         return facts.join(F.broadcast(dim), keys, how)
     if how == "left" and len(keys) == 1:
         # rows without a key would all meet in one task; they match nothing
         keyed = facts.where(F.col(keys[0]).isNotNull())
         blank = facts.where(F.col(keys[0]).isNull())
-        return _by_weight(keyed, dim, keys, how, heavy, bound).unionByName(blank, allowMissingColumns=True)
-    return _by_weight(facts, dim, keys, how, heavy, bound)
+        return _by_weight(keyed, dim, keys, how, heavy).unionByName(blank, allowMissingColumns=True)
+    return _by_weight(facts, dim, keys, how, heavy)
 
 
-def _by_weight(facts: DataFrame, dim: DataFrame, keys: list[str], how: str, heavy: int, bound: int) -> DataFrame:
-    hot = heavy_keys(facts, keys, heavy).select(*keys)
-    if fits(hot, 0) or not fits(hot, bound):
+def _by_weight(facts: DataFrame, dim: DataFrame, keys: list[str], how: str, heavy: int) -> DataFrame:
+    hot = heavy_keys(facts, keys, heavy)
+    if fits(hot, 0):
         return facts.join(dim, keys, how)
     hot = F.broadcast(hot)
-    hot_dim = F.broadcast(dim.join(hot, keys, "left_semi"))
-    apart = facts.join(hot, keys, "left_semi").join(hot_dim, keys, how)
+    hot_dim = dim.join(hot, keys, "left_semi")
+    if how in ("left_semi", "left_anti"):
+        hot_dim = hot_dim.select(*keys).distinct()
+    apart = facts.join(hot, keys, "left_semi").join(F.broadcast(hot_dim), keys, how)
     rest = facts.join(hot, keys, "left_anti").join(dim, keys, how)
     return apart.unionByName(rest)

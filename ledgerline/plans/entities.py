@@ -32,7 +32,7 @@ def rich(
     return fold(
         enterprises,
         {
-            "activites": (decode_activities(activities, codes), ACTIVITY + LABELS),
+            "activites": (decode_activities(activities, codes), ACTIVITY + LABELS, activities),
             "adresses": (addresses, ADDRESS),
             "succursales": (branches.withColumn("pos", F.col("branch_id")), ["branch_id", "branch_name"]),
             "contacts": (contacts, ["contact_type", "value"]),
@@ -107,7 +107,7 @@ def translated(
     lang: str = "FR",
 ) -> DataFrame:
     """One readable row per enterprise in French or Dutch."""
-    decoder = Decoder(code_labels(codes))
+    decoder = Decoder(codes, code_labels(codes))
     seat = picks.seat_addresses(addresses).drop("later")
     counts = establishments.groupBy("num").agg(F.count("*").alias("nb_etablissements"))
     out = enterprises.join(picks.names_in_language(denominations, lang), "num", "left").join(seat, "num", "left")
@@ -129,7 +129,7 @@ def translated(
 
 def translated_activities(activities: DataFrame, codes: DataFrame, lang: str = "FR") -> DataFrame:
     """Activities with the labels of class, code and group in one language."""
-    decoder = Decoder(code_labels(codes))
+    decoder = Decoder(codes, code_labels(codes))
     out = decoder.label(activities, F.lit("Classification"), "classification", "classe", lang)
     out = decoder.label(out, nace_category(), "nace_code", "description", lang)
     return decoder.label(out, F.lit("ActivityGroup"), "activity_group", "groupe", lang)
@@ -160,7 +160,7 @@ def profiles(
 
 
 def officer_list(officers: DataFrame, denominations: DataFrame) -> DataFrame:
-    return resolve_officers(officers, picks.display_names(denominations))
+    return resolve_officers(officers, denominations)
 
 
 def todo(enterprises: DataFrame, checkpoints: DataFrame, source: str, force: bool = False) -> DataFrame:

@@ -9,7 +9,7 @@ from ledgerline.constants import (
     AMOUNT_CODES, AMOUNT_PATTERN, CHARGES, COST_OF_SALES, CSV_PATTERN, ENTITY_NAME, GROSS, KPI_CODES, LOSS, LOSS_NODES, METRIC_CODES, NET,
     OPERATING_CHARGES, OPERATING_RESULT, PERIOD_END, PRETAX, PROFIT_NODES, REVENUE, SUMMED_CODES, TAX,
 )
-from ledgerline.functions.dates import fiscal_year
+from ledgerline.functions.dates import fiscal_year_of, year_number
 from ledgerline.functions.numbers import first_amount, parse_amount, percent, ratio, sum_or_first, zero_if_null
 from ledgerline.functions.text import none_if_empty
 from ledgerline.operators.picks import last_per_key
@@ -29,7 +29,7 @@ def usable_lines(lines: DataFrame) -> DataFrame:
 
 def of_targets(facts: DataFrame, targets: DataFrame) -> DataFrame:
     """Facts of the listed enterprises only."""
-    return lookup(facts, targets.select("num").distinct(), ["num"], "left_semi")
+    return lookup(facts, targets.select("num"), ["num"], "left_semi")
 
 
 def last_code_values(lines: DataFrame) -> DataFrame:
@@ -38,18 +38,16 @@ def last_code_values(lines: DataFrame) -> DataFrame:
 
 
 def filing_amounts(lines: DataFrame) -> DataFrame:
-    """One row per filing: the last amount per code, and the period end.
+    """One row per filing: the last amount per code, and the year of the period end.
 
-    Amounts are parsed once per line; the last value of each code is an aggregate that
-    combines map-side, so the lines of a large enterprise are never gathered.
+    Every line is parsed once to a number. With a numeric line position all buffers are
+    fixed-width, so this is a hash aggregate that combines map-side: the lines are neither
+    sorted nor gathered, however many a single enterprise has.
     """
-    parsed = lines.withColumn("amount", parse_amount(F.col("val")))
-
-    def last(value: str, code: str) -> Column:
-        return F.max_by(value, F.when(F.col("code") == code, F.col("pos")))
-
+    number = F.when(F.col("code") == PERIOD_END, year_number(F.col("val"))).otherwise(parse_amount(F.col("val")))
+    parsed = lines.withColumn("amount", number)
     return parsed.groupBy("num", "reference").agg(
-        *[last("amount", c).alias(c) for c in AMOUNT_CODES], last("val", PERIOD_END).alias(PERIOD_END)
+        *[F.max_by("amount", F.when(F.col("code") == c, F.col("pos"))).alias(c) for c in AMOUNT_CODES + [PERIOD_END]]
     )
 
 
@@ -82,7 +80,7 @@ def with_metrics(filings: DataFrame) -> DataFrame:
 
 def one_filing_per_year(filings: DataFrame) -> DataFrame:
     """The highest reference of each fiscal year."""
-    dated = filings.withColumn("year", fiscal_year(_amount(PERIOD_END), F.col("reference")))
+    dated = filings.withColumn("year", fiscal_year_of(_amount(PERIOD_END), F.col("reference")))
     return last_per_key(dated, ["num", "year"], "reference")
 
 
@@ -290,15 +288,15 @@ def year_columns(long: DataFrame, years: list[str]) -> DataFrame:
 def code_frequency(lines: DataFrame, filings: int) -> DataFrame:
     """How often each code occurs in the first ``filings`` filings (a bounded sample by key)."""
     sample = lines.select("num", "reference").distinct().orderBy("num", "reference").limit(filings)
-    counted = lookup(lines.select("num", "reference", "code").distinct(), sample, ["num", "reference"], "left_semi")
-    return counted.groupBy("code").count()
+    of_sample = lines.select("num", "reference", "code").join(F.broadcast(sample), ["num", "reference"], "left_semi")
+    return of_sample.distinct().groupBy("code").count()
 
 
 def code_coverage(lines: DataFrame, filings: int = 3000) -> DataFrame:
     """Per metric: the best variant's count and its share of the sampled filings."""
     variants = {**METRIC_CODES, **{k: parts + totals for k, (parts, totals) in SUMMED_CODES.items()}}
     sample = lines.select("num", "reference").distinct().orderBy("num", "reference").limit(filings)
-    of_sample = lookup(lines.select("num", "reference", "code"), sample, ["num", "reference"], "left_semi")
+    of_sample = lines.select("num", "reference", "code").join(F.broadcast(sample), ["num", "reference"], "left_semi")
     present = of_sample.groupBy("num", "reference").agg(
         *[F.bool_or(F.col("code") == c).cast("int").alias(c) for c in sorted({c for v in variants.values() for c in v})]
     )

@@ -127,7 +127,8 @@ SELECT {_num('o_custkey')} AS num, {REFERENCE} AS reference,
             WHEN l_partkey % 23 = 0 THEN '-' || CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING)
             WHEN l_partkey % 37 = 0 AND l_linenumber = 1 THEN '0'
             ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING) END AS val,
-       @row(l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) AS pos
+       l_linenumber * 1000000000000000000 + (l_partkey % 10000000000) * 100000000
+         + CAST(round(l_extendedprice * 100, 0) AS BIGINT) % 100000000 AS pos
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "fx_account": f"""
 SELECT o_orderkey AS deposit_id, CASE WHEN o_orderkey % 53 = 0 THEN NULL ELSE {_num('o_custkey')} END AS num,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import line_code, line_value
-from ledgerline.operators import extract, html, lookups, merge, nest, picks
+from ledgerline.operators import extract, html, lookups, merge, nest
 from ledgerline.registry.book import query
 from ledgerline.registry.inputs import DAY, _dotted, _num
 from ledgerline.session import new_folder
@@ -310,5 +310,5 @@ def htm14(d):
 SELECT {_num(C)} AS num, 10 AS row_no, coalesce(n.name, {_dotted('c_nationkey * 3')}) AS nom, {_num('c_nationkey * 3')} AS ref_bce, true AS is_company FROM customer LEFT JOIN n ON n.num = {_num('c_nationkey * 3')}
 UNION ALL SELECT {_num(C)}, 11, 'Dupont , ' || c_mktsegment, NULL, false FROM customer""")
 def jn12(d):
-    resolved = lookups.resolve_officers(extract.officers(sections(d)), picks.display_names(d.fx_denomination))
+    resolved = lookups.resolve_officers(extract.officers(sections(d)), d.fx_denomination)
     return resolved.select("num", "row_no", "nom", "ref_bce", "is_company")

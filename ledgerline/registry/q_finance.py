@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerline.functions.dates import fiscal_year
 from ledgerline.functions.numbers import parse_amount, percent, ratio, sum_or_first, zero_if_null
 from ledgerline.operators import picks
 from ledgerline.plans import finance as fin
@@ -183,7 +184,8 @@ def fin09(d):
 # --- pieces -------------------------------------------------------------------
 
 
-@query("prj08_wide_codes", f"""WITH {FILINGS} SELECT num, reference, {', '.join(f'round("{c}", 2) AS c{i}' for i, c in enumerate(["70", "60", "9901", "9904", "10/15", "54/58"]))}, period_end FROM filings""")
+@query("prj08_wide_codes", f"""WITH {FILINGS} SELECT num, reference, {', '.join(f'round("{c}", 2) AS c{i}' for i, c in enumerate(["70", "60", "9901", "9904", "10/15", "54/58"]))},
+  CASE WHEN period_end IS NOT NULL THEN coalesce(TRY_CAST(regexp_extract(period_end, '(19|20)\\d{{2}}') AS DOUBLE), 0) END AS period_end FROM filings""")
 def prj08(d):
     f = fin.filing_amounts(fin.usable_lines(d.fx_filing_line))
     wide = [F.round(F.col(f"`{c}`"), 2).alias(f"c{i}") for i, c in enumerate(["70", "60", "9901", "9904", "10/15", "54/58"])]
@@ -289,11 +291,11 @@ def str04(d):
     return f.select("num", "reference", F.round(ebit, 2).alias("ebit"), F.round(capital, 2).alias("capital"))
 
 
-@query("str07_fiscal_year", f"WITH {FILINGS} SELECT num, reference, period_end, year FROM dated")
+@query("str07_fiscal_year", """SELECT num, reference, pos, CASE WHEN code LIKE 'Accounting%' AND regexp_matches(val, '(19|20)\\d{2}') THEN regexp_extract(val, '(19|20)\\d{2}')
+  WHEN regexp_full_match(split_part(reference, '-', 1), '(19|20)\\d{2}') THEN split_part(reference, '-', 1) ELSE '?' END AS year FROM fx_filing_line""")
 def str07(d):
-    f = fin.filing_amounts(fin.usable_lines(d.fx_filing_line))
-    end = F.col(f"`{fin.PERIOD_END}`")
-    return f.select("num", "reference", end.alias("period_end"), fin.fiscal_year(end, F.col("reference")).alias("year"))
+    end = F.when(F.col("code") == fin.PERIOD_END, F.col("val"))
+    return d.fx_filing_line.select("num", "reference", "pos", fiscal_year(end, F.col("reference")).alias("year"))
 
 
 @query("mth01_ratio", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_extendedprice / nullif(l_discount, 0) * 100, 4) AS ratio FROM lineitem")

@@ -20,17 +20,20 @@ def text_lines(spark: SparkSession, glob: str) -> DataFrame:
 
 
 def filing_lines(lines: DataFrame) -> DataFrame:
-    """Code and value of each line; enterprise and reference come from the path ``../{num}/hbb/{ref}.csv``."""
+    """Code and value of each line; enterprise and reference come from the path ``../{num}/hbb/{ref}.csv``.
+
+    A filing is far smaller than a scan block, so the row number of its task is its line order.
+    """
     parsed = lines.select(
         path_enterprise(F.col("path")).alias("num"), path_reference(F.col("path")).alias("reference"),
-        line_code(F.col("value")).alias("code"), line_value(F.col("value")).alias("val"), "pos",
+        line_code(F.col("value")).alias("code"), line_value(F.col("value")).alias("val"), F.monotonically_increasing_id().alias("pos"),
     )
     return parsed.where(F.col("code") != "")
 
 
 def of_keys(table: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
     """The asked columns of a stored table, for a set of enterprises."""
-    return lookup(table.select("num", *columns), keys.select("num").distinct(), ["num"], "left_semi")
+    return lookup(table.select("num", *columns), keys.select("num"), ["num"], "left_semi")
 
 
 def first_filled(*sources: Callable[[], DataFrame]) -> DataFrame:
@@ -91,7 +94,7 @@ def export_accounts(accounts: DataFrame, target: str, only: DataFrame | None = N
     """One text file per (enterprise, reference)."""
     kept = accounts.where(exportable(accounts))
     if only is not None:
-        kept = lookup(kept, only.select("num").distinct(), ["num"], "left_semi")
+        kept = lookup(kept, only.select("num"), ["num"], "left_semi")
     rows = kept.select(F.col("num").alias("enterprise"), "reference", F.col("raw_csv").alias("value"))
     rows.write.mode("overwrite").partitionBy("enterprise", "reference").option("lineSep", "\n").text(target)
 
