@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -10,23 +11,36 @@ from pyspark.sql import functions as F
 from ledgerline.constants import AMOUNT_PATTERN
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed a single time, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _local_amount(text: Column) -> Column:
+    packed = F.regexp_replace(F.regexp_replace(text, r"^\s+|\s+$", ""), "[ \u00a0]", "")
+
+    def signed(p: Column) -> Column:
+        negative = p.startswith("-") | (p.startswith("(") & p.endswith(")"))
+        bare = F.regexp_replace(F.regexp_replace(p, "^-+", ""), r"^[()]+|[()]+$", "")
+        value = _once(_once(bare, point), number)
+        return F.when(negative, -value).otherwise(value)
+
+    def point(b: Column) -> Column:
+        return F.when(b.contains(",") & b.contains("."), F.translate(b, ",.", ".")).otherwise(F.translate(b, ",", "."))
+
+    def number(t: Column) -> Column:
+        return F.when(t.rlike(AMOUNT_PATTERN), t.try_cast("double"))
+
+    return _once(packed, signed)
+
+
 def parse_amount(text: Column) -> Column:
     """Amount in any of the filing notations; NULL when it is none of them.
 
     ``1.234,5`` and ``1,5`` use a decimal comma, ``1.5`` a decimal point; parentheses
-    or a leading minus make it negative.
+    or a leading minus make it negative. Plain numbers, the common case, are cast at once.
     """
-    packed = F.regexp_replace(F.regexp_replace(text, r"^\s+|\s+$", ""), "[  ]", "")
-    negative = packed.startswith("-") | (packed.startswith("(") & packed.endswith(")"))
-    bare = F.regexp_replace(F.regexp_replace(packed, "^-+", ""), r"^[()]+|[()]+$", "")
-    comma = bare.contains(",")
-    plain = (
-        F.when(comma & bare.contains("."), F.translate(bare, ",.", "."))
-        .when(comma, F.translate(bare, ",", "."))
-        .otherwise(bare)
-    )
-    value = F.when(plain.rlike(AMOUNT_PATTERN), plain.try_cast("double"))
-    return F.when(negative, -value).otherwise(value)
+    return F.when(text.rlike(r"^[0-9]+(\.[0-9]+)?$"), text.try_cast("double")).otherwise(_local_amount(text))
 
 
 def first_amount(values: list[Column]) -> Column:

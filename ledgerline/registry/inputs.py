@@ -238,11 +238,21 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+SPREAD = ("customer", "orders", "lineitem", "documents", "pages")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a table stored in fewer file splits than there are cores; larger tables are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def view(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A derived register table as a DataFrame."""
     text = spark_text(name)
-    used = re.findall(r"\{(\w+)\}", text)
-    return spark.sql(text, **{t: table(spark, sf, t) for t in used})
+    used = set(re.findall(r"\{(\w+)\}", text))
+    tables = {t: table(spark, sf, t) for t in used}
+    return spark.sql(text, **{t: spread(df) if t in SPREAD else df for t, df in tables.items()})
 
 
 def with_views(sql: str) -> str:
