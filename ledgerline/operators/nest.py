@@ -39,7 +39,7 @@ def lists(
         marked = rows.join(checked_broadcast(large), keys, "left").withColumn("part", part)
     item = F.struct(F.col(order).alias("at"), F.struct(*fields).alias("item"))
     return marked.groupBy(*keys, "part").agg(
-        F.transform(F.array_sort(F.collect_list(item)), lambda x: x["item"]).alias(name)
+        F.sort_array(F.collect_list(item))["item"].alias(name)
     )
 
 
@@ -76,6 +76,6 @@ def fold(
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces)
     grouped = stacked.groupBy(key, "part").agg(
         F.max_by("parent", F.col("parent").isNotNull().cast("int")).alias("parent"),
-        *[F.transform(F.array_sort(F.collect_list(n)), lambda x: x["item"]).alias(n) for n in children],
+        *[F.sort_array(F.collect_list(n))["item"].alias(n) for n in children],
     )
     return grouped.where(F.col("parent").isNotNull()).select(key, "part", "parent.*", *children)

@@ -83,7 +83,7 @@ def matched_codes(activities: DataFrame) -> DataFrame:
     code = F.trim(F.coalesce("nace_code", F.lit("")))
     hit = main.where(code.isin(SECTOR_CODES)).groupBy("num")
     # at most one entry per listed code, so the set is bounded
-    return hit.agg(F.array_sort(F.collect_set(code)).alias("nace_codes"))
+    return hit.agg(F.sort_array(F.collect_set(code)).alias("nace_codes"))
 
 
 def sector_list(enterprises: DataFrame, activities: DataFrame, denominations: DataFrame) -> DataFrame:

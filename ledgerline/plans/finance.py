@@ -115,7 +115,7 @@ def gold(yearly: DataFrame, targets: DataFrame) -> DataFrame:
     grouped = yearly.groupBy("num").agg(
         schema_type(F.col("ca"), F.col("fonds_propres")).alias("schema_type"),
         F.count("*").cast("int").alias("nb_exercices"),
-        F.array_sort(F.collect_list(year)).alias("years"),
+        F.sort_array(F.collect_list(year)).alias("years"),
     )
     return grouped.join(targets.select("num", "denomination", "nace_codes"), "num", "left")
 
