@@ -90,7 +90,7 @@ def resolve_officers(officers: DataFrame, denominations: DataFrame) -> DataFrame
 
 def flag_present(rows: DataFrame, keys: DataFrame, flag: str, key: str = "num") -> DataFrame:
     """Adds a membership flag."""
-    marks = keys.select(key, F.lit(True).alias(flag)).distinct()
+    marks = keys.select(key).distinct().withColumn(flag, F.lit(True))
     return lookup(rows, marks, [key], size_of=keys).withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 

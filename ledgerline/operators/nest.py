@@ -36,7 +36,9 @@ def lists(
         marked = rows.withColumn("part", F.lit(0))
     else:
         part = F.coalesce(F.pmod(F.xxhash64(order), "parts").cast("int"), F.lit(0))
-        marked = rows.join(checked_broadcast(large), keys, "left").withColumn("part", part)
+        sized = checked_broadcast(large.select("parts", *[F.col(k).alias(f"large_{k}") for k in keys]))
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"large_{k}")) for k in keys])
+        marked = rows.join(sized, same, "left").withColumn("part", part)
     item = F.struct(F.col(order).alias("at"), F.struct(*fields).alias("item"))
     return marked.groupBy(*keys, "part").agg(
         F.sort_array(F.collect_list(item))["item"].alias(name)
@@ -53,8 +55,9 @@ def fold(
     """``parent`` with one array of structs per child, ordered by ``order``; none gives an empty array.
 
     A child is ``(rows, fields)`` or ``(rows, fields, counted)``, where ``counted`` has the same keys
-    as ``rows`` but is cheaper to count.
+    as ``rows`` but is cheaper to count. Child rows without a key belong to no parent.
     """
+    children = {n: (c[0].where(F.col(key).isNotNull()), *c[1:]) for n, c in children.items()}
     large = large_keys([c[-1] if len(c) == 3 else c[0] for c in children.values()], [key], part_rows)
     split = not fits(large, 0)
     if split:

@@ -52,8 +52,8 @@ def lookup(
     """
     if fits(dim if size_of is None else size_of, bound):
         return facts.join(F.broadcast(dim), keys, how)
-    if how == "left" and len(keys) == 1:
-        # rows without a key would all meet in one task; they match nothing
+    if how in ("left", "left_anti") and len(keys) == 1:
+        # rows without a key would all meet in one task; they match nothing and are kept
         keyed = facts.where(F.col(keys[0]).isNotNull())
         blank = facts.where(F.col(keys[0]).isNull())
         return _by_weight(keyed, dim, keys, how, heavy).unionByName(blank, allowMissingColumns=True)

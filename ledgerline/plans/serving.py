@@ -12,6 +12,11 @@ from ledgerline.operators.picks import display_names
 from ledgerline.plans.finance import latest_year
 
 
+def held(shown: DataFrame) -> DataFrame:
+    """One page (at most ``MAX_PAGE`` rows) as a local table, so that it is cut out only once."""
+    return shown.sparkSession.createDataFrame(shown.collect(), shown.schema)
+
+
 def matching_numbers(denominations: DataFrame, text: str) -> DataFrame:
     """Enterprises with a name that has one of the words."""
     return denominations.where(any_token(F.col("valeur"), text)).select("num").distinct()
@@ -27,10 +32,10 @@ def enterprise_page(
         hits = page(enterprises.where(number_prefix(F.col("num"), text)), limit=limit)
     else:
         hits = page(enterprises.join(matching_numbers(denominations, text), "num", "left_semi"), limit=limit)
-    shown = hits.select("num", "juridical_form", "status")
-    own = denominations.join(F.broadcast(shown.select("num")), "num", "left_semi")
-    named = shown.join(display_names(own), "num", "left")
-    return flag_present(named, gold_keys, "has_gold")
+    shown = held(hits.select("num", "juridical_form", "status"))
+    keys = F.broadcast(shown.select("num"))
+    named = shown.join(display_names(denominations.join(keys, "num", "left_semi")), "num", "left")
+    return flag_present(named, gold_keys.join(keys, "num", "left_semi"), "has_gold")
 
 
 def target_page(
@@ -45,7 +50,7 @@ def target_page(
     else:
         keys = matching_numbers(denominations, text).orderBy("num").limit(name_hits)
         hits = targets.join(keys, "num", "left_semi")
-    shown = with_total(page(hits, skip=skip, limit=limit).select("num", "denomination", "status"), hits)
+    shown = held(with_total(page(hits, skip=skip, limit=limit).select("num", "denomination", "status"), hits))
     keys = F.broadcast(shown.select("num"))  # at most one page of rows
     own_years = yearly.join(keys, "num", "left_semi")
     last = latest_year(own_years).select("num", F.col("year").alias("dernier_exercice"), "ca", "resultat_net")

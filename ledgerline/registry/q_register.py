@@ -489,7 +489,9 @@ def jn08(d):
 
 @query("jn09_has_gold", "SELECT num, num IN (SELECT num FROM fx_filing_line) AS has_gold FROM (SELECT num FROM fx_enterprise ORDER BY num LIMIT 200)")
 def jn09(d):
-    return lookups.flag_present(paging.page(d.fx_enterprise.select("num"), limit=200), d.fx_filing_line.select("num"), "has_gold")
+    shown = paging.page(d.fx_enterprise.select("num"), limit=200)
+    gold_keys = d.fx_filing_line.select("num").join(F.broadcast(shown), "num", "left_semi")
+    return lookups.flag_present(shown, gold_keys, "has_gold")
 
 
 @query("jn11_key_set", """SELECT deposit_id, num FROM fx_account WHERE num IN (SELECT DISTINCT num FROM fx_denomination

@@ -38,6 +38,15 @@ def test_fold_splits_a_hot_key(spark):
     assert {k: sorted(v) for k, v in items.items() if v} == {k: sorted(v) for k, v in want.items()}
 
 
+def test_null_keys_are_bounded_too(spark):
+    rows = hot_rows(spark).withColumn("num", F.when(F.col("num") != "hot", F.col("num")))
+    out = nest.lists(rows, ["num"], ["pos"], "a", part_rows=100).collect()
+    assert sum(len(r["a"]) for r in out) == 3000 and max(len(r["a"]) for r in out) < 250
+    parent = spark.createDataFrame([("k1", "x")], "num string, name string")
+    got = nest.fold(parent, {"a": (rows, ["pos"])}, part_rows=100).collect()
+    assert [r["num"] for r in got] == ["k1"] and len(got[0]["a"]) == rows.where("num = 'k1'").count()
+
+
 def test_lists_split_a_hot_key(spark):
     out = nest.lists(hot_rows(spark), ["num"], ["pos"], "a", part_rows=100).collect()
     assert sum(len(r["a"]) for r in out) == 3000 and max(len(r["a"]) for r in out) < 250
