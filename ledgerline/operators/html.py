@@ -7,14 +7,19 @@ Python only turns markup into rows of cells and links. Everything after that
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# executors need not have this package installed: the parser travels with the tasks
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _SPACE = re.compile(r"\s+")
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _ENDS = {"td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",), "li": ("li",), "p": ("p",)}

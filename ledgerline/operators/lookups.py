@@ -81,7 +81,7 @@ def resolve_officers(officers: DataFrame, denominations: DataFrame) -> DataFrame
     """
     marked = officers.withColumn("ref_bce", company_number(F.col("nom")))
     names = display_names(denominations).select(F.col("num").alias("ref_bce"), F.col("denomination").alias("company"))
-    resolved = lookup(marked, names, ["ref_bce"], size_of=denominations)
+    resolved = lookup(marked, names, ["ref_bce"], size_of=denominations, derived=True)
     return resolved.select(
         *[c for c in officers.columns if c != "nom"], F.coalesce("company", "nom").alias("nom"), "ref_bce",
         F.col("ref_bce").isNotNull().alias("is_company"),

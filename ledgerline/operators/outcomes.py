@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def run_items(items: DataFrame, make_context: Callable[[], Any], handle: Callable[[Any, Any], str], key: str = "num") -> DataFrame:
     """``(key, outcome, error)`` of a handler called per row, with one context per task.

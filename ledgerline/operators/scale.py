@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.session import stored
+
 BROADCAST_ROWS = 200_000
 HEAVY_ROWS = 1_000_000
 MAX_HEAVY = 10_000
@@ -42,16 +44,20 @@ def lookup(
     keys: list[str],
     how: str = "left",
     size_of: DataFrame | None = None,
+    derived: bool = False,
     heavy: int = HEAVY_ROWS,
     bound: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join many facts to a table with one row per key (for semi and anti joins: any rows), safe under skew.
 
     ``size_of`` is a cheaper table known to have at least as many rows as ``dim``, such as
-    the one it is aggregated from; the size check then stops at the bound.
+    the one it is aggregated from; the size check then stops at the bound. Beyond the bound the
+    facts are read several times: ``derived`` facts, such as parsed pages, are stored first.
     """
     if fits(dim if size_of is None else size_of, bound):
         return facts.join(F.broadcast(dim), keys, how)
+    if derived:
+        facts = stored(facts, "lookup")
     if how in ("left", "left_anti") and len(keys) == 1:
         # rows without a key would all meet in one task; they match nothing and are kept
         keyed = facts.where(F.col(keys[0]).isNotNull())

@@ -7,15 +7,14 @@ from pyspark.sql import functions as F
 from ledgerline.functions.keys import in_shard
 from ledgerline.operators import extract, html, merge, nest, picks, rollups
 from ledgerline.operators.outcomes import run_items
-from ledgerline.operators.paging import newest_first_then_oldest
 from ledgerline.operators.scale import fits
 from ledgerline.plans import entities, reports, serving
 from ledgerline.plans import finance as fin
 from ledgerline.registry.book import query
-from ledgerline.registry.inputs import _dotted, _num
+from ledgerline.registry.inputs import _num
 from ledgerline.registry.q_finance import hotel_targets
 from ledgerline.registry.q_register import (
-    ACT_ORDER, CHILD_COUNTS, CHILDREN, COUNT_COLS, DEDUP_SQL, ISO_SQL, LABEL_CTE, NAMES_SQL, SECTOR_SQL, inlist, rich,
+    CHILD_COUNTS, CHILDREN, COUNT_COLS, DEDUP_SQL, ISO_SQL, LABEL_CTE, NAMES_SQL, SECTOR_SQL, inlist, rich,
 )
 from ledgerline.constants import SECTOR_CODES
 from ledgerline.registry.sqltext import FILINGS

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: str | int = "*", partitions: int = 8) -> SparkSession:
@@ -36,3 +36,10 @@ def shared_dir(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared directory, never reused."""
     return f"{shared_dir(spark)}/ledgerline/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for results that are used several times."""
+    path = new_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
