@@ -3,20 +3,20 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ledgerline.llm.common import narrow, whole
 
 #: Distinct pieces that a task remembers; past that it starts afresh. Bounds memory, not results.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Characters of the texts whose new pieces are encoded together.
-CORPUS_CHARS = 12_000_000
+CORPUS_CHARS = 4_000_000
 NONE = np.iinfo(np.int32).max
 
 
@@ -107,8 +107,12 @@ class Replay:
                     begin = np.maximum.accumulate(np.where(chained, 0, run))
                     places = places[(run - begin) % 2 == 0]
             second = right[places]
-            token[places], token[second], now_rank[second] = rank, -1, NONE
             after = right[second]
+            beside = np.isin(after, places)  # the next place is merged too; before that, its left part met the new token
+            if beside.any():
+                met = self.rank(np.full(beside.sum(), rank, np.int32), token[after[beside]])
+                odd.update(owner[places[beside][met <= rank]].tolist())
+            token[places], token[second], now_rank[second] = rank, -1, NONE
             right[places] = after
             left[after] = places
             left[n] = n
@@ -143,6 +147,74 @@ class Replay:
         return out.astype("<u4"), counts
 
 
+class Encoder:
+    """Encodes texts one after the other, remembering pieces; the new pieces of some million characters are replayed together."""
+
+    def __init__(self, ranks: dict[bytes, int], table: tuple[np.ndarray, np.ndarray, np.ndarray], pattern: str):
+        import regex
+
+        self.find = regex.compile(pattern).findall
+        self.replay = Replay(ranks, table)
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}  # number of each piece; its ids are ids[start:start + count]
+        self.ids, self.start, self.count = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.texts: list[np.ndarray] = []
+        self.new: list[str] = []
+
+    def finish(self) -> list[bytes]:
+        """Ids of the texts read since the last call."""
+        if self.new:
+            more, sizes = self.replay.encode([p.encode() for p in self.new])
+            self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(sizes) - sizes])
+            self.count, self.ids = np.concatenate([self.count, sizes]), np.concatenate([self.ids, more])
+            self.new = []
+        out = []
+        for at in self.texts:
+            n = self.count[at]
+            first = np.cumsum(n) - n
+            out.append(self.ids[np.repeat(self.start[at] - first, n) + np.arange(n.sum())].tobytes())
+        self.texts = []
+        if len(self.known) > REMEMBERED:
+            self.clear()
+        return out
+
+    def __call__(self, texts: Iterator[str]) -> Iterator[list[bytes]]:
+        """Lists of ids (as bytes), in the order of the texts."""
+        chars = 0
+        for text in texts:
+            pieces = self.find(text)
+            fresh = set(pieces).difference(self.known)
+            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)), strict=True))
+            self.new.extend(fresh)
+            self.texts.append(np.fromiter(map(self.known.__getitem__, pieces), np.int32, len(pieces)))
+            chars += len(text)
+            if chars > CORPUS_CHARS:
+                yield self.finish()
+                chars = 0
+        yield self.finish()
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], encoder: Encoder) -> Iterator[pa.RecordBatch]:
+    """``(doc_id, ids)`` batches of ``(doc_id, text)`` batches."""
+    for batch in batches:
+        at = 0
+        for ids in encoder(text.as_py() for text in batch.column(1)):
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(ids)), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+            at += len(ids)
+
+
+def _texts(ids: pa.Array, token: dict[int, bytes]) -> Iterator[bytes]:
+    for x in ids:
+        yield b"".join(map(token.__getitem__, np.frombuffer(x.as_py(), "<u4").tolist()))
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    rows = narrow(docs, doc_id=id_col, text=text_col).withColumn("text", whole("text"))
+    return rows, rows.schema["doc_id"].dataType.simpleString()
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, ids`` with the token ids of the whole text as little-endian unsigned 32-bit integers.
 
@@ -153,61 +225,14 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     shared = docs.sparkSession.sparkContext.broadcast((ranks, merge_table(ranks)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        find = regex.compile(pattern).findall
-        replay = Replay(*shared.value)
-        known: dict[str, int] = {}  # number of each piece; its ids are ids[start:start + count]
-        ids, start, count = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        texts: list[np.ndarray] = []
-        new: list[str] = []
-
-        def finish() -> list[bytes]:
-            nonlocal ids, start, count
-            if new:
-                more, sizes = replay.encode([p.encode() for p in new])
-                start = np.concatenate([start, len(ids) + np.cumsum(sizes) - sizes])
-                count, ids = np.concatenate([count, sizes]), np.concatenate([ids, more])
-                new.clear()
-            out = []
-            for at in texts:
-                n = count[at]
-                first = np.cumsum(n) - n
-                out.append(ids[np.repeat(start[at] - first, n) + np.arange(n.sum())].tobytes())
-            texts.clear()
-            return out
-
-        for batch in batches:
-            done: list[bytes] = []
-            chars = 0
-            for text in batch.column(1):
-                text = text.as_py()
-                pieces = find(text)
-                fresh = set(pieces).difference(known)
-                for p in fresh:
-                    known[p] = len(known)
-                new.extend(fresh)
-                texts.append(np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces)))
-                chars += len(text)
-                if chars > CORPUS_CHARS:
-                    done += finish()
-                    chars = 0
-                    if len(known) > REMEMBERED:
-                        known.clear()
-                        ids, start, count = ids[:0], start[:0], count[:0]
-            done += finish()
-            if len(known) > REMEMBERED:
-                known.clear()
-                ids, start, count = ids[:0], start[:0], count[:0]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(done, pa.binary())], names=["doc_id", "ids"])
+        yield from _encoded(batches, Encoder(*shared.value, pattern))
 
-    rows = narrow(docs, doc_id=id_col, text=text_col).withColumn("text", whole("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    rows, kind = _rows(docs, id_col, text_col)
     return rows.mapInArrow(run, f"doc_id {kind}, ids binary")
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """``encoded`` with a column ``decoded``: the bytes of its ``ids``."""
+    """``doc_id, decoded`` of ``doc_id, ids``: the bytes of the ids."""
     shared = encoded.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,15 +240,27 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                texts = [b"".join(map(token.__getitem__, np.frombuffer(ids, "<u4").tolist())) for ids in part.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*part.schema.names, "decoded"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_texts(part.column(1), token), pa.binary())], names=["doc_id", "decoded"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
-    return encoded.mapInArrow(run, f"{kinds}, decoded binary")
+    rows = encoded.select("doc_id", "ids")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, decoded binary")
 
 
 def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row, encoded and decoded again."""
-    both = decode(encode(docs, ranks, pattern, id_col, text_col), ranks)
-    return both.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row, encoded and decoded again in one pass."""
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, merge_table(ranks)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(*shared.value, pattern)
+        token = {rank: token for token, rank in shared.value[0].items()}
+        for batch in _encoded(batches, encoder):
+            ids = batch.column(1)
+            sizes = [len(x.as_py()) // 4 for x in ids]
+            digests = [hashlib.sha256(x.as_py()).hexdigest() for x in ids]
+            back = [hashlib.sha256(x).hexdigest() for x in _texts(ids, token)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), pa.array(back, pa.string())],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    rows, kind = _rows(docs, id_col, text_col)
+    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
