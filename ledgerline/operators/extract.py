@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.constants import (
-    CARD_FIELDS, DATE_LINE_PATTERN, LINK_CLASSES, MAX_PAGES, NO_DATA, NO_DATA_PHRASES, OFFICER_SECTIONS, PAGE_PATTERN,
+    CARD_FIELDS, DATE_LINE_PATTERN, LINK_CLASSES, NO_DATA, NO_DATA_PHRASES, OFFICER_SECTIONS, PAGE_PATTERN,
     PUBLICATION_HOST, PUBLICATION_PATTERN, RELATION_SECTIONS,
 )
 from ledgerline.functions.keys import clean_number
@@ -138,10 +138,10 @@ def publications(links: DataFrame) -> DataFrame:
     return dedup_publications(publication_links(links))
 
 
-def last_page(html: Column, cap: int = MAX_PAGES) -> Column:
-    """Highest page number linked from a page, 1 without any, at most ``cap``."""
+def last_page(html: Column) -> Column:
+    """Highest page number linked from a page, 1 without any."""
     found = F.regexp_extract_all(html, F.lit(PAGE_PATTERN), 1)
-    return F.least(F.coalesce(F.array_max(F.transform(found, lambda p: p.try_cast("int"))), F.lit(1)), F.lit(cap))
+    return F.coalesce(F.array_max(F.transform(found, lambda p: p.try_cast("int"))), F.lit(1))
 
 
 def rows_with(rows: DataFrame, words: list[str]) -> DataFrame:

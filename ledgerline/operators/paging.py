@@ -9,8 +9,10 @@ MAX_PAGE = 200
 
 
 def page(df: DataFrame, order: str = "num", skip: int = 0, limit: int = 50) -> DataFrame:
-    """One page by key; only the page's rows are sorted out and kept."""
-    return df.orderBy(order).offset(skip).limit(min(limit, MAX_PAGE))
+    """One page by key; only the page's rows are sorted out and kept. A larger page than ``MAX_PAGE`` is refused."""
+    if not 0 <= limit <= MAX_PAGE:
+        raise ValueError(f"a page has at most {MAX_PAGE} rows, not {limit}")
+    return df.orderBy(order).offset(skip).limit(limit)
 
 
 def with_total(rows: DataFrame, all_rows: DataFrame) -> DataFrame:

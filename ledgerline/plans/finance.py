@@ -285,19 +285,15 @@ def year_columns(long: DataFrame, years: list[str]) -> DataFrame:
     return long.groupBy("num", "indicator").pivot("year", years).agg(F.first("value"))
 
 
-def code_frequency(lines: DataFrame, filings: int) -> DataFrame:
-    """How often each code occurs in the first ``filings`` filings (a bounded sample by key)."""
-    sample = lines.select("num", "reference").distinct().orderBy("num", "reference").limit(filings)
-    of_sample = lines.select("num", "reference", "code").join(F.broadcast(sample), ["num", "reference"], "left_semi")
-    return of_sample.distinct().groupBy("code").count()
+def code_frequency(lines: DataFrame) -> DataFrame:
+    """In how many filings each code occurs."""
+    return lines.where("num IS NOT NULL AND reference IS NOT NULL").select("num", "reference", "code").distinct().groupBy("code").count()
 
 
-def code_coverage(lines: DataFrame, filings: int = 3000) -> DataFrame:
-    """Per metric: the best variant's count and its share of the sampled filings."""
+def code_coverage(lines: DataFrame) -> DataFrame:
+    """Per metric: the best variant's count and its share of all filings."""
     variants = {**METRIC_CODES, **{k: parts + totals for k, (parts, totals) in SUMMED_CODES.items()}}
-    sample = lines.select("num", "reference").distinct().orderBy("num", "reference").limit(filings)
-    of_sample = lines.select("num", "reference", "code").join(F.broadcast(sample), ["num", "reference"], "left_semi")
-    present = of_sample.groupBy("num", "reference").agg(
+    present = lines.select("num", "reference", "code").groupBy("num", "reference").agg(
         *[F.bool_or(F.col("code") == c).cast("int").alias(c) for c in sorted({c for v in variants.values() for c in v})]
     )
     totals = present.agg(

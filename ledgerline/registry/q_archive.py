@@ -253,8 +253,8 @@ def win10(d):
     return p.select("num", "numac", "titre", "place.page", "place.link_no")
 
 
-@query("htm09_last_page", """SELECT 'p' || CAST(page_id AS STRING) AS id, least(coalesce(list_max(list_transform(regexp_extract_all(url || html, '[?&]page=(\\d+)', 1), lambda x: TRY_CAST(x AS INT))), 1), 50) AS last FROM pages
-UNION ALL SELECT num || '/' || CAST(page AS STRING), least(coalesce(list_max(list_transform(regexp_extract_all(html, '[?&]page=(\\d+)', 1), lambda x: TRY_CAST(x AS INT))), 1), 50) FROM fx_pub_page""")
+@query("htm09_last_page", """SELECT 'p' || CAST(page_id AS STRING) AS id, coalesce(list_max(list_transform(regexp_extract_all(url || html, '[?&]page=(\\d+)', 1), lambda x: TRY_CAST(x AS INT))), 1) AS last FROM pages
+UNION ALL SELECT num || '/' || CAST(page AS STRING), coalesce(list_max(list_transform(regexp_extract_all(html, '[?&]page=(\\d+)', 1), lambda x: TRY_CAST(x AS INT))), 1) FROM fx_pub_page""")
 def htm09(d):
     a = d.pages.select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("id"), extract.last_page(F.concat("url", "html")).alias("last"))
     b = d.fx_pub_page.select(F.concat_ws("/", "num", F.col("page").cast("string")).alias("id"), extract.last_page(F.col("html")).alias("last"))

@@ -245,18 +245,18 @@ def agg18(d):
 COVER = {**{k: v for k, v in fin.METRIC_CODES.items()}, **{k: a + b for k, (a, b) in fin.SUMMED_CODES.items()}}
 
 
-@query("agg10_code_coverage", f"""WITH s AS (SELECT DISTINCT num, reference FROM fx_filing_line ORDER BY num, reference LIMIT 3000),
+@query("agg10_code_coverage", f"""WITH s AS (SELECT DISTINCT num, reference FROM fx_filing_line),
 f AS (SELECT code, count(DISTINCT (s.num, s.reference)) AS n FROM fx_filing_line l JOIN s ON l.num = s.num AND l.reference = s.reference GROUP BY code),
 t AS (SELECT count(*) AS n FROM s)
 {' UNION ALL '.join(f"SELECT '{m}' AS metric, coalesce((SELECT max(n) FROM f WHERE code IN ({', '.join(repr(c) for c in v)})), 0) AS best, t.n, round(coalesce((SELECT max(n) FROM f WHERE code IN ({', '.join(repr(c) for c in v)})), 0) * 100 / t.n, 1) AS share FROM t" for m, v in COVER.items())}""")
 def agg10(d):
-    return fin.code_coverage(d.fx_filing_line, 3000)
+    return fin.code_coverage(d.fx_filing_line)
 
 
-@query("agg10b_code_frequency", """WITH s AS (SELECT DISTINCT num, reference FROM fx_filing_line ORDER BY num, reference LIMIT 3000)
+@query("agg10b_code_frequency", """WITH s AS (SELECT DISTINCT num, reference FROM fx_filing_line)
 SELECT code, count(DISTINCT (s.num, s.reference)) AS count FROM fx_filing_line l JOIN s ON l.num = s.num AND l.reference = s.reference GROUP BY code""")
 def agg10b(d):
-    return fin.code_frequency(d.fx_filing_line, 3000)
+    return fin.code_frequency(d.fx_filing_line)
 
 
 @query("win02_latest_year", f"WITH {FILINGS} SELECT num, max(year) AS year, round(arg_max(coalesce(ca, -1), year), 2) AS ca FROM growth GROUP BY num")

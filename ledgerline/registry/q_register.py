@@ -494,11 +494,11 @@ def jn09(d):
     return lookups.flag_present(shown, gold_keys, "has_gold")
 
 
-@query("jn11_key_set", """SELECT deposit_id, num FROM fx_account WHERE num IN (SELECT DISTINCT num FROM fx_denomination
-WHERE contains(valeur, '00') ORDER BY num LIMIT 500)""")
+@query("jn11_key_set", """SELECT deposit_id, num FROM fx_account WHERE num IN (SELECT num FROM fx_denomination
+WHERE contains(valeur, '00'))""")
 def jn11(d):
-    hits = d.fx_denomination.where(F.contains("valeur", F.lit("00"))).select("num").distinct().orderBy("num").limit(500)
-    return d.fx_account.select("deposit_id", "num").join(F.broadcast(hits), "num", "left_semi")
+    hits = d.fx_denomination.where(F.contains("valeur", F.lit("00"))).select("num")
+    return d.fx_account.select("deposit_id", "num").join(hits, "num", "left_semi")
 
 
 DOC_LIST = """SELECT enterprise, 'publication' AS type, source, year, filename, path, coalesce(nullif(title, ''), nullif(reference, ''), filename) AS label FROM fx_document
@@ -579,9 +579,9 @@ def agg09(d):
     return rollups.status_tally(d.spark, d.fx_target)
 
 
-@query("agg11_distinct_capped", "SELECT DISTINCT nace_code FROM fx_activity ORDER BY nace_code LIMIT 30")
+@query("agg11_distinct_capped", "SELECT DISTINCT nace_code FROM fx_activity")
 def agg11(d):
-    return d.fx_activity.select("nace_code").distinct().orderBy("nace_code").limit(30)
+    return d.fx_activity.select("nace_code").distinct()
 
 
 @query("agg12_version_map", """SELECT num, nace_version, string_agg(coalesce(classification, '?') || ':' || nace_code, ',' ORDER BY coalesce(classification, '~'), pos) AS activites

@@ -262,7 +262,7 @@ def ent05(d):
 
 @query("ent05b_directory_number", ent05_sql("starts_with(num, '0000000')", "LIMIT 200"))
 def ent05b(d):
-    return directory(d, text="0000.000", skip=30, limit=500)
+    return directory(d, text="0000.000", skip=30, limit=200)
 
 
 @query("ent05c_directory_name", ent05_sql(f"num IN (SELECT num FROM fx_denomination WHERE {TOKENS})", "LIMIT 50"))

@@ -25,9 +25,11 @@ def local_session(cpus: str | int = "*", partitions: int = 8) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is set (tests)."""
+    """The cluster's shared checkpoint folder. Where none is set, a local session gets a temporary one; a cluster must set it."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="ledgerline-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root

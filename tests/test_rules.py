@@ -83,3 +83,12 @@ def test_merges_are_repeatable(spark):
     rows = sorted((r["num"], r["status"], r["updated_run"], r["denomination"]) for r in once.collect())
     assert rows == [("1", "done", 1, "a"), ("3", "pending", None, "c"), ("4", "pending", 2, None), ("5", "pending", 2, "e")]
     assert sorted((r["num"], r["status"], r["updated_run"], r["denomination"]) for r in twice.collect()) == rows
+
+
+def test_a_page_beyond_the_bound_is_refused(spark):
+    import pytest
+
+    from ledgerline.operators import paging
+
+    with pytest.raises(ValueError):
+        paging.page(spark.range(3), "id", limit=paging.MAX_PAGE + 1)
