@@ -40,7 +40,6 @@ def enterprise_page(
 
 def target_page(
     targets: DataFrame, yearly: DataFrame, denominations: DataFrame, text: str = "", skip: int = 0, limit: int = 50,
-    name_hits: int = 500,
 ) -> DataFrame:
     """Sector page with the latest year's figures; the page is cut before anything is joined to it."""
     if not text:
@@ -48,7 +47,7 @@ def target_page(
     elif is_number_search(text):
         hits = targets.where(number_prefix(F.col("num"), text))
     else:
-        keys = matching_numbers(denominations, text).orderBy("num").limit(name_hits)
+        keys = matching_numbers(denominations, text)
         hits = targets.join(keys, "num", "left_semi")
     shown = held(with_total(page(hits, skip=skip, limit=limit).select("num", "denomination", "status"), hits))
     keys = F.broadcast(shown.select("num"))  # at most one page of rows

@@ -293,7 +293,7 @@ def jn10(d):
     return sector_page(d, "00000000")
 
 
-@query("ent06b_sector_page_name", ent06_sql(f"num IN (SELECT DISTINCT num FROM fx_denomination WHERE {TOKENS} ORDER BY num LIMIT 500)"))
+@query("ent06b_sector_page_name", ent06_sql(f"num IN (SELECT DISTINCT num FROM fx_denomination WHERE {TOKENS})"))
 def ent06b(d):
     return sector_page(d, "customer 1")
 
