@@ -6,43 +6,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import bpe, line_dedup, mixing, quality, simhash
+from ledgerline.llm.common import WHITE
 from ledgerline.llm.queries import RANK_FILE
 from ledgerline.session import stored
 
 
-def _matched(docs: DataFrame, wanted: DataFrame, how: str) -> DataFrame:
-    """``docs`` joined to ``wanted`` by id (``id``), null ids included."""
-    return docs.join(wanted, docs.doc_id.eqNullSafe(wanted.id), how).drop("id")
-
-
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, unchanged. The rules are evaluated beside the row, so nothing is shuffled."""
     return quality.keep_good(docs)
 
 
 def without_frequent_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the frequent lines dropped; ``n_chars`` follows the text. A document that loses all lines goes."""
-    out = line_dedup.line_dedup(docs)
-    left = out.where((F.col("n_dropped") == 0) | (F.length(F.btrim("kept_text", F.lit(" \t\n\x0b\f\r"))) > 0))
-    new = {"text": F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text"))}
+    """Documents with the frequent lines dropped; ``n_chars`` follows the text. A document that loses all lines goes.
+
+    The row is carried as one struct, so its other columns may have any names.
+    """
+    rows = docs.select("doc_id", "text", F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    out = line_dedup.line_dedup(rows)
+    left = out.where((F.col("n_dropped") == 0) | (F.length(F.btrim("kept_text", F.lit(WHITE))) > 0))
+    new = {"text": F.col("kept_text")}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("n_dropped") > 0, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return left.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+        new["n_chars"] = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
+    changed = F.col("n_dropped") > 0
+    return left.select(*[
+        F.when(changed, new[c]).otherwise(F.col("row")[c]).alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id; rows that repeat it stay with it."""
     groups = simhash.simhash_groups(docs)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id")).distinct()
-    return _matched(docs, kept, "left_semi")
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(kept, docs.doc_id.eqNullSafe(kept["__id"]), "left_semi")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix takes it, none included."""
-    plan = mixing.mix(docs).where("copies > 0").select(F.col("doc_id").alias("id"), F.col("source").alias("__source"), "copies").distinct()
-    same = docs.doc_id.eqNullSafe(plan.id) & docs.source.eqNullSafe(plan["__source"])
+    plan = mixing.mix(docs).where("copies > 0").select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("copies").alias("__copies")).distinct()
+    same = docs.doc_id.eqNullSafe(plan["__id"]) & docs.source.eqNullSafe(plan["__source"])
     out = docs.join(plan.hint("shuffle_hash"), same)
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*[docs[c] for c in docs.columns])
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*[docs[c] for c in docs.columns])
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
