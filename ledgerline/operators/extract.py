@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.constants import (
-    CARD_FIELDS, DATE_LINE_PATTERN, LINK_CLASSES, NO_DATA, NO_DATA_PHRASES, OFFICER_SECTIONS, PAGE_PATTERN,
+    CARD_FIELDS, CARD_GROUPS, DATE_LINE_PATTERN, LINK_CLASSES, NO_DATA, NO_DATA_PHRASES, OFFICER_SECTIONS, PAGE_PATTERN,
     PUBLICATION_HOST, PUBLICATION_PATTERN, RELATION_SECTIONS,
 )
 from ledgerline.functions.keys import clean_number
-from ledgerline.functions.text import absolute_url, clip, first_integer, label, none_if_empty
+from ledgerline.functions.text import absolute_url, first_integer, label, none_if_empty
+from ledgerline.operators.nest import Record, record
 from ledgerline.operators.picks import dedup_publications
 
 
@@ -45,15 +46,48 @@ def label_values(rows: DataFrame) -> DataFrame:
     return pairs.groupBy("num", "label").agg(F.max_by("val", F.struct(F.length("val"), "early")).alias("val"))
 
 
-def card_fields(labels: DataFrame) -> DataFrame:
-    """Labelled fields of a card; "no data" counts as missing, synonyms in order."""
+def card_fields(labels: DataFrame, pages: DataFrame) -> DataFrame:
+    """Labelled fields of each card of the page table; "no data" counts as missing, synonyms in order.
+
+    A page without usable labels is a card with empty fields.
+    """
     wanted = sorted({name for names in CARD_FIELDS.values() for name in names})
     usable = labels.where(F.col("label").isin(wanted) & ~F.col("val").contains(NO_DATA))
     by_label = usable.groupBy("num").agg(*[F.max(F.when(F.col("label") == n, F.col("val"))).alias(f"l{i}") for i, n in enumerate(wanted)])
     place = {n: f"l{i}" for i, n in enumerate(wanted)}
     fields = {f: F.coalesce(*[F.col(place[n]) for n in names]) for f, names in CARD_FIELDS.items()}
     out = by_label.select("num", *[c.alias(f) for f, c in fields.items()])
-    return out.withColumn("nb_etablissements", first_integer(F.col("etablissements"))).drop("etablissements")
+    out = out.withColumn("nb_etablissements", first_integer(F.col("etablissements"))).drop("etablissements")
+    return pages.select("num").distinct().join(out, "num", "left")
+
+
+def grouped(fields: DataFrame) -> DataFrame:
+    """The fields of a card as one struct per group."""
+    groups = [F.struct(*names).alias(g) for g, names in CARD_GROUPS.items()]
+    return fields.select("num", *groups, "nb_etablissements")
+
+
+def card_records(pages: DataFrame, rows: DataFrame, links: DataFrame) -> Record:
+    """Web card records: groups, outbound links, list of establishments and archive path per card; officers, relations and
+    activities as children. ``rows`` and ``links`` are those of ``pages``."""
+    out = outbound_links(links).groupBy("num").pivot("kind", [name for _, name in LINK_CLASSES]).agg(F.first("href"))
+    out = out.select("num", F.struct(*[name for _, name in LINK_CLASSES]).alias("liens_externes"))
+    base = grouped(card_fields(label_values(rows), pages)).join(out, "num", "left").join(establishment_link(links), "num", "left")
+    base = base.withColumn("archive", F.concat(F.lit("/kbopub/"), "num", F.lit(".html")))
+    titled = with_section(rows)
+    return record(base, {
+        "fonctions": (officers(titled).withColumn("pos", F.col("row_no")), ["fonction", "nom", "depuis"]),
+        "liens_entites": (relations(titled).withColumn("pos", F.col("row_no")), ["bce", "nom", "texte"]),
+        "activites": (activity_links(links).withColumn("pos", F.col("link_no")), ["nace_version", "nace_code", "ligne"]),
+    })
+
+
+def publication_records(pages: DataFrame, found: DataFrame) -> Record:
+    """Publication records: number of publications and of pages read per enterprise; the publications as children."""
+    read = pages.groupBy("num").agg(F.countDistinct("page").alias("pages"))
+    counted = found.groupBy("num").agg(F.count("*").alias("nb_publications"))
+    base = read.join(counted, "num", "left").fillna(0, ["nb_publications"])
+    return record(base, {"publications": (found.withColumn("pos", F.col("place")), ["numac", "date", "titre", "pdf_url"])})
 
 
 def with_section(rows: DataFrame) -> DataFrame:
@@ -130,7 +164,7 @@ def publication_links(links: DataFrame) -> DataFrame:
     part = [F.regexp_extract("href", PUBLICATION_PATTERN, i) for i in range(1, 5)]
     return found.select(
         "num", "page", "link_no", part[3].alias("numac"), F.concat_ws("-", *part[:3]).alias("date"),
-        clip(F.col("block_text"), 200).alias("titre"), absolute_url(F.col("href"), PUBLICATION_HOST).alias("pdf_url"),
+        none_if_empty(F.col("block_text")).alias("titre"), absolute_url(F.col("href"), PUBLICATION_HOST).alias("pdf_url"),
     )
 
 
@@ -160,15 +194,14 @@ def page_numbers(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", F.length("html").alias("size"), F.size(hrefs(F.col("html"))).alias("links"))
 
 
-def links_with(pages: DataFrame, words: list[str], limit: int = 15) -> DataFrame:
-    """Distinct links with one of the words, the first ``limit`` by text."""
-    links = pages.select(F.explode(hrefs(F.col("html"))).alias("href"))
+def links_with(pages: DataFrame, words: list[str]) -> DataFrame:
+    """Distinct links of each page with one of the words."""
+    links = pages.select("page_id", F.explode(F.array_distinct(hrefs(F.col("html")))).alias("href"))
     hit = reduce(lambda a, b: a | b, [F.lower("href").contains(w) for w in words])
-    return links.where(hit).distinct().orderBy("href").limit(limit)
+    return links.where(hit)
 
 
-def dated_lines(texts: DataFrame, key: str, limit: int = 8, width: int = 160) -> DataFrame:
-    """First text lines with a date, in reading order; a bounded report."""
+def dated_lines(texts: DataFrame, key: str) -> DataFrame:
+    """Text lines with a date and their line number."""
     lines = texts.select(key, F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn("line", F.trim("line"))
-    hits = lines.where(F.col("line").rlike(DATE_LINE_PATTERN)).orderBy(key, "line_no").limit(limit)
-    return hits.select(key, "line_no", F.substring("line", 1, width).alias("line"))
+    return lines.where(F.col("line").rlike(DATE_LINE_PATTERN))

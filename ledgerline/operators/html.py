@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import sys
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -36,6 +37,7 @@ class Page(HTMLParser):
         self.texts: list[str] = []
         self.elements: list[dict] = []
         self.open: list[dict] = []
+        self.depth: Counter[str] = Counter()  # open elements per tag
         self.raw = 0
         self.feed(html)
         self.close()
@@ -43,7 +45,9 @@ class Page(HTMLParser):
             self._shut()
 
     def _shut(self) -> None:
-        self.open.pop()["end"] = len(self.texts)
+        element = self.open.pop()
+        element["end"] = len(self.texts)
+        self.depth[element["tag"]] -= 1
 
     def handle_starttag(self, tag, attrs):
         for ended in _ENDS.get(tag, ()):
@@ -60,9 +64,10 @@ class Page(HTMLParser):
             element["end"] = element["start"]
         else:
             self.open.append(element)
+            self.depth[tag] += 1
 
     def handle_endtag(self, tag):
-        if any(e["tag"] == tag for e in self.open):
+        if self.depth[tag]:
             while self.open[-1]["tag"] != tag:
                 self._shut()
             self._shut()

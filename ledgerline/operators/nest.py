@@ -1,84 +1,68 @@
-"""Child tables folded into arrays of one parent row, in parts of a bounded size.
+"""Records with child tables: one base row per key, the children in long form.
 
-An enterprise is one row, as long as none of its child tables holds more than
-``part_rows`` rows for it. A larger one is continued in further rows
-(``part`` 1, 2, ..), so no array and no task ever takes an unbounded group and
-nothing is dropped. All children share one shuffle on (key, part).
+Children are never gathered, so a key may have any number of child rows: results have the same shape and order at every
+size. Arrays are built only for a page of keys that the caller names.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.scale import checked_broadcast, fits
 
-PART_ROWS = 50_000
+class Record(NamedTuple):
+    """``base`` has one row per key; ``children`` have the key, a position and their fields.
 
+    ``raw`` names, for children that are costly to derive, tables with the same keys that are cheaper to count.
+    """
 
-def large_keys(children: list[DataFrame], keys: list[str], part_rows: int) -> DataFrame:
-    """Keys that need several parts, with their number of parts."""
-    counts = reduce(
-        DataFrame.unionByName,
-        [c.groupBy(*keys).count().where(F.col("count") > part_rows) for c in children],
-    )
-    return counts.groupBy(*keys).agg(F.max(F.ceil(F.col("count") / F.lit(part_rows))).cast("int").alias("parts"))
+    base: DataFrame
+    children: dict[str, DataFrame]
+    key: str = "num"
+    raw: dict[str, DataFrame] = {}
 
+    def where(self, of_key: Column) -> Record:
+        """The record restricted by a condition on its key, before anything is joined."""
+        return self._replace(
+            base=self.base.where(of_key), children={n: c.where(of_key) for n, c in self.children.items()},
+            raw={n: c.where(of_key) for n, c in self.raw.items()})
 
-def lists(
-    rows: DataFrame, keys: list[str], fields: list[str], name: str, order: str = "pos", part_rows: int = PART_ROWS
-) -> DataFrame:
-    """Rows of each key as one ordered array of structs, in parts when there are very many."""
-    large = large_keys([rows], keys, part_rows)
-    if fits(large, 0):
-        marked = rows.withColumn("part", F.lit(0))
-    else:
-        part = F.coalesce(F.pmod(F.xxhash64(order), "parts").cast("int"), F.lit(0))
-        sized = checked_broadcast(large.select("parts", *[F.col(k).alias(f"large_{k}") for k in keys]))
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"large_{k}")) for k in keys])
-        marked = rows.join(sized, same, "left").withColumn("part", part)
-    item = F.struct(F.col(order).alias("at"), F.struct(*fields).alias("item"))
-    return marked.groupBy(*keys, "part").agg(
-        F.sort_array(F.collect_list(item))["item"].alias(name)
-    )
+    def rows(self, child: str, *columns: str, every: bool = False) -> DataFrame:
+        """Rows of one child beside base ``columns``; rows without a record go.
 
+        ``every`` adds records without child rows (fields NULL). They come from an anti join, so that the inner join can
+        still be split where one key has very many rows.
+        """
+        rows, base = self.children[child], self.base.select(self.key, *columns)
+        found = rows.join(base, self.key)
+        if not every:
+            return found
+        return found.unionByName(base.join(rows.select(self.key), self.key, "left_anti"), allowMissingColumns=True)
 
-def fold(
-    parent: DataFrame,
-    children: dict[str, tuple],
-    key: str = "num",
-    order: str = "pos",
-    part_rows: int = PART_ROWS,
-) -> DataFrame:
-    """``parent`` with one array of structs per child, ordered by ``order``; none gives an empty array.
+    def counts(self) -> DataFrame:
+        """The base with the number of rows of each child: one shuffle of all children, combined map-side."""
+        tables = {**self.children, **self.raw}
+        stacked = reduce(DataFrame.unionByName, [tables[n].select(self.key, F.lit(n).alias("child")) for n in self.children])
+        sums = stacked.groupBy(self.key).agg(*[F.count_if(F.col("child") == n).cast("int").alias(n) for n in self.children])
+        return self.base.join(sums, self.key, "left").fillna(0, list(self.children))
 
-    A child is ``(rows, fields)`` or ``(rows, fields, counted)``, where ``counted`` has the same keys
-    as ``rows`` but is cheaper to count. Child rows without a key belong to no parent.
-    """
-    children = {n: (c[0].where(F.col(key).isNotNull()), *c[1:]) for n, c in children.items()}
-    large = large_keys([c[-1] if len(c) == 3 else c[0] for c in children.values()], [key], part_rows)
-    split = not fits(large, 0)
-    if split:
-        large = checked_broadcast(large)
+    def nested(self, keys: list[str], order: str = "pos") -> DataFrame:
+        """The records of a page of ``keys`` with their children as ordered arrays of structs."""
+        part = self.where(F.col(self.key).isin(keys))
+        out = part.base
+        for name, rows in part.children.items():
+            fields = [c for c in rows.columns if c not in (self.key, order)]
+            item = F.struct(F.col(order).alias("at"), F.struct(*fields).alias("item"))
+            lists = rows.groupBy(self.key).agg(F.sort_array(F.collect_list(item))["item"].alias(name))
+            out = out.join(lists, self.key, "left").withColumn(name, F.coalesce(name, F.array()))
+        return out
 
-    def with_part(df: DataFrame, *spread: str) -> DataFrame:
-        if not split:
-            return df.withColumn("part", F.lit(0))
-        marked = df.join(large, key, "left")
-        if not spread:
-            spans = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
-            return marked.withColumn("part", F.explode(spans)).drop("parts")
-        return marked.withColumn("part", F.coalesce(F.pmod(F.xxhash64(*spread), "parts").cast("int"), F.lit(0))).drop("parts")
 
-    pieces = [with_part(parent).select(key, "part", F.struct(*[c for c in parent.columns if c != key]).alias("parent"))]
-    for name, (child, fields, *_) in children.items():
-        item = F.struct(F.col(order).alias("at"), F.struct(*fields).alias("item"))
-        pieces.append(with_part(child, order).select(key, "part", item.alias(name)))
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces)
-    grouped = stacked.groupBy(key, "part").agg(
-        F.max_by("parent", F.col("parent").isNotNull().cast("int")).alias("parent"),
-        *[F.sort_array(F.collect_list(n))["item"].alias(n) for n in children],
-    )
-    return grouped.where(F.col("parent").isNotNull()).select(key, "part", "parent.*", *children)
+def record(parent: DataFrame, children: dict[str, tuple[DataFrame, list[str]]], key: str = "num", order: str = "pos",
+           raw: dict[str, DataFrame] | None = None) -> Record:
+    """A record of ``parent`` (one row per key) and its ``children`` (rows, fields), each ordered by ``order``."""
+    long = {n: rows.where(F.col(key).isNotNull()).select(key, order, *[f for f in fields if f != order]) for n, (rows, fields) in children.items()}
+    return Record(parent, long, key, {n: df.where(F.col(key).isNotNull()) for n, df in (raw or {}).items()})

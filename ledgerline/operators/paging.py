@@ -26,4 +26,5 @@ def newest_first_then_oldest(df: DataFrame, at: str, key: str, limit: int = 20)
 
 
 def by_source_and_year(df: DataFrame) -> DataFrame:
-    return df.orderBy(F.coalesce("source", F.lit("")), F.coalesce("year", F.lit("")))
+    """Ordered by source and year; the path comes last, so that a common pair does not fall to one task."""
+    return df.orderBy(F.coalesce("source", F.lit("")), F.coalesce("year", F.lit("")), "path")

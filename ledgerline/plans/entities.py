@@ -1,4 +1,4 @@
-"""Nested enterprise records: rich, silver, sector targets, translated records, profiles."""
+"""Enterprise records: rich, silver, sector targets, translated records, profiles."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from ledgerline.operators import picks
 from ledgerline.operators.filters import sector_enterprises
 from ledgerline.operators.lookups import Decoder, code_labels, decode_activities, nace_category, resolve_officers
 from ledgerline.operators.merge import not_done, purge, upsert_targets
-from ledgerline.operators.nest import PART_ROWS, fold
+from ledgerline.operators.nest import Record, record
 from ledgerline.operators.rollups import zero_filled
 
 ADDRESS = ["type_of_address", "street_fr", "street_nl", "house_number", "zipcode", "municipality_fr", "municipality_nl"]
@@ -24,42 +24,39 @@ LABELS = ["group_fr", "group_nl", "classification_fr", "classification_nl", "nac
 def rich(
     enterprises: DataFrame, activities: DataFrame, addresses: DataFrame, branches: DataFrame, contacts: DataFrame,
     establishments: DataFrame, denominations: DataFrame, codes: DataFrame, done: DataFrame | None = None,
-    part_rows: int = PART_ROWS,
-) -> DataFrame:
-    """Enterprises with their six child tables as arrays, activities decoded; ``done`` keys are left out."""
+) -> Record:
+    """Enterprises with their six child tables, activities decoded; ``done`` keys are left out."""
     if done is not None:
         enterprises = enterprises.join(done.select("num").distinct(), "num", "left_anti")
-    return fold(
+    return record(
         enterprises,
         {
-            "activites": (decode_activities(activities, codes), ACTIVITY + LABELS, activities),
+            "activites": (decode_activities(activities, codes), ACTIVITY + LABELS),
             "adresses": (addresses, ADDRESS),
             "succursales": (branches.withColumn("pos", F.col("branch_id")), ["branch_id", "branch_name"]),
             "contacts": (contacts, ["contact_type", "value"]),
             "etablissements": (establishments.withColumn("pos", F.col("establishment_number")), ["establishment_number", "start_date"]),
             "denominations": (denominations, ["language", "type_code", "valeur"]),
         },
-        part_rows=part_rows,
+        raw={"activites": activities},
     )
 
 
 def silver(
     enterprises: DataFrame, activities: DataFrame, addresses: DataFrame, denominations: DataFrame, documents: DataFrame,
     accounts: list[DataFrame], cards: DataFrame | None = None, publications: DataFrame | None = None,
-    part_rows: int = PART_ROWS,
-) -> DataFrame:
+) -> Record:
     """One cleaned record per enterprise.
 
-    Clean-ups (seat addresses, first activity per code and class, ISO dates) run on the long
-    tables before folding; an absent optional source leaves a NULL struct or an empty array.
-    Account sources are concatenated in the given order.
+    Seat addresses, first activity per code and class, ISO dates. A card or publication source has one row per
+    enterprise; an absent one adds no struct. Account sources are concatenated in the given order.
     """
     base = enterprises.withColumn("num", clean_number(F.col("enterprise_number")))
     base = base.withColumn("date_creation", iso_date(F.col("start_date"))).drop("enterprise_number", "start_date")
     for name, side in (("kbopub", cards), ("ejustice", publications)):
         if side is not None:
             one = side.select("num", F.struct(*[c for c in side.columns if c != "num"]).alias(name))
-            base = base.join(one.dropDuplicates(["num"]), "num", "left")
+            base = base.join(picks.first_per_key(one, ["num"], name), "num", "left")
     fields = ["deposit_id", "reference", "period_year"]
     stacked = None
     for i, source in enumerate(accounts):
@@ -74,7 +71,7 @@ def silver(
     }
     if stacked is not None:
         children["comptes_annuels"] = (stacked, fields)
-    return fold(base, children, part_rows=part_rows)
+    return record(base, children)
 
 
 def matched_codes(activities: DataFrame) -> DataFrame:

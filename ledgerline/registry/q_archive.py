@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import line_code, line_value
-from ledgerline.operators import extract, html, lookups, merge, nest
+from ledgerline.operators import extract, html, lookups, merge
 from ledgerline.registry.book import query
 from ledgerline.registry.inputs import DAY, _dotted, _num
 from ledgerline.session import new_folder
@@ -102,9 +102,9 @@ def src09(d):
     return back.select(F.regexp_extract("path", "page_id=(\\d+)", 1).cast("long").alias("page_id"), F.md5(body).alias("digest"))
 
 
-@query("src10_folder_stats")
+@query("src10_folder_stats", """SELECT count(*) AS files, CAST(sum(size_bytes) AS BIGINT) AS bytes, count(DISTINCT regexp_replace(path, '/[^/]+$', '')) AS folders FROM fx_document""")
 def src10(d):
-    return archive.folder_stats(d.spark, d.sf, "*.parquet")
+    return archive.stats_of(d.fx_document.select("path", F.col("size_bytes").alias("length")))
 
 
 @query("src11_deposit_payloads", "SELECT id, num AS enterprise, period_year, reference, migration, 1 AS pages FROM fx_deposit")
@@ -187,12 +187,21 @@ def win12(d):
         F.max(F.when(F.col("label") == "Capital", F.col("val"))).alias("capital"))
 
 
+def card_pages(d):
+    """Cards with labels, and the raw web pages, which have none."""
+    return d.fx_card_page.unionByName(d.pages.select(F.concat(F.lit("w"), F.col("page_id").cast("string")).alias("num"), F.lit(1).alias("page"), "html"))
+
+
 @query("htm02_card_fields", f"""SELECT {_num(C)} AS num, {_dotted(C)} AS numero, CASE WHEN c_custkey % 10 = 0 THEN 'Arrêté' ELSE 'Actif' END AS statut,
 CASE WHEN c_custkey % 5 = 0 THEN c_name || ' SA' ELSE c_name END AS denomination, 'Rue ' || CAST(c_nationkey AS STRING) || ', bte ' || CAST(c_custkey % 90 AS STRING) AS adresse_siege,
-CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING) || ' EUR' AS capital, CAST(c_custkey % 12 AS INT) AS nb_etablissements, NULL::VARCHAR AS email FROM customer""")
+CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING) || ' EUR' AS capital, CAST(c_custkey % 12 AS INT) AS nb_etablissements, NULL::VARCHAR AS email FROM customer
+UNION ALL SELECT 'w' || CAST(page_id AS STRING), NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM pages""")
 def htm02(d):
-    f = extract.card_fields(extract.label_values(html.page_rows(d.fx_card_page)))
-    return f.select("num", "numero", "statut", "denomination", "adresse_siege", "capital", "nb_etablissements", "email")
+    pages = card_pages(d)
+    f = extract.grouped(extract.card_fields(extract.label_values(html.page_rows(pages)), pages))
+    return f.select(
+        "num", "generalites.numero", "generalites.statut", "generalites.denomination", "generalites.adresse_siege", "donnees_financieres.capital",
+        "nb_etablissements", "contact.email")
 
 
 def sections(d):
@@ -275,15 +284,15 @@ def htm12(d):
     return extract.page_numbers(d.pages)
 
 
-@query("htm12b_keyword_links", f"""SELECT DISTINCT href FROM (SELECT unnest(regexp_extract_all(html, {LINKS_RE}, 1)) AS href FROM pages)
-WHERE contains(lower(href), 'th') OR contains(lower(href), 'pdf') ORDER BY href LIMIT 15""")
+@query("htm12b_keyword_links", f"""SELECT DISTINCT page_id, href FROM (SELECT page_id, unnest(regexp_extract_all(html, {LINKS_RE}, 1)) AS href FROM pages)
+WHERE contains(lower(href), 'th') OR contains(lower(href), 'pdf')""")
 def htm12b(d):
-    return extract.links_with(d.pages, ["th", "pdf"], 15)
+    return extract.links_with(d.pages, ["th", "pdf"])
 
 
 @query("htm13_dated_lines", """WITH t AS (SELECT 'd' || CAST(doc_id AS STRING) AS id, text FROM documents UNION ALL SELECT 'a' || CAST(deposit_id AS STRING), raw_csv FROM fx_account),
 l AS (SELECT id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no FROM t)
-SELECT id, CAST(line_no AS INT) AS line_no, substr(trim(line), 1, 160) AS line FROM l WHERE regexp_matches(line, '\\d{2}[-/]\\d{2}[-/]\\d{4}|\\d{4}-\\d{2}-\\d{2}') ORDER BY id, 2 LIMIT 8""")
+SELECT id, CAST(line_no AS INT) AS line_no, trim(line) AS line FROM l WHERE regexp_matches(line, '\\d{2}[-/]\\d{2}[-/]\\d{4}|\\d{4}-\\d{2}-\\d{2}')""")
 def htm13(d):
     a = d.documents.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), "text")
     b = d.fx_account.select(F.concat(F.lit("a"), F.col("deposit_id").cast("string")).alias("id"), F.col("raw_csv").alias("text"))
@@ -291,19 +300,23 @@ def htm13(d):
 
 
 @query("htm14_page_record", f"""SELECT {_num(C)} AS num, '/kbopub/' || {_num(C)} || '.html' AS archive, 2 AS fonctions, CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE 1 END AS liens, 1 AS activites,
-CAST(c_custkey % 12 AS INT) AS nb_etablissements FROM customer""")
+CAST(c_custkey % 12 AS INT) AS nb_etablissements, {_dotted(C)} AS numero, 'toonvestigingps.html?ondernemingsnummer=' || CAST(c_custkey AS STRING) AS ue_url,
+'http://a.example/ejustice/' || CAST(c_custkey AS STRING) AS ejustice, CASE WHEN c_custkey % 6 = 0 THEN 'http://statuts.notaire.be/' || CAST(c_custkey AS STRING) END AS notaire FROM customer
+UNION ALL SELECT 'w' || CAST(page_id AS STRING), '/kbopub/w' || CAST(page_id AS STRING) || '.html', 0, 0, 0, NULL, NULL, NULL, NULL, NULL FROM pages""")
 def htm14(d):
-    rows, links = html.page_rows(d.fx_card_page), html.page_links(d.fx_card_page)
-    titled = extract.with_section(rows)
-    cards = extract.card_fields(extract.label_values(rows))
-    record = nest.fold(cards, {
-        "fonctions": (extract.officers(titled).withColumn("pos", F.col("row_no")), ["fonction", "nom", "depuis"]),
-        "liens_entites": (extract.relations(titled).withColumn("pos", F.col("row_no")), ["bce", "nom", "texte"]),
-        "activites": (extract.activity_links(links).withColumn("pos", F.col("link_no")), ["nace_version", "nace_code", "ligne"]),
-    })
-    record = record.withColumn("archive", F.concat(F.lit("/kbopub/"), "num", F.lit(".html")))
-    merged = merge.replace_rows(record.where("num like '%5'"), record, ["num", "part"])
-    return merged.select("num", "archive", F.size("fonctions").alias("fonctions"), F.size("liens_entites").alias("liens"), F.size("activites").alias("activites"), "nb_etablissements")
+    pages = card_pages(d)
+    record = extract.card_records(pages, html.page_rows(pages), html.page_links(pages)).counts()
+    merged = merge.replace_rows(record.where("num like '%5'"), record, ["num"])
+    return merged.select(
+        "num", "archive", "fonctions", F.col("liens_entites").alias("liens"), "activites", "nb_etablissements", "generalites.numero", "ue_url",
+        "liens_externes.ejustice", "liens_externes.notaire")
+
+
+@query("htm14b_publication_record", f"""WITH p AS ({PUBS}), n AS (SELECT num, count(*) AS n FROM p GROUP BY num), k AS (SELECT {_num('o_custkey')} AS num, count(*) AS pages FROM orders GROUP BY 1)
+SELECT p.num, k.pages, n.n AS nb_publications, p.numac, p.date FROM p JOIN n ON n.num = p.num JOIN k ON k.num = p.num""")
+def htm14b(d):
+    record = extract.publication_records(d.fx_pub_page, extract.publications(html.page_links(d.fx_pub_page)))
+    return record.rows("publications", "pages", "nb_publications").select("num", "pages", "nb_publications", "numac", "date")
 
 
 @query("jn12_officer_names", f"""WITH n AS (SELECT num, coalesce(arg_min(valeur, pos) FILTER (type_code = '001'), arg_min(valeur, pos)) AS name FROM fx_denomination WHERE coalesce(valeur, '') <> '' GROUP BY num)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.constants import FORMS_WITHOUT_DEEDS, PUBLIC_FORMS, SECTOR_CODES, SECTOR_LABELS
+from ledgerline.constants import FORMS_WITHOUT_DEEDS, PUBLIC_FORMS, SEAT_TYPES, SECTOR_CODES, SECTOR_LABELS
 from ledgerline.functions import dates, keys, text
 from ledgerline.operators import filters, lookups, nest, paging, picks, rollups
 from ledgerline.plans import entities
@@ -200,8 +200,8 @@ def flt04(d):
 
 @query("flt04b_main_activity_nested", f"SELECT num FROM fx_enterprise WHERE num IN ({MAIN_SQL})")
 def flt04b(d):
-    nested = nest.fold(d.fx_enterprise, {"activites": (d.fx_activity, ["nace_code", "classification"])})
-    return nested.where(filters.has_main_code(F.col("activites"), SECTOR_CODES)).select("num").distinct()
+    rec = nest.record(d.fx_enterprise, {"activites": (d.fx_activity, ["nace_code", "classification"])})
+    return rec.base.select("num").join(filters.main_activity_of(rec.children["activites"], SECTOR_CODES), "num", "left_semi")
 
 
 SECTOR_SQL = f"""SELECT num, juridical_form FROM fx_enterprise WHERE status = 'AC' AND type_of_enterprise = '2'
@@ -216,9 +216,9 @@ def flt05(d):
 @query("flt06_seats", """SELECT e.num, CAST(count(a.num) AS INT) AS sieges, min(a.street_nl) AS rue FROM fx_enterprise e
 LEFT JOIN fx_address a ON a.num = e.num AND a.type_of_address IN ('Siège', 'REGO') GROUP BY e.num""")
 def flt06(d):
-    nested = nest.fold(d.fx_enterprise, {"adresses": (d.fx_address, ["type_of_address", "street_nl"])})
-    kept = nested.select("num", filters.keep_seats(F.col("adresses"), "type_of_address").alias("s"))
-    return kept.select("num", F.size("s").alias("sieges"), F.try_element_at("s", F.lit(1))["street_nl"].alias("rue"))
+    seats = d.fx_address.where(F.col("type_of_address").isin(SEAT_TYPES))
+    first = seats.groupBy("num").agg(F.count("*").cast("int").alias("sieges"), F.min_by("street_nl", "pos").alias("rue"))
+    return rollups.zero_filled(d.fx_enterprise.select("num"), first, "num", "sieges")
 
 
 @query("flt07_any_path", """SELECT num FROM fx_enterprise e WHERE EXISTS (SELECT 1 FROM fx_activity a WHERE a.num = e.num AND a.nace_code IN ('55100', '55203'))
@@ -348,9 +348,8 @@ def win09(d):
 
 @query("prj01_array_projection", "SELECT num, nace_code, classification FROM fx_activity WHERE num IN (SELECT num FROM fx_enterprise)")
 def prj01(d):
-    nested = nest.fold(d.fx_enterprise, {"activites": (d.fx_activity, ["nace_code", "classification", "activity_group"])})
-    small = F.transform("activites", lambda a: F.struct(a["nace_code"].alias("nace_code"), a["classification"].alias("classification")))
-    return nested.select("num", F.explode(small).alias("a")).select("num", "a.*")
+    rec = nest.record(d.fx_enterprise, {"activites": (d.fx_activity, ["nace_code", "classification", "activity_group"])})
+    return rec.rows("activites").select("num", "nace_code", "classification")
 
 
 @query("prj02_rename_key", "SELECT replace(enterprise_number, '.', '') AS id, status FROM fx_enterprise")
@@ -370,24 +369,23 @@ ACT_ORDER = "-coalesce(TRY_CAST(nace_version AS INT), 0), coalesce(classificatio
 
 
 def activity_order():
-    return F.struct(-F.coalesce(F.col("nace_version").try_cast("int"), F.lit(0)), F.coalesce("classification", F.lit("~")), F.col("pos"))
+    """Newest version first, then class, then input order; the position is unique, so no range holds more than its share."""
+    return -F.coalesce(F.col("nace_version").try_cast("int"), F.lit(0)), F.coalesce("classification", F.lit("~")), F.col("pos")
 
 
-@query("srt06_activity_order", f"SELECT num, string_agg(nace_code, ',' ORDER BY {ACT_ORDER}) AS codes FROM fx_activity GROUP BY num")
+@query("srt06_activity_order", f"SELECT num, nace_version, classification, nace_code FROM fx_activity ORDER BY num, {ACT_ORDER}")
 def srt06(d):
-    ordered = nest.lists(d.fx_activity.withColumn("at_", activity_order()), ["num"], ["nace_code"], "a", "at_")
-    return ordered.select("num", F.array_join(F.transform("a", lambda x: x["nace_code"]), ",").alias("codes"))
+    return d.fx_activity.orderBy("num", *activity_order()).select("num", "nace_version", "classification", "nace_code")
 
 
-@query("prj05_comparison_table", f"""SELECT e.num, n.nom, e.status, e.start_date, c.codes AS codes_nace, coalesce(b.n, 0) AS nb_etablissements FROM fx_enterprise e
-LEFT JOIN {NAMES_SQL} n ON n.num = e.num LEFT JOIN (SELECT num, string_agg(nace_code, ', ' ORDER BY {ACT_ORDER}) AS codes FROM fx_activity GROUP BY num) c ON c.num = e.num
+@query("prj05_comparison_table", f"""SELECT e.num, n.nom, e.status, e.start_date, a.nace_code AS code_nace, coalesce(b.n, 0) AS nb_etablissements FROM fx_enterprise e
+LEFT JOIN {NAMES_SQL} n ON n.num = e.num LEFT JOIN fx_activity a ON a.num = e.num
 LEFT JOIN (SELECT num, count(*) AS n FROM fx_establishment GROUP BY num) b ON b.num = e.num""")
 def prj05(d):
-    lists = nest.lists(d.fx_activity.withColumn("at_", activity_order()), ["num"], ["nace_code"], "a", "at_")
-    lists = lists.select("num", F.array_join(F.transform("a", lambda x: x["nace_code"]), ", ").alias("codes_nace"))
     counts = d.fx_establishment.groupBy("num").agg(F.count("*").alias("nb_etablissements"))
-    out = d.fx_enterprise.join(picks.names_in_language(d.fx_denomination), "num", "left").join(lists, "num", "left")
-    return rollups.zero_filled(out, counts, "num", "nb_etablissements").select("num", "nom", "status", "start_date", "codes_nace", "nb_etablissements")
+    base = rollups.zero_filled(d.fx_enterprise.join(picks.names_in_language(d.fx_denomination), "num", "left"), counts, "num", "nb_etablissements")
+    rec = nest.record(base, {"activites": (d.fx_activity.withColumnRenamed("nace_code", "code_nace"), ["code_nace"])})
+    return rec.rows("activites", "nom", "status", "start_date", "nb_etablissements", every=True).drop("pos")
 
 
 @query("prj06_transpose", """WITH t AS (SELECT status, count(*) AS enterprises, count(juridical_form) AS with_form, count(start_date) AS with_date FROM fx_enterprise GROUP BY status)
@@ -399,13 +397,10 @@ def prj06(d):
     return wide.transpose("status")
 
 
-@query("prj07_explode_recollect", "SELECT num, string_agg(lower(coalesce(valeur, '?')), '|' ORDER BY pos) AS names FROM fx_denomination WHERE num IN (SELECT num FROM fx_enterprise) GROUP BY num")
+@query("prj07_explode_recollect", "SELECT num, pos, lower(coalesce(valeur, '?')) AS valeur FROM fx_denomination WHERE num IN (SELECT num FROM fx_enterprise)")
 def prj07(d):
-    nested = nest.fold(d.fx_enterprise, {"names": (d.fx_denomination, ["valeur"])})
-    rows = nested.select("num", F.posexplode("names").alias("pos", "n"))
-    rows = rows.select("num", "pos", F.lower(F.coalesce("n.valeur", F.lit("?"))).alias("valeur"))
-    back = nest.lists(rows, ["num"], ["valeur"], "names")
-    return back.select("num", F.array_join(F.transform("names", lambda x: x["valeur"]), "|").alias("names"))
+    rec = nest.record(d.fx_enterprise, {"names": (d.fx_denomination, ["valeur"])})
+    return rec.rows("names").select("num", "pos", F.lower(F.coalesce("valeur", F.lit("?"))).alias("valeur"))
 
 
 # --- joins ---------------------------------------------------------------------
@@ -419,24 +414,21 @@ def jn02(d):
     return e.join(one, "num", "left")
 
 
-@query("jn03_one_to_many", """SELECT e.num, CAST(count(x.doc_id) AS INT) AS n_documents, coalesce(string_agg(x.path, ',' ORDER BY x.path), '') AS paths
-FROM fx_enterprise e LEFT JOIN fx_document x ON x.enterprise = e.num GROUP BY e.num""")
+@query("jn03_one_to_many", "SELECT e.num, e.status, x.path FROM fx_enterprise e LEFT JOIN fx_document x ON x.enterprise = e.num")
 def jn03(d):
     docs = d.fx_document.select(F.col("enterprise").alias("num"), "path", F.col("path").alias("pos"))
-    n = nest.fold(d.fx_enterprise, {"documents": (docs, ["path"])})
-    return n.select("num", F.size("documents").alias("n_documents"), F.array_join(F.transform("documents", lambda x: x["path"]), ",").alias("paths"))
+    return nest.record(d.fx_enterprise, {"documents": (docs, ["path"])}).rows("documents", "status", every=True).drop("pos")
 
 
-@query("jn04_concat_sources", """SELECT e.num, coalesce(string_agg(x.k, ',' ORDER BY x.src, x.id), '') AS items FROM fx_enterprise e LEFT JOIN (
+@query("jn04_concat_sources", """SELECT e.num, x.src, x.id, x.k FROM fx_enterprise e LEFT JOIN (
 SELECT num, 0 AS src, deposit_id AS id, 'a' || CAST(deposit_id AS STRING) AS k FROM fx_account UNION ALL
-SELECT num, 1, document_id, 's' || CAST(document_id AS STRING) FROM fx_statute) x ON x.num = e.num GROUP BY e.num""")
+SELECT num, 1, document_id, 's' || CAST(document_id AS STRING) FROM fx_statute) x ON x.num = e.num""")
 def jn04(d):
     def tagged(df, src, key, mark):
         return df.select("num", F.struct(F.lit(src).alias("src"), F.col(key).alias("id")).alias("pos"), F.concat(F.lit(mark), F.col(key).cast("string")).alias("k"))
 
     both = tagged(d.fx_account, 0, "deposit_id", "a").unionByName(tagged(d.fx_statute, 1, "document_id", "s"))
-    n = nest.fold(d.fx_enterprise, {"items": (both, ["k"])})
-    return n.select("num", F.array_join(F.transform("items", lambda x: x["k"]), ",").alias("items"))
+    return nest.record(d.fx_enterprise, {"items": (both, ["k"])}).rows("items", every=True).select("num", "pos.src", "pos.id", "k")
 
 
 def rich(d, done=None):
@@ -455,8 +447,7 @@ CHILDREN = ["activites", "adresses", "succursales", "contacts", "etablissements"
 
 @query("jn05_denormalise", f"SELECT e.num, e.status, {COUNT_COLS} FROM fx_enterprise e {CHILD_COUNTS}")
 def jn05(d):
-    r = rich(d)
-    return r.groupBy("num", "status").agg(*[F.sum(F.size(c)).cast("int").alias(c) for c in CHILDREN])
+    return rich(d).counts().select("num", "status", *CHILDREN)
 
 
 LABEL_CTE = """labels AS (SELECT category, code, arg_max(description, pos) FILTER (language = 'FR') AS fr, arg_max(description, pos) FILTER (language = 'NL') AS nl
@@ -511,7 +502,7 @@ def jn14(d):
     return lookups.document_list(d.fx_document.withColumn("type", F.lit("publication")), d.fx_account)
 
 
-@query("srt03_document_order", DOC_LIST + " ORDER BY coalesce(source, ''), coalesce(year, '')")
+@query("srt03_document_order", DOC_LIST + " ORDER BY coalesce(source, ''), coalesce(year, ''), path")
 def srt03(d):
     return paging.by_source_and_year(jn14(d))
 
@@ -584,27 +575,20 @@ def agg11(d):
     return d.fx_activity.select("nace_code").distinct()
 
 
-@query("agg12_version_map", """SELECT num, nace_version, string_agg(coalesce(classification, '?') || ':' || nace_code, ',' ORDER BY coalesce(classification, '~'), pos) AS activites
-FROM fx_activity GROUP BY num, nace_version""")
+@query("agg12_version_map", """SELECT num, nace_version, coalesce(classification, '?') || ':' || nace_code AS activite, count(*) AS n
+FROM fx_activity GROUP BY ALL""")
 def agg12(d):
-    rows = d.fx_activity.withColumn("at_", F.struct(F.coalesce("classification", F.lit("~")), "pos"))
-    lists = nest.lists(rows, ["num", "nace_version"], ["nace_code", "classification"], "a", "at_")
-    versions = lists.groupBy("num", "part").agg(F.map_from_entries(F.collect_list(F.struct("nace_version", "a"))).alias("activites"))
-    flat = versions.select("num", F.explode("activites").alias("nace_version", "a"))
-    shown = F.transform("a", lambda x: F.concat(F.coalesce(x["classification"], F.lit("?")), F.lit(":"), x["nace_code"]))
-    return flat.select("num", "nace_version", F.array_join(shown, ",").alias("activites"))
+    shown = F.concat(F.coalesce("classification", F.lit("?")), F.lit(":"), "nace_code")
+    return d.fx_activity.groupBy("num", "nace_version", shown.alias("activite")).agg(F.count("*").alias("n"))
 
 
-@query("agg13_contact_lists", """SELECT num, coalesce(string_agg(value, ',' ORDER BY pos) FILTER (contact_type = 'TEL'), '') AS telephone,
-coalesce(string_agg(value, ',' ORDER BY pos) FILTER (contact_type = 'EMAIL'), '') AS email, coalesce(string_agg(value, ',' ORDER BY pos) FILTER (contact_type = 'WEB'), '') AS site_web
-FROM fx_contact GROUP BY num""")
+@query("agg13_contact_lists", """SELECT num, CASE contact_type WHEN 'TEL' THEN 'telephone' WHEN 'EMAIL' THEN 'email' ELSE 'site_web' END AS kind, value, min(pos) AS pos, count(*) AS n
+FROM fx_contact WHERE contact_type IN ('TEL', 'EMAIL', 'WEB') GROUP BY ALL""")
 def agg13(d):
-    lists = nest.lists(d.fx_contact, ["num"], ["contact_type", "value"], "c")
-
-    def of(kind):
-        return F.array_join(F.transform(F.filter("c", lambda x: x["contact_type"] == kind), lambda x: x["value"]), ",")
-
-    return lists.select("num", of("TEL").alias("telephone"), of("EMAIL").alias("email"), of("WEB").alias("site_web"))
+    kind = F.col("contact_type")
+    named = F.when(kind == "TEL", "telephone").when(kind == "EMAIL", "email").when(kind == "WEB", "site_web")
+    rows = d.fx_contact.withColumn("kind", named).where("kind IS NOT NULL")
+    return rows.groupBy("num", "kind", "value").agg(F.min("pos").alias("pos"), F.count("*").alias("n"))
 
 
 @query("agg14_code_dictionary", f"WITH {LABEL_CTE} SELECT category, code, fr, nl FROM labels")
@@ -629,8 +613,7 @@ def agg19(d):
 @query("agg20_array_sizes", "SELECT e.num, CAST(count(b.num) AS INT) AS nb_etablissements FROM fx_enterprise e LEFT JOIN fx_establishment b ON b.num = e.num GROUP BY e.num")
 def agg20(d):
     b = d.fx_establishment.withColumn("pos", F.col("establishment_number"))
-    n = nest.fold(d.fx_enterprise, {"etablissements": (b, ["establishment_number"])})
-    return n.groupBy("num").agg(F.sum(F.size(F.coalesce("etablissements", F.array()))).cast("int").alias("nb_etablissements"))
+    return nest.record(d.fx_enterprise, {"nb_etablissements": (b, ["establishment_number"])}).counts().select("num", "nb_etablissements")
 
 
 @query("agg21_sum_of_squares", "SELECT count(*) AS n, CAST(sum(o_orderkey * o_orderkey) AS BIGINT) AS carres FROM orders")
@@ -662,9 +645,9 @@ def srt02(d):
     return paging.with_total(paging.page(t, skip=20, limit=50), t)
 
 
-@query("srt04_deposit_order", "SELECT id, num, period_year, deposit_date FROM fx_deposit ORDER BY period_year DESC, deposit_date DESC")
+@query("srt04_deposit_order", "SELECT id, num, period_year, deposit_date FROM fx_deposit ORDER BY period_year DESC, deposit_date DESC, id")
 def srt04(d):
-    return d.fx_deposit.select("id", "num", "period_year", "deposit_date").orderBy(F.desc("period_year"), F.desc("deposit_date"))
+    return d.fx_deposit.select("id", "num", "period_year", "deposit_date").orderBy(F.desc("period_year"), F.desc("deposit_date"), "id")
 
 
 @query("srt05_last_errors", "SELECT num, substr(error, 1, 90) AS error FROM fx_target WHERE status = 'error' ORDER BY num DESC LIMIT 5")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.keys import in_shard
@@ -141,39 +144,34 @@ def flt19(d):
 # --- compositions --------------------------------------------------------------
 
 
-def flat_children(df, names):
-    return [F.sum(F.size(c)).cast("int").alias(c) for c in names]
-
-
 @query("prj04_entity_record", f"""SELECT e.num, n.nom_officiel, e.juridical_form, {COUNT_COLS} FROM fx_enterprise e {CHILD_COUNTS}
 LEFT JOIN (SELECT num, valeur AS nom_officiel FROM fx_denomination WHERE type_code = '001' QUALIFY row_number() OVER (PARTITION BY num ORDER BY language, pos) = 1) n ON n.num = e.num""")
 def prj04(d):
-    r = rich(d)
-    flat = r.groupBy("num", "juridical_form").agg(*flat_children(r, CHILDREN))
+    flat = rich(d).counts().select("num", "juridical_form", *CHILDREN)
     return flat.join(picks.official_names(d.fx_denomination), "num", "left")
 
 
 @query("flt21_point_lookup", f"SELECT e.num, e.status, {COUNT_COLS} FROM fx_enterprise e {CHILD_COUNTS} WHERE e.num = '0000000042'")
 def flt21(d):
-    one = rich(d).where(F.col("num") == "0000000042")
-    return one.groupBy("num", "status").agg(*flat_children(one, CHILDREN))
+    one = rich(d).nested(["0000000042"])
+    return one.select("num", "status", *[F.size(c).alias(c) for c in CHILDREN])
 
 
 @query("prj09_key_inventory", """SELECT DISTINCT 'codes.' || trim(replace(split_part(line, ',', 1), '"', '')) AS key FROM (
 SELECT unnest(string_split(raw_csv, chr(10))[2:]) AS line FROM fx_account WHERE NOT coalesce(migration, false) AND trim(raw_csv) <> '') WHERE trim(line) <> ''
-UNION ALL SELECT unnest(['activites', 'activites.classification', 'activites.nace_code', 'num', 'part', 'status'])""")
+UNION ALL SELECT unnest(['activites', 'activites.classification', 'activites.nace_code', 'num', 'status'])""")
 def prj09(d):
-    nested = nest.fold(d.fx_enterprise.select("num", "status"), {"activites": (d.fx_activity, ["nace_code", "classification"])})
+    nested = nest.record(d.fx_enterprise.select("num", "status"), {"activites": (d.fx_activity, ["nace_code", "classification"])}).nested([])
     codes = fin.csv_codes(fin.eligible(d.fx_account), ["deposit_id"])
     return reports.key_inventory(d.spark, nested).unionByName(reports.map_keys_seen(codes, "codes"))
 
 
 SILVER_SQL = f"""SELECT replace(e.enterprise_number, '.', '') AS num, e.status, {ISO_SQL} AS date_creation,
-CAST(coalesce(dn.n, 0) AS INT) AS denominations, CAST(coalesce(ad.n, 0) AS INT) AS adresses, CAST(coalesce(ac.n, 0) AS INT) AS activites, ac.codes,
+CAST(coalesce(dn.n, 0) AS INT) AS denominations, CAST(coalesce(ad.n, 0) AS INT) AS adresses, CAST(coalesce(ac.n, 0) AS INT) AS activites,
 CAST(coalesce(dc.n, 0) AS INT) AS documents, CAST(coalesce(ca.n, 0) AS INT) AS comptes_annuels, cd.num IS NOT NULL AS has_kbopub, pb.num IS NOT NULL AS has_ejustice
 FROM fx_enterprise e LEFT JOIN (SELECT num, count(*) AS n FROM fx_denomination GROUP BY num) dn ON dn.num = e.num
 LEFT JOIN (SELECT num, count(*) AS n FROM fx_address WHERE type_of_address IN ('Siège', 'REGO') GROUP BY num) ad ON ad.num = e.num
-LEFT JOIN (SELECT num, count(*) AS n, string_agg(nace_code, ',' ORDER BY pos) AS codes FROM {DEDUP_SQL} GROUP BY num) ac ON ac.num = e.num
+LEFT JOIN (SELECT num, count(*) AS n FROM {DEDUP_SQL} GROUP BY num) ac ON ac.num = e.num
 LEFT JOIN (SELECT enterprise AS num, count(*) AS n FROM fx_document GROUP BY enterprise) dc ON dc.num = e.num
 LEFT JOIN (SELECT num, count(*) AS n FROM (SELECT num FROM fx_account UNION ALL SELECT num FROM fx_deposit) GROUP BY num) ca ON ca.num = e.num
 LEFT JOIN (SELECT num FROM fx_branch) cd ON cd.num = e.num LEFT JOIN (SELECT DISTINCT num FROM fx_statute) pb ON pb.num = e.num"""
@@ -189,10 +187,20 @@ def silver(d):
 
 @query("ent01_silver", SILVER_SQL)
 def ent01(d):
-    s = silver(d)
-    sizes = [F.size(c).alias(c) for c in ("denominations", "adresses", "activites", "documents", "comptes_annuels")]
-    codes = F.nullif(F.array_join(F.transform("activites", lambda a: a["nace_code"]), ","), F.lit(""))
-    return s.select("num", "status", "date_creation", *sizes, codes.alias("codes"), F.col("kbopub").isNotNull().alias("has_kbopub"), F.col("ejustice").isNotNull().alias("has_ejustice"))
+    s = silver(d).counts()
+    return s.select(
+        "num", "status", "date_creation", "denominations", "adresses", "activites", "documents", "comptes_annuels",
+        F.col("kbopub").isNotNull().alias("has_kbopub"), F.col("ejustice").isNotNull().alias("has_ejustice"))
+
+
+@query("ent01b_silver_children", f"""WITH c AS (SELECT num, 'denominations' AS child, valeur AS item FROM fx_denomination UNION ALL
+SELECT num, 'adresses', street_nl FROM fx_address WHERE type_of_address IN ('Siège', 'REGO') UNION ALL SELECT num, 'activites', nace_code FROM {DEDUP_SQL} UNION ALL
+SELECT enterprise, 'documents', path FROM fx_document UNION ALL SELECT num, 'comptes_annuels', CAST(deposit_id AS STRING) FROM fx_account UNION ALL
+SELECT num, 'comptes_annuels', CAST(id AS STRING) FROM fx_deposit) SELECT num, child, item FROM c WHERE num IN (SELECT num FROM fx_enterprise)""")
+def ent01b(d):
+    s, shown = silver(d), {"denominations": "valeur", "adresses": "street_nl", "activites": "nace_code", "documents": "path", "comptes_annuels": "deposit_id"}
+    parts = [s.rows(c).select("num", F.lit(c).alias("child"), F.col(f).cast("string").alias("item")) for c, f in shown.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("ent02_rich", f"""WITH {LABEL_CTE} SELECT e.num, e.status, a.nace_code, a.classification, g.fr AS group_fr, c.nl AS classification_nl, n.fr AS nace_fr, n.nl AS nace_nl
@@ -201,8 +209,8 @@ LEFT JOIN labels c ON c.category = 'Classification' AND c.code = a.classificatio
 LEFT JOIN labels n ON n.category = CASE WHEN coalesce(a.nace_version, '') = '' THEN 'Nace2008' ELSE 'Nace' || a.nace_version END AND n.code = a.nace_code
 WHERE e.num NOT IN (SELECT num FROM fx_branch)""")
 def ent02(d):
-    r = rich(d, done=d.fx_branch).select("num", "status", F.explode("activites").alias("a"))
-    return r.select("num", "status", *[F.col(f"a.{c}").alias(c) for c in ("nace_code", "classification", "group_fr", "classification_nl", "nace_fr", "nace_nl")])
+    r = rich(d, done=d.fx_branch).rows("activites", "status")
+    return r.select("num", "status", "nace_code", "classification", "group_fr", "classification_nl", "nace_fr", "nace_nl")
 
 
 ENT03 = f"""WITH sel AS ({SECTOR_SQL}),
@@ -322,7 +330,7 @@ SELECT p.num, p.denomination, p.adresse, p.nb_exercices, coalesce(a.n, 0) AS act
 CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING) || ' EUR' AS capital FROM p LEFT JOIN a ON a.num = p.num LEFT JOIN customer c ON {_num('c.c_custkey')} = p.num""")
 def ent07(d):
     rows = html.page_rows(d.fx_card_page)
-    fields = extract.card_fields(extract.label_values(rows)).select("num", "capital")
+    fields = extract.card_fields(extract.label_values(rows), d.fx_card_page).select("num", "capital")
     officers = entities.officer_list(extract.officers(extract.with_section(rows)), d.fx_denomination)
     out = profile(d).select("num", "denomination", "adresse", "nb_exercices").join(fields, "num", "left")
     out = rollups.zero_filled(out, d.fx_activity.groupBy("num").agg(F.count("*").alias("activites")), "num", "activites")

@@ -70,7 +70,11 @@ def folder_stats(spark: SparkSession, folder: str, pattern: str | None = None) -
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    files = reader.load(folder).select("path", "length")
+    return stats_of(reader.load(folder).select("path", "length"))
+
+
+def stats_of(files: DataFrame) -> DataFrame:
+    """The same numbers from a catalogue of files ``(path, length)``."""
     return files.agg(
         F.count("*").alias("files"), F.sum("length").alias("bytes"),
         F.countDistinct(F.regexp_replace("path", "/[^/]+$", "")).alias("folders"),

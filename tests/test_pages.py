@@ -40,4 +40,17 @@ def test_links(spark):
 
 def test_last_page(spark):
     df = spark.createDataFrame([("?page=3 &page=12",), ("none",), ("?page=999",)], "h string")
-    assert [r[0] for r in df.select(extract.last_page(df["h"])).collect()] == [12, 1, 50]
+    assert [r[0] for r in df.select(extract.last_page(df["h"])).collect()] == [12, 1, 999]
+
+
+def test_a_page_without_labels_is_still_a_record(spark):
+    officer = '<table><tr><td class="I">Fonctions</td></tr><tr><td>Administrateur</td><td>Dupont</td></tr></table>'
+    pages = spark.createDataFrame([("1", 1, officer), ("2", 1, ""), ("3", 1, None)], "num string, page int, html string")
+    got = {r["num"]: r for r in extract.card_records(pages, html.page_rows(pages), html.page_links(pages)).counts().collect()}
+    assert {n: r["fonctions"] for n, r in got.items()} == {"1": 1, "2": 0, "3": 0}
+    assert got["1"]["generalites"]["numero"] is None and got["1"]["archive"] == "/kbopub/1.html"
+
+
+def test_unclosed_tags_do_not_multiply(spark):
+    page = html.Page("<div><b>" * 3000 + "x</i>" * 3000 + "</b></div>")
+    assert page.depth["div"] == 0 and len(page.elements) == 6000

@@ -2,6 +2,7 @@
 
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import nest, rollups
@@ -19,37 +20,23 @@ def test_fits(spark):
     assert fits(spark.range(10), 10) and not fits(spark.range(11), 10) and fits(spark.range(0), 0) and not fits(spark.range(1), 0)
 
 
-def test_fold_splits_a_hot_key(spark):
-    rows = hot_rows(spark)
-    parent = rows.select("num").distinct().withColumn("name", F.upper("num")).unionByName(spark.createDataFrame([("alone", "ALONE")], "num string, name string"))
-    orphan = spark.createDataFrame([("orphan", 1, 1)], "num string, pos long, v long")
-    out = nest.fold(parent, {"a": (rows.unionByName(orphan), ["v", "pos"]), "b": (rows.limit(0), ["v"])}, part_rows=100).collect()
-    sizes, items = defaultdict(int), defaultdict(list)
-    for r in out:
-        assert len(r["a"]) <= 250 and r["name"] == r["num"].upper() and r["b"] == []
-        assert [x["pos"] for x in r["a"]] == sorted(x["pos"] for x in r["a"])
-        sizes[r["num"]] += 1
-        items[r["num"]] += [(x["pos"], x["v"]) for x in r["a"]]
-    assert sizes["hot"] == 10 and sizes["alone"] == 1 and "orphan" not in sizes
-    assert all(n == 1 for k, n in sizes.items() if k != "hot")
-    want = defaultdict(list)
-    for r in rows.collect():
-        want[r["num"]].append((r["pos"], r["v"]))
-    assert {k: sorted(v) for k, v in items.items() if v} == {k: sorted(v) for k, v in want.items()}
-
-
-def test_null_keys_are_bounded_too(spark):
-    rows = hot_rows(spark).withColumn("num", F.when(F.col("num") != "hot", F.col("num")))
-    out = nest.lists(rows, ["num"], ["pos"], "a", part_rows=100).collect()
-    assert sum(len(r["a"]) for r in out) == 3000 and max(len(r["a"]) for r in out) < 250
-    parent = spark.createDataFrame([("k1", "x")], "num string, name string")
-    got = nest.fold(parent, {"a": (rows, ["pos"])}, part_rows=100).collect()
-    assert [r["num"] for r in got] == ["k1"] and len(got[0]["a"]) == rows.where("num = 'k1'").count()
-
-
-def test_lists_split_a_hot_key(spark):
-    out = nest.lists(hot_rows(spark), ["num"], ["pos"], "a", part_rows=100).collect()
-    assert sum(len(r["a"]) for r in out) == 3000 and max(len(r["a"]) for r in out) < 250
+def record_of(spark, n):
+    rows = spark.range(n).select(F.lit("hot").alias("num"), F.col("id").alias("pos"), (F.col("id") * 7 % 11).alias("v"))
+    rows = rows.unionByName(spark.createDataFrame([("orphan", 1, 1), (None, 2, 2), ("k", 0, 5)], "num string, pos long, v long"))
+    parent = spark.createDataFrame([("hot", "HOT"), ("alone", "ALONE"), ("k", "K")], "num string, name string")
+    return nest.record(parent, {"a": (rows, ["v"]), "b": (rows.limit(0), ["v"])})
+
+
+@pytest.mark.parametrize("n", [3, 200_000])
+def test_records_have_one_shape_at_every_size(spark, n):
+    rec = record_of(spark, n)
+    assert {r["num"]: (r["name"], r["a"], r["b"]) for r in rec.counts().collect()} == {"hot": ("HOT", n, 0), "alone": ("ALONE", 0, 0), "k": ("K", 1, 0)}
+    every = rec.rows("a", "name", every=True).orderBy("num", "pos").collect()
+    assert [(r["num"], r["pos"], r["v"]) for r in every] == [("alone", None, None)] + [("hot", i, i * 7 % 11) for i in range(n)] + [("k", 0, 5)]
+    assert rec.rows("a").count() == n + 1 and rec.rows("b").count() == 0
+    page = {r["num"]: r for r in rec.nested(["hot", "alone"]).collect()}
+    assert set(page) == {"hot", "alone"} and [x["v"] for x in page["hot"]["a"]] == [i * 7 % 11 for i in range(n)]
+    assert page["alone"]["a"] == page["hot"]["b"] == []
 
 
 def test_lookup_under_skew_equals_a_plain_join(spark):
