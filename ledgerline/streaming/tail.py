@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,18 +23,34 @@ def payloads(stream: DataFrame, fields: list[str], **terms: str | None) -> DataF
     return all_equal(stream, **terms).select(F.to_json(F.struct(*fields)).alias("payload"))
 
 
-def newer_than(rows: DataFrame, at: str, moment) -> DataFrame:
-    """Rows after a saved moment."""
-    return rows.where(F.col(at) > F.lit(moment))
+def deliver(stream: DataFrame, target: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
+    """Write each micro-batch to its own folder under ``target``; a repeated batch writes the same folder again."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        prepare(batch).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def delivered(spark: SparkSession, target: str, schema) -> DataFrame:
+    """What was delivered to ``target`` so far."""
+    try:
+        return spark.read.schema(schema).parquet(target)
+    except AnalysisException as problem:  # nothing was delivered yet
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
-def snapshot_and_follow(spark: SparkSession, path: str, schema, at: str, key: str, limit: int = 20) -> tuple[DataFrame, DataFrame]:
-    """The newest rows (oldest first) and the stream of what comes after them."""
-    table = spark.read.schema(schema).parquet(path)
-    newest = newest_first_then_oldest(table, at, key, limit)
-    last = table.agg(F.max(at).alias("m")).first()["m"]
+def snapshot(spark: SparkSession, path: str, schema, at: str, key: str, state: str, checkpoint: str, limit: int = 20) -> DataFrame:
+    """The newest rows, oldest first, of the files there are now. The checkpoint ends right behind those files.
+
+    Following with the same checkpoint gives every row of all later files, ties and late rows included. Each batch keeps
+    its ``limit`` newest rows only.
+    """
     stream = follow(spark, path, schema)
-    return newest, (newer_than(stream, at, last) if last is not None else stream)
+    deliver(stream, state, checkpoint, lambda rows: rows.orderBy(F.desc(at), F.desc(key)).limit(limit))
+    return newest_first_then_oldest(delivered(spark, state, stream.schema), at, key, limit)
 
 
 def drain(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
@@ -42,11 +61,3 @@ def drain(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     )
     query.awaitTermination()
     return query
-
-
-def tail(stream: DataFrame, target: str, checkpoint: str, every: str = "2 seconds") -> StreamingQuery:
-    """Keep following at a fixed pace."""
-    return (
-        stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
-        .trigger(processingTime=every).start()
-    )

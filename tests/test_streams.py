@@ -19,6 +19,20 @@ def test_drain_resumes(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == list(range(8))
 
 
+def test_following_a_snapshot_loses_nothing(spark, tmp_path):
+    source, state, target, ck = (str(tmp_path / n) for n in ("in", "newest", "out", "ck"))
+    schema = "id int, k int, at int"
+    write(spark, source, [1, 2])
+    assert [r["id"] for r in tail.snapshot(spark, source, schema, "at", "id", state, ck, 1).collect()] == [2]
+    tail.deliver(tail.follow(spark, source, schema), target, ck)
+    assert tail.delivered(spark, target, schema).count() == 0
+    for i in (2, 0, 3):  # a tie, a late row, a newer one
+        write(spark, source, [i])
+    for _ in range(2):
+        tail.deliver(tail.follow(spark, source, schema), target, ck)
+    assert sorted(r["id"] for r in tail.delivered(spark, target, schema).collect()) == [0, 2, 3]
+
+
 def test_upsert_state(spark, tmp_path):
     source, root, ck = (str(tmp_path / n) for n in ("in", "state", "ck"))
     last = lambda rows: picks.last_per_key(rows, ["k"], "at")
