@@ -90,6 +90,11 @@ def is_large(content: Column, size: int = 1000) -> Column:
     return F.length(content) > size
 
 
+def is_statute(media: Column, content: Column, size: int = 1000) -> Column:
+    """A PDF by its content type, or else at least ``size`` bytes; a missing type is none."""
+    return F.coalesce(media.contains("pdf"), F.lit(False)) | F.coalesce(F.length(content) >= size, F.lit(False))
+
+
 def all_equal(df: DataFrame, **terms: str | None) -> DataFrame:
     """Equality filters for the terms that are given."""
     conditions = [F.col(k) == v for k, v in terms.items() if v]

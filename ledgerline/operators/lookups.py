@@ -31,13 +31,13 @@ class Decoder:
     """Joins labels to code columns; the dictionary's size is checked once."""
 
     def __init__(self, codes: DataFrame, labels: DataFrame):
-        self.codes, self.labels = codes, labels
-        self.small = fits(codes, BROADCAST_ROWS)
+        self.labels = labels
+        self.small = fits(codes.select("category", "code").distinct(), BROADCAST_ROWS)
 
     def _join(self, facts: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
         if self.small:
             return facts.join(F.broadcast(dim), keys, "left")
-        return lookup(facts, dim, keys, size_of=self.codes)
+        return lookup(facts, dim, keys, size_of=self.labels)
 
     def both(self, facts: DataFrame, category: Column, code: str, prefix: str) -> DataFrame:
         """Adds ``<prefix>_fr`` and ``<prefix>_nl``."""

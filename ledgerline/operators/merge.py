@@ -6,6 +6,7 @@ result is written next to the old version and never over the path being read.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,10 +86,18 @@ def not_done(keys: DataFrame, checkpoints: DataFrame, source: str, force: bool =
     return keys.join(finished, "num", "left_anti")
 
 
-def missing_tables(source: list[str], target: list[str]) -> list[str]:
-    """Tables to copy: those the target does not have."""
-    have = set(target)
-    return [t for t in source if t not in have]
+def copy_missing(tables: dict[str, DataFrame], root: str) -> list[str]:
+    """Write the tables that are not yet under ``root``; returns their names. Existing ones are not touched."""
+    copied = []
+    for name, df in tables.items():
+        try:
+            df.write.mode("errorifexists").parquet(f"{root}/{name}")
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+        else:
+            copied.append(name)
+    return copied
 
 
 def write_version(df: DataFrame, root: str, version: str | int) -> str:

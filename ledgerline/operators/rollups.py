@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.constants import SECTOR_LABELS, TARGET_STATUSES
 from ledgerline.operators.scale import checked_broadcast
+from ledgerline.session import stored
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -63,20 +64,14 @@ def changed_rows(old: Column, new: Column) -> Column:
     return F.count_if(~old.eqNullSafe(new))
 
 
-def numbered(df: DataFrame, key: str, buckets: int = 200) -> DataFrame:
-    """Rows with a 1-based rank by a unique numeric key, without one task seeing all rows.
+def numbered(df: DataFrame, key: str) -> DataFrame:
+    """Rows with a 1-based rank by a unique key in its own order, without one task seeing all rows.
 
-    Quantile bounds (at most ``buckets`` numbers) split the key range evenly; a rank is the
+    The rows are dealt by key range to the session's shuffle partitions and written once with their range; a rank is the
     rank inside the range plus the number of rows in the ranges before it.
     """
-    value = F.col(key).try_cast("bigint")
-    shares = [i / buckets for i in range(1, buckets)]
-    bounds = df.agg(F.percentile_approx(value, shares, 10_000).alias("b")).first()["b"] or []
-    bounds = sorted(set(bounds))
-    bucket = F.lit(0)
-    if bounds:
-        bucket = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= value))
-    marked = df.withColumn("bucket", bucket)
+    value = F.col(key)
+    marked = stored(df.repartitionByRange(value).withColumn("bucket", F.spark_partition_id()), "ranges")
     sizes = marked.groupBy("bucket").count()
     before = F.sum("count").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     offsets = sizes.select("bucket", F.coalesce(before, F.lit(0)).alias("before"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.constants import (
-    AMOUNT_CODES, AMOUNT_PATTERN, CHARGES, COST_OF_SALES, CSV_PATTERN, ENTITY_NAME, GROSS, KPI_CODES, LOSS, LOSS_NODES, METRIC_CODES, NET,
+    AMOUNT_PATTERN, CHARGES, COST_OF_SALES, CSV_CELL, ENTITY_NAME, GROSS, KPI_CODES, LOSS, LOSS_NODES, METRIC_CODES, NET,
     OPERATING_CHARGES, OPERATING_RESULT, PERIOD_END, PRETAX, PROFIT_NODES, REVENUE, SUMMED_CODES, TAX,
 )
 from ledgerline.functions.dates import fiscal_year_of, year_number
@@ -22,9 +22,19 @@ METRICS = [
 RATIOS = ["marge_nette", "roe", "ratio_liquidite", "taux_endettement"]
 
 
+def code_variants() -> dict[str, list[str]]:
+    """Metric to the accounting codes it may come from."""
+    return METRIC_CODES | {metric: parts + totals for metric, (parts, totals) in SUMMED_CODES.items()}
+
+
+def filing_columns() -> list[str]:
+    """Code columns of one filing, each once: those of the metrics and the period end."""
+    return list(dict.fromkeys(code for codes in code_variants().values() for code in codes)) + [PERIOD_END]
+
+
 def usable_lines(lines: DataFrame) -> DataFrame:
     """Lines of a needed code with a value; runs before any join."""
-    return lines.where(F.col("code").isin(AMOUNT_CODES + [PERIOD_END]) & (F.col("val") != ""))
+    return lines.where(F.col("code").isin(filing_columns()) & (F.col("val") != ""))
 
 
 def of_targets(facts: DataFrame, targets: DataFrame) -> DataFrame:
@@ -47,7 +57,7 @@ def filing_amounts(lines: DataFrame) -> DataFrame:
     number = F.when(F.col("code") == PERIOD_END, year_number(F.col("val"))).otherwise(parse_amount(F.col("val")))
     parsed = lines.withColumn("amount", number)
     return parsed.groupBy("num", "reference").agg(
-        *[F.max_by("amount", F.when(F.col("code") == c, F.col("pos"))).alias(c) for c in AMOUNT_CODES + [PERIOD_END]]
+        *[F.max_by("amount", F.when(F.col("code") == c, F.col("pos"))).alias(c) for c in filing_columns()]
     )
 
 
@@ -136,13 +146,17 @@ def csv_codes(accounts: DataFrame, keys: list[str]) -> DataFrame:
     """Code, value and amount of every line of a filing's CSV text after its first line."""
     lines = accounts.select(*keys, F.posexplode(F.split("raw_csv", "\n")).alias("line_no", "line"))
     lines = lines.where((F.col("line_no") > 0) & (F.trim("line") != ""))
-    value = none_if_empty(F.regexp_extract("line", CSV_PATTERN, 2))
-    cells = lines.select(
-        *keys, "line_no", F.trim(F.regexp_extract("line", CSV_PATTERN, 1)).alias("code"), value.alias("val")
-    )
+    code, value = (csv_cell(F.regexp_extract("line", rf"^[ \t]*{CSV_CELL}[ \t]*,[ \t]*{CSV_CELL}", i)) for i in (1, 2))
+    cells = lines.select(*keys, "line_no", F.trim(code).alias("code"), none_if_empty(value).alias("val"))
     return cells.withColumn("amount", parse_float(F.col("val")))
 
 
+def csv_cell(cell: Column) -> Column:
+    """Text of a cell: quotes around it taken off, doubled quotes inside it single."""
+    inner = F.replace(F.substr(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
+    return F.when(cell.startswith('"'), inner).otherwise(F.trim(cell))
+
+
 def parse_float(text: Column) -> Column:
     """Plain number; NULL when the text is no number."""
     trimmed = F.trim(text)
@@ -159,8 +173,8 @@ def last_csv_value(raw: Column, code: str) -> Column:
 
     One compiled pattern per code over the text: no array is built and codegen is kept.
     """
-    pattern = rf'(?s)^[^\n]*\n(?:.*\n)?[ \t]*"?\Q{code}\E"?[ \t]*,[ \t]*"?([^"\n]*)'
-    return none_if_empty(F.trim(F.regexp_extract(raw, pattern, 1)))
+    pattern = rf'(?s)^[^\n]*\n(?:.*\n)?[ \t]*"?\Q{code}\E"?[ \t]*,[ \t]*{CSV_CELL}'
+    return none_if_empty(F.trim(csv_cell(F.regexp_extract(raw, pattern, 1))))
 
 
 def code_table(accounts: DataFrame, keys: list[str]) -> DataFrame:
@@ -280,8 +294,8 @@ def unpivot_metrics(yearly: DataFrame, metrics: list[str]) -> DataFrame:
     return yearly.unpivot(["num", "year"], metrics, "indicator", "value")
 
 
-def year_columns(long: DataFrame, years: list[str]) -> DataFrame:
-    """Indicators as rows and the given years as columns."""
+def year_columns(long: DataFrame, years: list[str] | None = None) -> DataFrame:
+    """Indicators as rows and the years as columns: the given ones, or all that occur."""
     return long.groupBy("num", "indicator").pivot("year", years).agg(F.first("value"))
 
 
@@ -292,7 +306,7 @@ def code_frequency(lines: DataFrame) -> DataFrame:
 
 def code_coverage(lines: DataFrame) -> DataFrame:
     """Per metric: the best variant's count and its share of all filings."""
-    variants = {**METRIC_CODES, **{k: parts + totals for k, (parts, totals) in SUMMED_CODES.items()}}
+    variants = code_variants()
     present = lines.select("num", "reference", "code").groupBy("num", "reference").agg(
         *[F.bool_or(F.col("code") == c).cast("int").alias(c) for c in sorted({c for v in variants.values() for c in v})]
     )

@@ -160,10 +160,10 @@ SELECT o_orderkey AS document_id, {_num('o_custkey')} AS num,
 FROM orders""",
     "fx_document": f"""
 SELECT CASE WHEN doc_id % 3 = 0 THEN 'nbb' WHEN doc_id % 3 = 1 THEN 'notaire' ELSE 'ejustice' END AS source,
-       {_num('doc_id % 300')} AS enterprise, CASE WHEN doc_id % 71 = 0 THEN NULL ELSE CAST(2020 + doc_id % 6 AS STRING) END AS year,
+       {_num('CAST(floor(doc_id / 4) AS BIGINT)')} AS enterprise, CASE WHEN doc_id % 71 = 0 THEN NULL ELSE CAST(2020 + doc_id % 6 AS STRING) END AS year,
        'f' || CAST(doc_id AS STRING) || CASE doc_id % 4 WHEN 0 THEN '.pdf' WHEN 1 THEN '.CSV' WHEN 2 THEN '.html' ELSE '' END AS filename,
        CASE doc_id % 6 WHEN 0 THEN '/documents/' WHEN 1 THEN '/kbopub/../' WHEN 2 THEN '/tmp/' WHEN 3 THEN 'documents/'
-            WHEN 4 THEN '/' || {_num('doc_id % 300')} || '/hbb/' ELSE '/ejustice/' END
+            WHEN 4 THEN '/' || {_num('CAST(floor(doc_id / 4) AS BIGINT)')} || '/hbb/' ELSE '/ejustice/' END
          || CAST(doc_id AS STRING) || CASE WHEN doc_id % 4 = 0 THEN '.csv' ELSE '' END AS path,
        CASE WHEN doc_id % 2 = 0 THEN NULL ELSE 'Titre ' || CAST(doc_id AS STRING) END AS title,
        CASE WHEN doc_id % 5 = 0 THEN NULL ELSE 'R' || CAST(doc_id AS STRING) END AS reference,
@@ -238,21 +238,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-SPREAD = ("customer", "orders", "lineitem", "documents", "pages")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a table stored in fewer file splits than there are cores; larger tables are left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def view(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A derived register table as a DataFrame."""
     text = spark_text(name)
     used = set(re.findall(r"\{(\w+)\}", text))
-    tables = {t: table(spark, sf, t) for t in used}
-    return spark.sql(text, **{t: spread(df) if t in SPREAD else df for t, df in tables.items()})
+    return spark.sql(text, **{t: table(spark, sf, t) for t in used})
 
 
 def with_views(sql: str) -> str:

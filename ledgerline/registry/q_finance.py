@@ -155,16 +155,14 @@ def fin08(d):
     return long.withColumn("value", F.round("value", 2))
 
 
-YEARS = [str(y) for y in range(1993, 2003)]
 REPORT = ["ca", "marge_brute", "ebit", "resultat_net", "fonds_propres", "croissance_ca", "marge_nette"]
 REPORT_SQL = f"""WITH {FILINGS}, long AS ({' UNION ALL '.join(f"SELECT num, year, '{m}' AS indicator, {m} AS value FROM growth" for m in REPORT)})
-SELECT num, indicator, {', '.join(f"round(max(value) FILTER (year = '{y}'), 4) AS y{y}" for y in YEARS)} FROM long GROUP BY num, indicator"""
+SELECT num, indicator, year, round(value, 4) AS value FROM long"""
 
 
 def report(d):
-    y = fin.yearly_metrics(d.fx_filing_line)
-    wide = fin.year_columns(fin.unpivot_metrics(y, REPORT), YEARS)
-    return wide.select("num", "indicator", *[F.round(F.col(y), 4).alias(f"y{y}") for y in YEARS])
+    long = fin.unpivot_metrics(fin.yearly_metrics(d.fx_filing_line), REPORT)
+    return long.select("num", "indicator", "year", F.round("value", 4).alias("value"))
 
 
 query("prj10_year_indicator", REPORT_SQL)(report)

@@ -8,7 +8,9 @@ from ledgerline.constants import FORMS_WITHOUT_DEEDS, PUBLIC_FORMS, SEAT_TYPES,
 from ledgerline.functions import dates, keys, text
 from ledgerline.operators import filters, lookups, nest, paging, picks, rollups
 from ledgerline.plans import entities
+from ledgerline.plans import finance as fin
 from ledgerline.registry.book import query
+from ledgerline.registry.sqltext import FILINGS
 
 
 def inlist(values):
@@ -274,10 +276,11 @@ def flt15(d):
     return d.fx_enterprise.where(filters.deeds_expected(F.col("juridical_form"), status)).select("num")
 
 
-@query("flt16_content_valid", """SELECT doc_id, starts_with(text, 'The') AS marked, strlen(text) > 1000 AS large FROM documents""")
+@query("flt16_content_valid", """SELECT doc_id, starts_with(text, 'The') AS marked, strlen(text) > 1000 AS large, doc_id % 3 = 0 OR strlen(text) >= 1000 AS statute FROM documents""")
 def flt16(d):
     raw = F.when(F.col("text").startswith("The"), F.concat(F.lit("%PDF"), "text")).otherwise(F.col("text")).cast("binary")
-    return d.documents.select("doc_id", filters.is_pdf(raw).alias("marked"), filters.is_large(F.col("text").cast("binary")).alias("large"))
+    return d.documents.select("doc_id", filters.is_pdf(raw).alias("marked"), filters.is_large(F.col("text").cast("binary")).alias("large"),
+        filters.is_statute(F.when(F.col("doc_id") % 3 == 0, "application/pdf;v=1").when(F.col("doc_id") % 3 == 1, "text/html"), F.col("text").cast("binary")).alias("statute"))
 
 
 @query("flt17_path_allowed", r"""SELECT path, starts_with(path, '/') AND NOT contains(path, '..') AND (starts_with(path, '/documents/') OR starts_with(path, '/kbopub/')
@@ -517,12 +520,13 @@ def agg01(d):
     return rollups.table_counts({t: getattr(d, t) for t in FX_COUNTED})
 
 
-@query("agg02_dashboard", """SELECT (SELECT count(*) FROM fx_enterprise) AS entreprises, (SELECT count(*) FROM fx_target) AS cibles,
+@query("agg02_dashboard", f"""WITH {FILINGS} SELECT (SELECT count(*) FROM fx_enterprise) AS entreprises, (SELECT count(*) FROM fx_target) AS cibles,
 (SELECT count(*) FROM fx_target WHERE status = 'done') AS cibles_done, (SELECT count(*) FROM fx_document WHERE source = 'notaire') AS statuts_notaire,
-(SELECT count(*) FROM fx_account) AS comptes_csv""")
+(SELECT count(*) FROM fx_account) AS comptes_csv, (SELECT count(DISTINCT num) FROM growth) AS hotels_gold""")
 def agg02(d):
     parts = {"entreprises": d.fx_enterprise, "cibles": d.fx_target, "cibles_done": d.fx_target.where("status = 'done'"),
-             "statuts_notaire": d.fx_document.where("source = 'notaire'"), "comptes_csv": d.fx_account}
+             "statuts_notaire": d.fx_document.where("source = 'notaire'"), "comptes_csv": d.fx_account,
+             "hotels_gold": fin.filing_amounts(fin.usable_lines(d.fx_filing_line)).select("num").distinct()}
     return rollups.one_row(rollups.table_counts(parts), list(parts))
 
 

@@ -74,6 +74,16 @@ def mrg05(d):
     return merged
 
 
+@query("mrg05b_copy_missing", """SELECT 'targets' AS name, false AS copied, count(*) AS rows FROM fx_target WHERE status = 'done'
+UNION ALL SELECT 'checkpoints', true, count(*) FROM fx_checkpoint""")
+def mrg05b(d):
+    root = new_folder(d.spark, "copy")
+    merge.copy_missing({"targets": d.fx_target.where("status = 'done'")}, root)
+    copied = merge.copy_missing({"targets": d.fx_target, "checkpoints": d.fx_checkpoint}, root)
+    counts = rollups.table_counts({n: d.spark.read.parquet(f"{root}/{n}") for n in ("targets", "checkpoints")})
+    return counts.select("name", F.col("name").isin(copied).alias("copied"), "rows")
+
+
 @query("mrg06_rebuild", "SELECT type_code, count(*) AS n FROM fx_denomination GROUP BY type_code")
 def mrg06(d):
     root = new_folder(d.spark, "rebuild")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerline.constants import AMOUNT_CODES, METRIC_CODES, PERIOD_END, SUMMED_CODES
+from ledgerline.constants import METRIC_CODES, PERIOD_END, SUMMED_CODES
+from ledgerline.plans.finance import filing_columns
 
 
 def amount(x: str) -> str:
@@ -26,12 +27,12 @@ def col(code: str) -> str:
     return f'"{code}"'
 
 
-NEEDED = ", ".join(f"'{c}'" for c in AMOUNT_CODES + [PERIOD_END])
+NEEDED = ", ".join(f"'{c}'" for c in filing_columns())
 
 FILINGS = f"""
 parsed AS (SELECT num, reference, code, val, pos, {amount('val')} AS amount FROM fx_filing_line WHERE code IN ({NEEDED}) AND val <> ''),
 lastval AS (SELECT * FROM parsed QUALIFY row_number() OVER (PARTITION BY num, reference, code ORDER BY pos DESC) = 1),
-filings AS (SELECT num, reference, {', '.join(f"max(amount) FILTER (code = '{c}') AS {col(c)}" for c in AMOUNT_CODES)},
+filings AS (SELECT num, reference, {', '.join(f"max(amount) FILTER (code = '{c}') AS {col(c)}" for c in filing_columns() if c != PERIOD_END)},
             max(val) FILTER (code = '{PERIOD_END}') AS period_end FROM lastval GROUP BY num, reference),
 dated AS (SELECT *, CASE WHEN regexp_matches(coalesce(period_end, ''), '(19|20)\\d{{2}}') THEN regexp_extract(period_end, '(19|20)\\d{{2}}')
             WHEN regexp_full_match(split_part(reference, '-', 1), '(19|20)\\d{{2}}') THEN split_part(reference, '-', 1) ELSE '?' END AS year FROM filings),

@@ -20,6 +20,12 @@ def test_every_twin_has_a_query():
     assert set(oracle_sql()) <= set(queries())
 
 
+def test_every_register_query_has_a_twin():
+    from ledgerline.registry import ORACLES, QUERIES
+
+    assert set(QUERIES) == {name for name, sql in ORACLES.items() if sql}
+
+
 def test_entry(spark):
     df = entry(spark)
     assert df.columns == ["num", "year", "reference", "ca", "marge_nette", "croissance_ca"]

@@ -92,3 +92,17 @@ def test_a_page_beyond_the_bound_is_refused(spark):
 
     with pytest.raises(ValueError):
         paging.page(spark.range(3), "id", limit=paging.MAX_PAGE + 1)
+
+
+def test_both_csv_readers_agree_on_quotes(spark):
+    text = 'h\n"Entity name","A ""B"", C"\n70, 10 ,x\n"17",""\n'
+    df = spark.createDataFrame([(1, text)], "id int, raw_csv string")
+    got = {r["code"]: r["val"] for r in fin.csv_codes(df, ["id"]).collect()}
+    assert got == {"Entity name": 'A "B", C', "70": "10", "17": None}
+    last = df.select(*[fin.last_csv_value(F.col("raw_csv"), c).alias(c) for c in got]).first().asDict()
+    assert last == got
+
+
+def test_year_columns_take_all_years(spark):
+    long = spark.createDataFrame([("1", "ca", "2001", 1.0), ("1", "ca", "?", 2.0)], "num string, indicator string, year string, value double")
+    assert fin.year_columns(long).first().asDict() == {"num": "1", "indicator": "ca", "2001": 1.0, "?": 2.0}

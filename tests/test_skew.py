@@ -61,6 +61,7 @@ def test_semi_lookup_with_repeated_keys(spark):
 
 def test_numbered_is_a_rank(spark):
     rows = spark.range(1000).select((F.col("id") * 37 % 5003).cast("string").alias("num"))
-    got = {r["num"]: r["rank"] for r in rollups.numbered(rows, "num", buckets=13).collect()}
-    want = {n: i + 1 for i, n in enumerate(sorted(got, key=int))}
-    assert got == want
+    got = {r["num"]: r["rank"] for r in rollups.numbered(rows, "num").collect()}
+    assert len(got) == 1000 and got == {n: i + 1 for i, n in enumerate(sorted(got))}
+    words = spark.createDataFrame([("b",), ("a",), ("10",), ("9",)], "num string")
+    assert {r["num"]: r["rank"] for r in rollups.numbered(words, "num").collect()} == {"10": 1, "9": 2, "a": 3, "b": 4}
