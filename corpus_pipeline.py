@@ -19,17 +19,16 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def without_frequent_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the frequent lines dropped; ``n_chars`` follows the text. A document that loses all lines goes.
 
-    The row is carried as one struct, so its other columns may have any names.
+    The other columns are carried as one struct, so they may have any names.
     """
-    rows = docs.select("doc_id", "text", F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    rows = docs.select("doc_id", "text", F.struct(*[docs[c] for c in docs.columns if c not in ("doc_id", "text")]).alias("row"))
     out = line_dedup.line_dedup(rows)
     left = out.where((F.col("n_dropped") == 0) | (F.length(F.btrim("kept_text", F.lit(WHITE))) > 0))
-    new = {"text": F.col("kept_text")}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
     changed = F.col("n_dropped") > 0
-    return left.select(*[
-        F.when(changed, new[c]).otherwise(F.col("row")[c]).alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns])
+    new = {"doc_id": F.col("doc_id"), "text": F.when(changed, F.col("kept_text")).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(changed, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row")["n_chars"])
+    return left.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
