@@ -9,7 +9,7 @@ from ledgerline.operators.filters import any_token, is_number_search, number_pre
 from ledgerline.operators.lookups import flag_present
 from ledgerline.operators.paging import page, with_total
 from ledgerline.operators.picks import display_names
-from ledgerline.plans.finance import latest_year
+from ledgerline.plans.finance import schema_type, yearly_metrics
 
 
 def held(shown: DataFrame) -> DataFrame:
@@ -39,9 +39,9 @@ def enterprise_page(
 
 
 def target_page(
-    targets: DataFrame, yearly: DataFrame, denominations: DataFrame, text: str = "", skip: int = 0, limit: int = 50,
+    targets: DataFrame, lines: DataFrame, denominations: DataFrame, text: str = "", skip: int = 0, limit: int = 50,
 ) -> DataFrame:
-    """Sector page with the latest year's figures; the page is cut before anything is joined to it."""
+    """Sector page with the latest year's figures; the page is cut first, and only its keys' filing ``lines`` are evaluated."""
     if not text:
         hits = targets
     elif is_number_search(text):
@@ -49,15 +49,15 @@ def target_page(
     else:
         keys = matching_numbers(denominations, text)
         hits = targets.join(keys, "num", "left_semi")
-    shown = held(with_total(page(hits, skip=skip, limit=limit).select("num", "denomination", "status"), hits))
+    shown = held(with_total(page(hits, skip=skip, limit=limit).select("num", "denomination", "status", "nace_codes"), hits))
     keys = F.broadcast(shown.select("num"))  # at most one page of rows
-    own_years = yearly.join(keys, "num", "left_semi")
-    last = latest_year(own_years).select("num", F.col("year").alias("dernier_exercice"), "ca", "resultat_net")
-    counts = own_years.groupBy("num").agg(F.count("*").alias("nb_exercices"))
+    latest = F.max_by(F.struct(F.col("year").alias("dernier_exercice"), "ca", "resultat_net"), "year").alias("latest")
+    own = yearly_metrics(lines.join(keys, "num", "left_semi")).groupBy("num").agg(
+        latest, F.count("*").alias("nb_exercices"), schema_type(F.col("ca"), F.col("fonds_propres")).alias("schema_type"))
     names = display_names(denominations.join(keys, "num", "left_semi")).withColumnRenamed("denomination", "silver_name")
-    out = shown.join(last, "num", "left").join(counts, "num", "left").join(names, "num", "left")
+    out = shown.join(own, "num", "left").join(names, "num", "left")
     return out.select(
         "num", F.coalesce("silver_name", "denomination").alias("denomination"), "status",
-        F.coalesce("nb_exercices", F.lit(0)).alias("nb_exercices"), "dernier_exercice", "ca", "resultat_net",
+        F.coalesce("nb_exercices", F.lit(0)).alias("nb_exercices"), "latest.*", "nace_codes", "schema_type",
         F.col("nb_exercices").isNotNull().alias("has_gold"), "total",
     )

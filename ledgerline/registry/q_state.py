@@ -289,14 +289,16 @@ def ent05c(d):
 
 def ent06_sql(where):
     return f"""WITH {FILINGS}, last AS (SELECT num, year, ca, resultat_net FROM growth QUALIFY row_number() OVER (PARTITION BY num ORDER BY year DESC) = 1),
-cnt AS (SELECT num, count(*) AS n FROM growth GROUP BY num), hits AS (SELECT * FROM fx_target WHERE {where})
+cnt AS (SELECT num, count(*) AS n, CASE WHEN bool_or(ca IS NOT NULL) THEN 'full' WHEN bool_or(fonds_propres IS NOT NULL) THEN 'abrege' ELSE 'micro' END AS schema_type
+FROM growth GROUP BY num), hits AS (SELECT * FROM fx_target WHERE {where})
 SELECT t.num, coalesce(d.denomination, t.denomination) AS denomination, t.status, coalesce(cnt.n, 0) AS nb_exercices, last.year AS dernier_exercice, round(last.ca, 2) AS ca,
-round(last.resultat_net, 2) AS resultat_net, cnt.n IS NOT NULL AS has_gold, (SELECT count(*) FROM hits) AS total
+round(last.resultat_net, 2) AS resultat_net, cnt.n IS NOT NULL AS has_gold, substr(t.denomination, 1, 4) AS nace_codes, cnt.schema_type, (SELECT count(*) FROM hits) AS total
 FROM (SELECT * FROM hits ORDER BY num LIMIT 50 OFFSET 10) t LEFT JOIN last ON last.num = t.num LEFT JOIN cnt ON cnt.num = t.num LEFT JOIN {DISPLAY} d ON d.num = t.num"""
 
 
 def sector_page(d, text):
-    out = serving.target_page(d.fx_target, fin.yearly_metrics(d.fx_filing_line), d.fx_denomination, text=text, skip=10)
+    targets = d.fx_target.withColumn("nace_codes", F.substring("denomination", 1, 4))
+    out = serving.target_page(targets, d.fx_filing_line, d.fx_denomination, text=text, skip=10)
     return out.withColumns({"ca": F.round("ca", 2), "resultat_net": F.round("resultat_net", 2)})
 
 
