@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -14,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import LOWER, UPPER, narrow, whole
+from ledgerline.session import new_folder
 
 SEED = 0
 
@@ -35,7 +35,8 @@ class DigestArray:
             np.load(os.path.join(folder, f"{stem}-{p}.npy"), mmap_mode="r") for p in self.PARTS)
 
     @classmethod
-    def write(cls, rules: Iterable[tuple[str, str, bool]], folder: str, stem: str, seed: int = SEED) -> list[str]:
+    def build(cls, rules: Iterable[tuple[str, str, bool]], seed: int = SEED) -> dict[str, bytes]:
+        """The content of each part's file."""
         from xxhash import xxh64_intdigest
 
         found = {(host + path).encode(): (host, path, allow) for host, path, allow in rules}
@@ -45,10 +46,11 @@ class DigestArray:
             "keys": np.array([r[0] for r in rows], np.uint64), "offsets": offsets.astype(np.int64),
             "strings": np.frombuffer(b"".join(r[1] for r in rows) or b"\0", np.uint8), "allows": np.array([r[2] for r in rows], bool),
             "lengths": np.array(sorted({r[3] for r in rows}), np.int64)}
-        files = []
+        files = {}
         for part in cls.PARTS:
-            files.append(os.path.join(folder, f"{stem}-{part}.npy"))
-            np.save(files[-1], arrays[part])
+            out = io.BytesIO()
+            np.save(out, arrays[part])
+            files[part] = out.getvalue()
         return files
 
     def find(self, texts: list[bytes], digests: np.ndarray) -> np.ndarray:
@@ -64,13 +66,18 @@ class DigestArray:
 
 
 def ship_rules(spark: SparkSession, rules: Iterable[tuple[str, str, bool]], seed: int = SEED) -> str:
-    """Write the array on the driver and let Spark copy the files to every executor; returns their common name.
+    """Write the array to the shared folder and let every executor fetch the files from there; returns their common name.
 
-    The driver serves the files from where they lie, so they stay for the life of the session.
+    An executor that comes later fetches them too, so they stay for the life of the session.
     """
-    stem = f"urls-{uuid.uuid4().hex}"
-    for path in DigestArray.write(rules, tempfile.mkdtemp(prefix="ledgerline-rules-"), stem, seed):
-        spark.sparkContext.addFile(path)
+    folder = new_folder(spark, "urls")
+    stem = folder.rsplit("/", 1)[1]
+    for part, content in DigestArray.build(rules, seed).items():
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{stem}-{part}.npy")
+        out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+        out.write(bytearray(content))
+        out.close()
+        spark.sparkContext.addFile(path.toString())
     return stem
 
 
