@@ -1,9 +1,8 @@
 """Size checks and skew handling shared by the joins.
 
-A side is broadcast only after a row-count check. Beyond it, the keys that hold very
-many rows are joined apart: at most ``MAX_HEAVY`` of them, and the looked-up side has
-one row per key, so their part of it is small enough to broadcast. All other keys take
-the ordinary shuffled join, which adaptive execution can still split.
+A side is broadcast only after a row-count check. Beyond it the join is shuffled, and the
+partition of a hot key is split by adaptive execution (``spark.sql.adaptive.skewJoin``), which
+can do so for the left side of inner, left, semi and anti joins.
 """
 
 from __future__ import annotations
@@ -11,11 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.session import stored
-
 BROADCAST_ROWS = 200_000
-HEAVY_ROWS = 1_000_000
-MAX_HEAVY = 10_000
 
 
 def fits(df: DataFrame, rows: int) -> bool:
@@ -28,52 +23,19 @@ def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if fits(df, rows) else df
 
 
-def heavy_keys(df: DataFrame, keys: list[str], rows: int = HEAVY_ROWS, limit: int = MAX_HEAVY) -> DataFrame:
-    """The heaviest keys with more than ``rows`` rows (counts combine map-side, so skew costs nothing).
-
-    The result is a small local table: the count runs once.
-    """
-    counted = df.groupBy(*keys).agg(F.count("*").alias("key_rows")).where(F.col("key_rows") > rows)
-    found = counted.orderBy(F.desc("key_rows")).limit(limit).select(*keys)
-    return df.sparkSession.createDataFrame(found.collect(), found.schema)
-
-
 def lookup(
     facts: DataFrame,
     dim: DataFrame,
     keys: list[str],
     how: str = "left",
     size_of: DataFrame | None = None,
-    derived: bool = False,
-    heavy: int = HEAVY_ROWS,
     bound: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join many facts to a table with one row per key (for semi and anti joins: any rows), safe under skew.
+    """Join many facts to a table with one row per key (for semi and anti joins: any rows); the facts are read once.
 
     ``size_of`` is a cheaper table known to have at least as many rows as ``dim``, such as
-    the one it is aggregated from; the size check then stops at the bound. Beyond the bound the
-    facts are read several times: ``derived`` facts, such as parsed pages, are stored first.
+    the one it is aggregated from; the size check then stops at the bound. Beyond the bound this is one
+    shuffled join, in which adaptive execution splits the facts of a hot or missing key among tasks.
     """
-    if fits(dim if size_of is None else size_of, bound):
-        return facts.join(F.broadcast(dim), keys, how)
-    if derived:
-        facts = stored(facts, "lookup")
-    if how in ("left", "left_anti") and len(keys) == 1:
-        # rows without a key would all meet in one task; they match nothing and are kept
-        keyed = facts.where(F.col(keys[0]).isNotNull())
-        blank = facts.where(F.col(keys[0]).isNull())
-        return _by_weight(keyed, dim, keys, how, heavy).unionByName(blank, allowMissingColumns=True)
-    return _by_weight(facts, dim, keys, how, heavy)
-
-
-def _by_weight(facts: DataFrame, dim: DataFrame, keys: list[str], how: str, heavy: int) -> DataFrame:
-    hot = heavy_keys(facts, keys, heavy)
-    if fits(hot, 0):
-        return facts.join(dim, keys, how)
-    hot = F.broadcast(hot)
-    hot_dim = dim.join(hot, keys, "left_semi")
-    if how in ("left_semi", "left_anti"):
-        hot_dim = hot_dim.select(*keys).distinct()
-    apart = facts.join(hot, keys, "left_semi").join(F.broadcast(hot_dim), keys, how)
-    rest = facts.join(hot, keys, "left_anti").join(dim, keys, how)
-    return apart.unionByName(rest)
+    small = fits(dim if size_of is None else size_of, bound)
+    return facts.join(F.broadcast(dim) if small else dim, keys, how)

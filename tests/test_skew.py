@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import nest, rollups
-from ledgerline.operators.scale import fits, heavy_keys, lookup
+from ledgerline.operators.scale import fits, lookup
 
 
 def hot_rows(spark, n=3000):
@@ -44,19 +44,35 @@ def test_lookup_under_skew_equals_a_plain_join(spark):
     dim = facts.where("num is not null").select("num").distinct().where("num != 'k5'").withColumn("label", F.concat(F.lit("L"), "num"))
     for how in ("left", "inner", "left_semi", "left_anti"):
         plain = facts.join(dim, "num", how)
-        safe = lookup(facts, dim, ["num"], how, derived=how == "left", heavy=200, bound=10)
+        safe = lookup(facts, dim, ["num"], how, bound=10)
         key = lambda r: tuple(map(str, r))
         assert sorted(map(key, safe.select(plain.columns).collect())) == sorted(map(key, plain.collect())), how
 
 
-def test_heavy_keys(spark):
-    assert [r["num"] for r in heavy_keys(hot_rows(spark), ["num"], 200).collect()] == ["hot"]
+def test_lookup_beyond_the_bound_reads_the_facts_once_and_splits_a_hot_key(spark, tmp_path):
+    facts = hot_rows(spark, 200_000)
+    facts.write.parquet(str(tmp_path / "facts"))
+    dim = facts.select("num").distinct().withColumn("label", F.lit("x"))
+    dim.write.parquet(str(tmp_path / "dim"))
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    old = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        out = lookup(spark.read.parquet(str(tmp_path / "facts")), spark.read.parquet(str(tmp_path / "dim")), ["num"], bound=10)
+        assert len(out.collect()) == 200_000
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "skew=true" in plan and plan.split("Initial Plan")[0].count("/facts]") == 1
 
 
 def test_semi_lookup_with_repeated_keys(spark):
     facts = hot_rows(spark)
     keys = facts.select("num").where("num in ('hot', 'k1')")
-    assert lookup(facts, keys, ["num"], "left_semi", heavy=200, bound=10).count() == facts.where("num in ('hot', 'k1')").count()
+    assert lookup(facts, keys, ["num"], "left_semi", bound=10).count() == facts.where("num in ('hot', 'k1')").count()
 
 
 def test_numbered_is_a_rank(spark):
