@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.constants import SEAT_TYPES, SECTOR_CODES
@@ -156,6 +156,23 @@ def profiles(
     }).drop("register_name")
 
 
+def profile_record(
+    enterprises: DataFrame, activities: DataFrame, codes: DataFrame, officers: DataFrame, denominations: DataFrame, yearly: DataFrame,
+) -> Record:
+    """Profiles with their long tables: decoded activities, resolved officers in page order, fiscal years in ascending order."""
+    by_year = Window.partitionBy("num").orderBy("year")  # one row per enterprise and year
+    named = resolve_officers(officers, denominations).withColumn("pos", F.col("row_no"))
+    return record(
+        enterprises.select("num", "juridical_form", "status", "type_of_enterprise"),
+        {
+            "activites": (decode_activities(activities, codes), ACTIVITY + LABELS),
+            "dirigeants": (named, ["fonction", "nom", "depuis", "ref_bce", "is_company"]),
+            "annees": (yearly.withColumn("pos", F.row_number().over(by_year)), ["year", "ca", "resultat_net", "fonds_propres"]),
+        },
+        raw={"activites": activities, "annees": yearly},
+    )
+
+
 def officer_list(officers: DataFrame, denominations: DataFrame) -> DataFrame:
     return resolve_officers(officers, denominations)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.text import tokens
 from ledgerline.operators.filters import any_token, is_number_search, number_prefix
 from ledgerline.operators.lookups import flag_present
 from ledgerline.operators.paging import page, with_total
@@ -17,21 +18,40 @@ def held(shown: DataFrame) -> DataFrame:
     return shown.sparkSession.createDataFrame(shown.collect(), shown.schema)
 
 
+def name_tokens(denominations: DataFrame) -> DataFrame:
+    """Search table ``(token, num)`` of the words of all names, to be stored once.
+
+    It is laid out by token, so a search reads only the row groups of its words; the number as second key splits frequent words.
+    """
+    found = denominations.where("num IS NOT NULL").select(F.explode(tokens(F.col("valeur"))).alias("token"), "num").distinct()
+    return found.repartitionByRange("token", "num").sortWithinPartitions("token", "num")
+
+
+def numbers_of_tokens(names: DataFrame, text: str) -> DataFrame:
+    """Enterprises with one of the words, from the search table."""
+    return names.where(F.array_contains(tokens(F.lit(text)), F.col("token"))).select("num").distinct()
+
+
 def matching_numbers(denominations: DataFrame, text: str) -> DataFrame:
     """Enterprises with a name that has one of the words."""
     return denominations.where(any_token(F.col("valeur"), text)).select("num").distinct()
 
 
 def enterprise_page(
-    enterprises: DataFrame, denominations: DataFrame, gold_keys: DataFrame, text: str = "", skip: int = 0, limit: int = 50
+    enterprises: DataFrame, denominations: DataFrame, gold_keys: DataFrame, text: str = "", skip: int = 0, limit: int = 50,
+    names: DataFrame | None = None,
 ) -> DataFrame:
-    """Directory page of all enterprises by number prefix or name; ``skip`` only without a search text."""
+    """Directory page of all enterprises by number prefix or name; ``skip`` only without a search text.
+
+    With a stored search table ``names`` a search reads that, else it goes through all names.
+    """
     if not text:
         hits = page(enterprises, skip=skip, limit=limit)
     elif is_number_search(text):
         hits = page(enterprises.where(number_prefix(F.col("num"), text)), limit=limit)
     else:
-        hits = page(enterprises.join(matching_numbers(denominations, text), "num", "left_semi"), limit=limit)
+        found = numbers_of_tokens(names, text) if names is not None else matching_numbers(denominations, text)
+        hits = page(enterprises.join(found, "num", "left_semi"), limit=limit)
     shown = held(hits.select("num", "juridical_form", "status"))
     keys = F.broadcast(shown.select("num"))
     named = shown.join(display_names(denominations.join(keys, "num", "left_semi")), "num", "left")

@@ -8,7 +8,7 @@ from ledgerline.functions.text import line_code, line_value
 from ledgerline.operators import extract, html, lookups, merge
 from ledgerline.registry.book import query
 from ledgerline.registry.inputs import DAY, _dotted, _num
-from ledgerline.session import new_folder
+from ledgerline.session import new_folder, stored
 from ledgerline.sources import archive, payloads, register
 
 DUMPS = {
@@ -305,7 +305,8 @@ CAST(c_custkey % 12 AS INT) AS nb_etablissements, {_dotted(C)} AS numero, 'toonv
 UNION ALL SELECT 'w' || CAST(page_id AS STRING), '/kbopub/w' || CAST(page_id AS STRING) || '.html', 0, 0, 0, NULL, NULL, NULL, NULL, NULL FROM pages""")
 def htm14(d):
     pages = card_pages(d)
-    record = extract.card_records(pages, html.page_rows(pages), html.page_links(pages)).counts()
+    rows, links = stored(html.page_rows(pages), "page_rows"), stored(html.page_links(pages), "page_links")  # each page parsed once
+    record = extract.card_records(pages, rows, links).counts()
     merged = merge.replace_rows(record.where("num like '%5'"), record, ["num"])
     return merged.select(
         "num", "archive", "fonctions", F.col("liens_entites").alias("liens"), "activites", "nb_etablissements", "generalites.numero", "ue_url",

@@ -14,14 +14,14 @@ from ledgerline.operators.scale import fits
 from ledgerline.plans import entities, reports, serving
 from ledgerline.plans import finance as fin
 from ledgerline.registry.book import query
-from ledgerline.registry.inputs import _num
+from ledgerline.registry.inputs import _dotted, _num
 from ledgerline.registry.q_finance import hotel_targets
 from ledgerline.registry.q_register import (
-    CHILD_COUNTS, CHILDREN, COUNT_COLS, DEDUP_SQL, ISO_SQL, LABEL_CTE, NAMES_SQL, SECTOR_SQL, inlist, rich,
+    CHILD_COUNTS, CHILDREN, COUNT_COLS, DECODED, DEDUP_SQL, ISO_SQL, LABEL_CTE, NAMES_SQL, SECTOR_SQL, inlist, rich,
 )
 from ledgerline.constants import SECTOR_CODES
 from ledgerline.registry.sqltext import FILINGS
-from ledgerline.session import new_folder
+from ledgerline.session import new_folder, stored
 from ledgerline.streaming import refresh, tail
 
 # --- upserts -------------------------------------------------------------------
@@ -287,6 +287,11 @@ def ent05c(d):
     return directory(d, text="Customer 1")
 
 
+@query("ent05d_directory_name_table", ent05_sql(f"num IN (SELECT num FROM fx_denomination WHERE {TOKENS})", "LIMIT 50"))
+def ent05d(d):
+    return directory(d, text="Customer 1", names=stored(serving.name_tokens(d.fx_denomination), "name_tokens"))
+
+
 def ent06_sql(where):
     return f"""WITH {FILINGS}, last AS (SELECT num, year, ca, resultat_net FROM growth QUALIFY row_number() OVER (PARTITION BY num ORDER BY year DESC) = 1),
 cnt AS (SELECT num, count(*) AS n, CASE WHEN bool_or(ca IS NOT NULL) THEN 'full' WHEN bool_or(fonds_propres IS NOT NULL) THEN 'abrege' ELSE 'micro' END AS schema_type
@@ -340,7 +345,7 @@ a AS (SELECT num, count(*) AS n FROM fx_activity GROUP BY num)
 SELECT p.num, p.denomination, p.adresse, p.nb_exercices, coalesce(a.n, 0) AS activites, CASE WHEN c.c_custkey IS NULL THEN 0 ELSE 2 END AS dirigeants,
 CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING) || ' EUR' AS capital FROM p LEFT JOIN a ON a.num = p.num LEFT JOIN customer c ON {_num('c.c_custkey')} = p.num""")
 def ent07(d):
-    rows = html.page_rows(d.fx_card_page)
+    rows = stored(html.page_rows(d.fx_card_page), "page_rows")  # parsed once for fields and officers
     fields = extract.card_fields(extract.label_values(rows), d.fx_card_page).select("num", "capital")
     officers = entities.officer_list(extract.officers(extract.with_section(rows)), d.fx_denomination)
     out = profile(d).select("num", "denomination", "adresse", "nb_exercices").join(fields, "num", "left")
@@ -349,6 +354,32 @@ def ent07(d):
     return rollups.zero_filled(out, counts, "num", "dirigeants")
 
 
+def profile_record(d):
+    """The profile of every enterprise with its activities, officers and years as long tables."""
+    officers = extract.officers(extract.with_section(html.page_rows(d.fx_card_page)))
+    return entities.profile_record(
+        d.fx_enterprise, d.fx_activity, d.fx_code, officers, d.fx_denomination, fin.yearly_metrics(d.fx_filing_line, hotel_targets(d)))
+
+
+@query("ent07b_profile_activities", f"WITH {LABEL_CTE} SELECT num, nace_code, classification, nace_fr, nace_nl, classification_fr FROM ({DECODED.format(t='fx_activity')}) x WHERE num IN (SELECT num FROM fx_enterprise)")
+def ent07b(d):
+    return profile_record(d).rows("activites").select("num", "nace_code", "classification", "nace_fr", "nace_nl", "classification_fr")
+
+
+@query("ent07c_profile_officers", f"""WITH n AS {DISPLAY} SELECT {_num('c.c_custkey')} AS num, 10 AS pos, 'Administrateur' AS fonction, coalesce(n.denomination, {_dotted('c.c_nationkey * 3')}) AS nom,
+{_num('c.c_nationkey * 3')} AS ref_bce, true AS is_company FROM customer c LEFT JOIN n ON n.num = {_num('c.c_nationkey * 3')}
+UNION ALL SELECT {_num('c_custkey')}, 11, 'Gérant', 'Dupont , ' || c_mktsegment, NULL, false FROM customer""")
+def ent07c(d):
+    return profile_record(d).rows("dirigeants").select("num", "pos", "fonction", "nom", "ref_bce", "is_company")
+
+
+@query("ent07d_profile_years", f"""WITH {FILINGS} SELECT num, CAST(row_number() OVER (PARTITION BY num ORDER BY year) AS INT) AS pos, year, round(ca, 2) AS ca, round(resultat_net, 2) AS resultat_net
+FROM growth WHERE num IN (SELECT num FROM fx_target) AND num IN (SELECT num FROM fx_enterprise)""")
+def ent07d(d):
+    years = profile_record(d).rows("annees")
+    return years.select("num", "pos", "year", F.round("ca", 2).alias("ca"), F.round("resultat_net", 2).alias("resultat_net"))
+
+
 @query("ent08_progress", """SELECT 'cibles' AS metric, count(*)::DOUBLE AS value FROM fx_target UNION ALL SELECT 'done', count(*) FROM fx_target WHERE status = 'done'
 UNION ALL SELECT 'pending', count(*) FROM fx_target WHERE status = 'pending' UNION ALL SELECT 'error', count(*) FROM fx_target WHERE status = 'error'
 UNION ALL SELECT 'pct', round(100.0 * count(*) FILTER (status IN ('done', 'error')) / count(*), 1) FROM fx_target

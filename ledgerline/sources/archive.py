@@ -31,6 +31,12 @@ def filing_lines(lines: DataFrame) -> DataFrame:
     return parsed.where(F.col("code") != "")
 
 
+def account_lines(accounts: DataFrame) -> DataFrame:
+    """Lines of the filing texts stored with the accounts, under the path each has in the archive."""
+    path = F.concat(F.lit("/"), "num", F.lit("/hbb/"), "reference", F.lit(".csv"))
+    return accounts.where(exportable(accounts)).select(path.alias("path"), F.explode(F.split("raw_csv", "\r?\n")).alias("value"))
+
+
 def of_keys(table: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
     """The asked columns of a stored table, for a set of enterprises."""
     return lookup(table.select("num", *columns), keys.select("num"), ["num"], "left_semi")
