@@ -74,6 +74,16 @@ def silver(
     return record(base, children)
 
 
+def silver_of_rich(
+    of: Record, documents: DataFrame, accounts: list[DataFrame], cards: DataFrame | None = None, publications: DataFrame | None = None,
+) -> Record:
+    """Silver built on rich records: activities keep their labels, seats are cut out, the other child tables are taken over."""
+    c = of.children
+    out = silver(of.base, c["activites"], c["adresses"], c["denominations"], documents, accounts, cards, publications)
+    own = {"activites": picks.dedup_activities(c["activites"]), **{n: c[n] for n in ("succursales", "contacts", "etablissements")}}
+    return out._replace(children={**out.children, **own})
+
+
 def matched_codes(activities: DataFrame) -> DataFrame:
     """Sector codes of the main activity (trimmed), sorted and distinct, per enterprise."""
     main = activities.where(F.trim(F.coalesce("classification", F.lit(""))) == "MAIN")

@@ -212,6 +212,23 @@ def ent01b(d):
     return reduce(DataFrame.unionByName, parts)
 
 
+def silver_of_rich(d):
+    return entities.silver_of_rich(rich(d), d.fx_document, [d.fx_account], cards=d.fx_branch)
+
+
+@query("ent01c_silver_activities", f"WITH {LABEL_CTE} SELECT num, nace_code, classification, nace_fr, nace_nl, group_fr FROM ({DECODED.format(t=DEDUP_SQL)}) x WHERE num IN (SELECT num FROM fx_enterprise)")
+def ent01c(d):
+    return silver_of_rich(d).rows("activites").select("num", "nace_code", "classification", "nace_fr", "nace_nl", "group_fr")
+
+
+@query("ent01d_silver_rich_counts", """SELECT e.num, CAST(coalesce(c.n, 0) AS INT) AS contacts, CAST(coalesce(u.n, 0) AS INT) AS etablissements, CAST(coalesce(s.n, 0) AS INT) AS succursales,
+CAST(coalesce(a.n, 0) AS INT) AS adresses FROM fx_enterprise e LEFT JOIN (SELECT num, count(*) AS n FROM fx_contact GROUP BY num) c ON c.num = e.num
+LEFT JOIN (SELECT num, count(*) AS n FROM fx_establishment GROUP BY num) u ON u.num = e.num LEFT JOIN (SELECT num, count(*) AS n FROM fx_branch GROUP BY num) s ON s.num = e.num
+LEFT JOIN (SELECT num, count(*) AS n FROM fx_address WHERE type_of_address IN ('Siège', 'REGO') GROUP BY num) a ON a.num = e.num""")
+def ent01d(d):
+    return silver_of_rich(d).counts().select("num", "contacts", "etablissements", "succursales", "adresses")
+
+
 @query("ent02_rich", f"""WITH {LABEL_CTE} SELECT e.num, e.status, a.nace_code, a.classification, g.fr AS group_fr, c.nl AS classification_nl, n.fr AS nace_fr, n.nl AS nace_nl
 FROM fx_enterprise e JOIN fx_activity a ON a.num = e.num LEFT JOIN labels g ON g.category = 'ActivityGroup' AND g.code = a.activity_group
 LEFT JOIN labels c ON c.category = 'Classification' AND c.code = a.classification
