@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import narrow
 
 BUCKETS = 1 << 15
-#: The model is fitted on about this many labelled rows, picked by a hash of their id; all of them where there are fewer.
+#: Each language is learned from about this many labelled rows, picked by a hash of id and text; from all where it has fewer.
 SAMPLE_ROWS = 40_000
 ROUNDS = 8
 #: A further language must gain this many times half the logarithm of the number of n-grams.
@@ -110,12 +110,17 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
 
 
 def fit_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS) -> Model:
-    """Model from a sample of about ``rows`` labelled rows outside the held-out fold."""
-    usable = narrow(docs, doc_id=id_col, text=text_col, lang=lang_col).where("doc_id IS NOT NULL AND lang IS NOT NULL").where(~held_out(F.col("doc_id")))
-    n = usable.select("doc_id").count()
-    if n > rows:
-        usable = usable.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) < int(1_000_000 * rows / n))
-    return fit(usable)
+    """Model from the labelled rows outside the held-out fold: all rows of a language, about ``rows`` where it has more.
+
+    Each language has its own rate, so a rare one is learned whole however many rows the others have. The row lowest in
+    hash order is always in, so no language is lost to chance either.
+    """
+    usable = narrow(docs, doc_id=id_col, text=text_col, lang=lang_col).where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
+    usable = usable.where(~held_out(F.col("doc_id"))).withColumn("spot", F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(3)), 11))
+    below = F.greatest((F.lit(float(rows)) / F.count("*") * (1 << 53)).cast("long"), F.min("spot") + 1)
+    bounds = usable.groupBy(F.col("lang").alias("__lang")).agg(F.when(F.count("*") > rows, below).alias("below"))
+    bounds = F.broadcast(bounds)  # a row per language, as the model has a column per language
+    return fit(usable.join(bounds, F.col("lang") == F.col("__lang")).where("below IS NULL OR spot < below"))
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

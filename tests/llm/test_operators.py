@@ -1,6 +1,7 @@
 """Edge cases of the text operators: nulls, empty texts, ties, repeated rows, empty tables, clashing columns, brute force."""
 
 import random
+import zlib
 from itertools import combinations
 
 import numpy as np
@@ -193,3 +194,18 @@ def test_language(spark, docs, sf):
     assert [got[i].lang_pred for i in range(5)] == ["und", "und", "und", "en", "de"] and got[0].score == 0.0
     assert all(0 <= r.score <= 1 for r in got.values())
     assert by_id(language.identify(docs(["text"]), language.fit_sample(docs([]))))[0].lang_pred == "und"
+
+
+def test_language_rare_one_is_learned_whole(docs):
+    """A rare language beside a common one far beyond the bound loses no row; the common one is thinned to about the bound."""
+    free = [i for i in range(6000) if zlib.crc32(str(i).encode()) % 5]
+    items = [(i, "the cat and the dog", "en") for i in free[:-3]] + [(i, "žluťoučký kůň úpěl", "cs") for i in free[-3:]]
+    model = language.fit_sample(docs(items), rows=50)
+    assert model.names == ["cs", "en"]
+    sizes = {}
+    for name, text in (("cs", "žluťoučký kůň úpěl"), ("en", "the cat and the dog")):
+        found, n = language.grams(text)
+        column = model.prob[:, model.names.index(name)]
+        sizes[name] = (column[found[0]] / column.min() - 1) * 0.5 / n[0]
+    assert round(sizes["cs"]) == 3 and 20 < sizes["en"] < 90
+    assert language.fit_sample(docs([(free[0], "the cat", "en")] * 200), rows=2).names == ["en"]
