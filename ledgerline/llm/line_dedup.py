@@ -27,10 +27,12 @@ def keyed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 def frequent_lines(keyed: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``(h1, h2, owner)`` of the ``keys`` found in at least ``min_docs`` documents; owner is the largest id holding it.
 
-    A document counts a key once, so the exploded rows are distinct per document before the (map-side combined) count.
+    An id counts a key once, however many rows repeat it: (key, id) is made distinct first. Both steps combine map-side, and
+    the first is dealt by key and id, so a very common line is spread over all tasks.
     """
     each = keyed.select("doc_id", F.explode_outer(F.array_distinct("keys")).alias("key")).where("key IS NOT NULL")
-    found = each.groupBy(F.col("key.h1").alias("h1"), F.col("key.h2").alias("h2")).agg(F.count("*").alias("n"), F.max("doc_id").alias("owner"))
+    each = each.select(F.col("key.h1").alias("h1"), F.col("key.h2").alias("h2"), "doc_id").distinct()
+    found = each.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("doc_id").alias("owner"))
     return found.where(F.col("n") >= min_docs).select("h1", "h2", "owner")
 
 
@@ -39,8 +41,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     A line's key is the line stripped of ASCII white space with A-Z lower-cased. Keys of ``min_chars`` code points or more
     that are in ``min_docs`` documents or more lose all their lines except in the largest id holding it. Null and empty
-    texts are one empty line. Rows are documents: a repeated row counts again, and rows that share the largest id all keep
-    the line. A row without an id neither counts nor loses lines. Columns named like the new ones are replaced.
+    texts are one empty line. An id is one document: rows that repeat it count once, and rows that share the largest id all
+    keep the line. A row without an id neither counts nor loses lines. Columns named like the new ones are replaced.
     """
     extra = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "kept_text")]
     rows = narrow(docs, doc_id=id_col, text=text_col).withColumn("text", whole("text"))

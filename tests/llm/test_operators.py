@@ -51,6 +51,15 @@ def test_line_dedup(docs):
     assert got[3, None] == (1, 0, "") and got[None, line] == (1, 0, line)
 
 
+def test_line_dedup_counts_documents_not_rows(docs):
+    """Rows 1, 1, 2 hold a line, and row 3 comes three times beside 4: two documents each, so nothing goes."""
+    a, b = "A line that two documents hold", "Another line that two documents hold"
+    items = [(1, f"{a}\none"), (1, f"{a}\nuno"), (2, a), (3, b), (3, b), (3, b), (4, b)]
+    assert [r.n_dropped for r in line_dedup.line_dedup(docs(items)).collect()] == [0] * 7
+    got = [(r.doc_id, r.n_dropped) for r in line_dedup.line_dedup(docs([*items, (5, a)])).collect()]
+    assert sorted(got) == [(1, 1), (1, 1), (2, 1), (3, 0), (3, 0), (3, 0), (4, 0), (5, 0)]
+
+
 def test_mix(docs):
     rng = random.Random(1)
     items = [(i, "w " * rng.randrange(1, 40), "en", rng.choice(["a", "b", "c", None] + ["hot"] * 4)) for i in range(600)] + [(700, None, "en", "a"), (701, "", "en", "empty")]
