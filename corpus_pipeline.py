@@ -32,10 +32,18 @@ def without_frequent_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id; rows that repeat it stay with it."""
-    groups = simhash.simhash_groups(docs)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept["__id"]), "left_semi")
+    """Exactly one row of each group of near copies: the one with the smallest id, ids before nulls.
+
+    Rows have a number of their own, written once, so repeated and missing ids are told apart. Of rows with the same id the
+    one with the smallest hash of its columns stays; only rows equal in all columns are left to the number.
+    """
+    others = [docs[c] for c in docs.columns if c not in ("doc_id", "text")]
+    content = F.xxhash64("text", *[F.to_json(F.struct(*others))] if others else [])
+    rank = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), content.alias("content"), F.monotonically_increasing_id().alias("number"))
+    rows = stored(docs.select(rank.alias("rank"), F.struct(*[docs[c] for c in docs.columns]).alias("row")), "rows")
+    groups = simhash.simhash_groups(rows.select("rank", F.col("row.text").alias("text")), id_col="rank")
+    kept = groups.where("doc_id.number = component_id.number").select(F.col("doc_id.number").alias("number"))
+    return rows.join(kept, rows["rank.number"] == kept["number"], "left_semi").select("row.*")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -91,6 +91,17 @@ def test_near_dedup_stage(spark, docs, items):
     assert got == sorted(set(roots.values())) and len(got) < len(items) - 3
 
 
+def test_near_dedup_keeps_one_row_of_each_group(spark, docs):
+    """Repeated rows, a repeated id whose texts are in two groups, null ids beside and inside groups with ids."""
+    rng = random.Random(3)
+    a, b, c, d = (" ".join(f"w{rng.randrange(9000)}" for _ in range(60)) for _ in range(4))
+    items = [(1, a), (1, a), (2, a), (2, b), (3, b), (None, a), (None, c), (None, c.upper()), (3, d), (4, d), (4, d)]
+    got = sorted((str(r.doc_id), r.text.lower()) for r in corpus_pipeline.one_of_near_copies(spark, docs(items), "").collect())
+    assert got == sorted([("1", a), ("2", b), ("None", c), ("3", d)])
+    again = [[r.text for r in corpus_pipeline.one_of_near_copies(spark, docs(x), "").collect() if r.doc_id is None] for x in (items, items[::-1])]
+    assert again[0] == again[1]
+
+
 def test_mix_stage(spark, docs, items):
     rows = [(r.doc_id, r.source, r.text) for r in corpus_pipeline.mixed(spark, docs(items), "").collect()]
     took, had = {}, {}
