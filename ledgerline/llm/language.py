@@ -19,6 +19,9 @@ SAMPLE_ROWS = 40_000
 ROUNDS = 8
 #: A further language must gain this many times half the logarithm of the number of n-grams.
 PENALTY = 4.0
+#: Proportions count as settled when no others have a log-likelihood higher by more than this (in a text of over 10 million n-grams, by
+#: a thousand-millionth of their number). The penalty is always more.
+SETTLED = 0.01
 
 _NO_LETTER = re.compile(r"[\W\d_]+")
 
@@ -52,37 +55,46 @@ class Model:
         self.prob = (smooth / smooth.sum(axis=0)).astype(np.float64) if names else np.zeros((BUCKETS, 0))
 
     @staticmethod
-    def settle(p: np.ndarray, weight: np.ndarray, share: np.ndarray, rounds: int) -> tuple[np.ndarray, float]:
-        """Proportions after some rounds of expectation and maximisation, and the log-likelihood before the last round."""
-        total, fit = weight.sum(), -np.inf
-        for _ in range(rounds):
+    def settle(p: np.ndarray, weight: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, float]:
+        """Proportions and their log-likelihood after as many rounds of expectation and maximisation as it takes to settle.
+
+        The likelihood is concave, so no proportions exceed it by more than the largest slope less the number of n-grams.
+        """
+        total = weight.sum()
+        while True:
             mixed = p @ share
-            share = share * ((weight / mixed) @ p) / total
-        fit = float(weight @ np.log(p @ share))
-        return share, fit
+            slope = (weight / mixed) @ p
+            if slope.max() - total <= max(SETTLED, 1e-9 * total):
+                return share, float(weight @ np.log(mixed))
+            share = np.maximum(share * slope / total, 1e-300)
 
     def mixture(self, found: np.ndarray, weight: np.ndarray, rounds: int = ROUNDS, penalty: float = PENALTY) -> tuple[list[int], np.ndarray]:
         """Languages of a text and their proportions, largest first.
 
-        All languages are mixed first; then sets of the k most present ones are fitted for k = 1, 2, .. as long as the
-        penalised likelihood rises.
+        All languages are mixed for some rounds, which gives the first one and the order of trial. Then any further one is
+        added that raises the penalised likelihood, whatever its share, until none does. A language whose slope shows that
+        it cannot gain as much as it costs is not fitted.
         """
         p = self.prob[found]
-        k = p.shape[1]
-        share, _ = self.settle(p, weight, np.full(k, 1 / k), rounds)
-        order = np.argsort(-share, kind="stable")
-        cost = penalty * 0.5 * np.log(weight.sum() + 1)
-        best = [int(order[0])], np.ones(1), float(weight @ np.log(p[:, order[0]]))
-        for size in range(2, k + 1):
-            if share[order[size - 1]] < 0.02:
-                break
-            chosen = order[:size]
-            part, fit = self.settle(p[:, chosen], weight, share[chosen] / share[chosen].sum(), rounds)
-            if fit - cost <= best[2]:
-                break
-            best = chosen.tolist(), part, fit
-        rank = np.argsort(-best[1], kind="stable")
-        return [best[0][i] for i in rank], best[1][rank]
+        k, total = p.shape[1], weight.sum()
+        share = np.full(k, 1 / k)
+        for _ in range(rounds):
+            share = share * ((weight / (p @ share)) @ p) / total
+        order = np.argsort(-share, kind="stable").tolist()
+        cost = penalty * 0.5 * np.log(total + 1)
+        chosen, part, fit = order[:1], np.ones(1), float(weight @ np.log(p[:, order[0]]))
+        grown = True
+        while grown and len(chosen) < k:
+            grown = False
+            gain = (weight / (p[:, chosen] @ part)) @ p - total
+            for other in [i for i in order if i not in chosen and gain[i] > cost]:
+                size = len(chosen) + 1
+                new, better = self.settle(p[:, [*chosen, other]], weight, np.append(part * (size - 1), 1) / size)
+                if better - cost > fit:
+                    chosen, part, fit, grown = [*chosen, other], new, better, True
+                    break
+        rank = np.argsort(-part, kind="stable")
+        return [chosen[i] for i in rank], part[rank]
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:

@@ -218,3 +218,26 @@ def test_language_rare_one_is_learned_whole(docs):
         sizes[name] = (column[found[0]] / column.min() - 1) * 0.5 / n[0]
     assert round(sizes["cs"]) == 3 and 20 < sizes["en"] < 90
     assert language.fit_sample(docs([(free[0], "the cat", "en")] * 200), rows=2).names == ["en"]
+
+
+def test_language_small_share_of_a_long_text():
+    """One hundredth of a long text is admitted by the penalty, also behind a language that does not gain; a chance word is not."""
+    rng = np.random.default_rng(5)
+    places = [rng.permutation(language.BUCKETS)[:400] for _ in range(3)]
+    places[1] = places[0].copy()  # nothing to gain beside the first
+    counts = np.zeros((language.BUCKETS, 3))
+    for i, at in enumerate(places):
+        counts[at, i] = rng.integers(50, 90, 400)
+    model = language.Model(["a", "b", "c"], counts)
+
+    def text(share):
+        weight = counts[:, 0] / counts[:, 0].sum() * (1 - share) + counts[:, 2] / counts[:, 2].sum() * share
+        found = np.flatnonzero(weight)
+        return found, np.round(weight[found] * 200_000).astype(np.int64)
+
+    found, weight = text(0.01)
+    which, part = model.mixture(found, weight)
+    assert which == [0, 2] and 0 < part[1] < 0.02
+    fit = lambda share: weight @ np.log(model.prob[found][:, which] @ share)
+    assert fit(part) > max(fit(np.array([1 - x, x])) for x in np.linspace(0, 0.05, 501)) - 0.01
+    assert model.mixture(*text(0))[0] == [0]
