@@ -32,3 +32,18 @@ def words(text: Column) -> Column:
 def narrow(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named input columns under the operator's own names, whatever else ``df`` carries."""
     return df.select(*[df[old].alias(new) for new, old in columns.items()])
+
+
+def join_unique(left: DataFrame, right: DataFrame, key: list[str], how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right``, whose keys are unique; a key of many rows of ``left`` meets its row by broadcast.
+
+    Both sides are read twice, so they should be stored tables. A hot key has more than a ten-thousandth of the rows of
+    ``left``, so there are at most 10,000 of them; the rest is shuffled.
+    """
+    n = left.count()
+    hot = left.groupBy(*key).agg(F.count("*").alias("__n")).where(F.col("__n") > max(1000, n // 10_000)).select(*key)
+    if how not in ("inner", "left"):
+        raise ValueError(how)
+    near = left.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(right.join(F.broadcast(hot), key, "left_semi")), key, how)
+    far = left.join(F.broadcast(hot), key, "left_anti").join(right, key, how)
+    return near.unionByName(far)

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, exact_dedup, language, line_dedup, mixing, quality, secrets, simhash, substring_dedup, url_filter
+from ledgerline.llm import bpe, collocations, exact_dedup, language, line_dedup, mixing, packing, quality, secrets, simhash, spelling, substring_dedup, url_filter
 from ledgerline.llm.sql import ORACLES  # noqa: F401
 
 #: Host, path, allow.
 URL_RULES = [("org", "/", True), ("example.org", "/es/", False), ("example.org", "/en/1", False), ("com", "/fr/", True), ("com", "/de/", False)]
 RANK_FILE = "byte_bpe_50k.tiktoken"
+WORD_FILE = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -67,6 +68,22 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf, "documents"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path(WORD_FILE), encoding="utf-8") as file:
+        spec = file.read()
+    return packing.pack_documents(_table(spark, sf, "documents"), spec)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_quality_rules, op3_line_dedup, op4_source_mix, op5_simhash_dedup, op6_bpe_round_trip, op7_substring_dedup, op8_url_filter,
-    op9_secret_scan, op10_language_id)}
+    op9_secret_scan, op10_language_id, op11_spelling_variants, op12_collocations, op13_best_fit_packing)}

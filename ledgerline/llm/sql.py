@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerline.llm import mixing, quality, secrets
+from ledgerline.llm import mixing, quality, secrets, spelling
 from ledgerline.llm.common import LOWER, UPPER, WORD
 
 
@@ -113,3 +113,47 @@ a AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FIL
   string_agg(span, ',' ORDER BY start, rule) FILTER (base = 1) AS known, string_agg(span, ',' ORDER BY start, rule) AS spans FROM t GROUP BY doc_id)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(known, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN a USING (doc_id)"""
+
+
+def _crc_table() -> list[int]:
+    """The 256 remainders of the reflected polynomial of CRC-32."""
+    out = []
+    for x in range(256):
+        for _ in range(8):
+            x = x >> 1 ^ (0xEDB88320 if x & 1 else 0)
+        out.append(x)
+    return out
+
+
+# Bytes of a word are its code points: those of U+00C0 to U+00FF are two bytes, 195 and the code point less 64.
+_BYTES = "flatten([CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [195, unicode(c) - 64] END FOR c IN string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, '')])"
+ORACLES["op11_spelling_variants"] = f"""
+WITH RECURSIVE t AS MATERIALIZED (SELECT {_crc_table()}::BIGINT[] AS crc),
+r AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, {_LOW}), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+g AS MATERIALIZED (SELECT doc_id, run, count(*) AS k FROM r GROUP BY ALL),
+h AS (SELECT run, k, xor(list_reduce(list_prepend(4294967295::BIGINT, {_BYTES}::BIGINT[]), lambda x, b: xor(x >> 8, crc[(xor(x, b) & 255) + 1])), 4294967295::BIGINT) AS h FROM g, t),
+s AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM h),
+w AS MATERIALIZED (SELECT word, sum(k)::BIGINT AS n FROM s WHERE length(word) >= {spelling.MIN_LENGTH} GROUP BY word HAVING sum(k) >= {spelling.MIN_COUNT}),
+d AS MATERIALIZED (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS less FROM w, unnest(range(1, length(word) + 1)) AS u(i)),
+p AS (SELECT a.word, b.word AS near FROM d a JOIN d b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+      UNION SELECT d.word, w.word FROM d JOIN w ON d.less = w.word UNION SELECT w.word, d.word FROM d JOIN w ON d.less = w.word),
+q AS (SELECT p.word, count(*) AS n_near, arg_min(near, (-w.n, encode(near))) AS best, max(w.n) AS best_n FROM p JOIN w ON w.word = p.near GROUP BY p.word),
+f AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * n THEN best END AS form, CASE WHEN best_n >= 2 * n THEN best_n END AS form_n FROM w LEFT JOIN q USING (word)),
+c AS (SELECT word, word AS at FROM f UNION ALL SELECT c.word, f.form FROM c JOIN f ON f.word = c.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n FROM f JOIN c USING (word) JOIN f e ON e.word = c.at WHERE e.form IS NULL"""
+
+ORACLES["op12_collocations"] = f"""
+WITH s AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc, string_split_regex(translate(coalesce(text, ''), {_LOW}), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+p AS (SELECT lang, doc, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS j FROM s),
+v AS (SELECT lang, doc, j, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (SELECT lang, ws[i:i + m - 1] AS ws, m FROM v, unnest([1, 2, 3]) AS a(m), unnest(range(1, len(ws) - m + 2)) AS b(i)),
+f AS MATERIALIZED (SELECT lang, ws, m, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, ws, m, f AS a FROM f WHERE m > 1 AND f >= 10),
+k AS (SELECT c.*, k, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score FROM c, unnest(range(1, m)) AS u(k)
+      JOIN f x ON x.lang = c.lang AND x.ws = c.ws[1:k] JOIN f y ON y.lang = c.lang AND y.ws = c.ws[k + 1:]),
+b AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1),
+i AS (SELECT lang, unnest([ws[1:2], ws[2:3]]) AS ws, a AS longer FROM c WHERE m = 3),
+o AS (SELECT lang, ws, max(longer) AS longer FROM i GROUP BY ALL),
+t AS (SELECT b.lang, array_to_string(b.ws, ' ') AS phrase, a, l, r, score::BIGINT AS score FROM b LEFT JOIN o ON o.lang = b.lang AND o.ws = b.ws WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT t.lang, row_number() OVER (PARTITION BY t.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n.n, score FROM t JOIN n ON n.lang = t.lang QUALIFY rank <= 2000"""
