@@ -16,19 +16,20 @@ from pyspark.sql import functions as F
 class Record(NamedTuple):
     """``base`` has one row per key; ``children`` have the key, a position and their fields.
 
-    ``raw`` names, for children that are costly to derive, tables with the same keys that are cheaper to count.
+    ``raw`` names, for children that are costly to derive, the tables with the same keys that are cheaper to count; a child
+    made of several sources has one for each.
     """
 
     base: DataFrame
     children: dict[str, DataFrame]
     key: str = "num"
-    raw: dict[str, DataFrame] = {}
+    raw: dict[str, list[DataFrame]] = {}
 
     def where(self, of_key: Column) -> Record:
         """The record restricted by a condition on its key, before anything is joined."""
         return self._replace(
             base=self.base.where(of_key), children={n: c.where(of_key) for n, c in self.children.items()},
-            raw={n: c.where(of_key) for n, c in self.raw.items()})
+            raw={n: [t.where(of_key) for t in tables] for n, tables in self.raw.items()})
 
     def rows(self, child: str, *columns: str, every: bool = False) -> DataFrame:
         """Rows of one child beside base ``columns``; rows without a record go.
@@ -43,11 +44,18 @@ class Record(NamedTuple):
         return found.unionByName(base.join(rows.select(self.key), self.key, "left_anti"), allowMissingColumns=True)
 
     def counts(self) -> DataFrame:
-        """The base with the number of rows of each child: one shuffle of all children, combined map-side."""
-        tables = {**self.children, **self.raw}
-        stacked = reduce(DataFrame.unionByName, [tables[n].select(self.key, F.lit(n).alias("child")) for n in self.children])
-        sums = stacked.groupBy(self.key).agg(*[F.count_if(F.col("child") == n).cast("int").alias(n) for n in self.children])
-        return self.base.join(sums, self.key, "left").fillna(0, list(self.children))
+        """The base with the number of rows of each child.
+
+        Each child is counted on its own, combined map-side: tables landed with one layout are counted and joined where they
+        lie, others are shuffled as counts.
+        """
+        out, sums = self.base, {}
+        for name, child in self.children.items():
+            parts = self.raw.get(name, [child])
+            for i, part in enumerate(parts):
+                out = out.join(part.select(self.key).groupBy(self.key).agg(F.count("*").cast("int").alias(f"{name} {i}")), self.key, "left")
+            sums[name] = reduce(lambda a, b: a + b, [F.coalesce(F.col(f"{name} {i}"), F.lit(0)) for i in range(len(parts))])
+        return out.select(*self.base.columns, *[total.alias(name) for name, total in sums.items()])
 
     def nested(self, keys: list[str], order: str = "pos") -> DataFrame:
         """The records of a page of ``keys`` with their children as ordered arrays of structs."""
@@ -62,7 +70,7 @@ class Record(NamedTuple):
 
 
 def record(parent: DataFrame, children: dict[str, tuple[DataFrame, list[str]]], key: str = "num", order: str = "pos",
-           raw: dict[str, DataFrame] | None = None) -> Record:
+           raw: dict[str, list[DataFrame]] | None = None) -> Record:
     """A record of ``parent`` (one row per key) and its ``children`` (rows, fields), each ordered by ``order``."""
     long = {n: rows.where(F.col(key).isNotNull()).select(key, order, *[f for f in fields if f != order]) for n, (rows, fields) in children.items()}
-    return Record(parent, long, key, {n: df.where(F.col(key).isNotNull()) for n, df in (raw or {}).items()})
+    return Record(parent, long, key, {n: [df.where(F.col(key).isNotNull()) for df in tables] for n, tables in (raw or {}).items()})

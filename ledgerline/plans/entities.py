@@ -38,7 +38,7 @@ def rich(
             "etablissements": (establishments.withColumn("pos", F.col("establishment_number")), ["establishment_number", "start_date"]),
             "denominations": (denominations, ["language", "type_code", "valeur"]),
         },
-        raw={"activites": activities},
+        raw={"activites": [activities]},
     )
 
 
@@ -51,7 +51,8 @@ def silver(
     Seat addresses, first activity per code and class, ISO dates. A card or publication source has one row per
     enterprise; an absent one adds no struct. Account sources are concatenated in the given order.
     """
-    base = enterprises.withColumn("num", clean_number(F.col("enterprise_number")))
+    # A landed register has its key, so that the record stays co-partitioned with its children.
+    base = enterprises if "num" in enterprises.columns else enterprises.withColumn("num", clean_number(F.col("enterprise_number")))
     base = base.withColumn("date_creation", iso_date(F.col("start_date"))).drop("enterprise_number", "start_date")
     for name, side in (("kbopub", cards), ("ejustice", publications)):
         if side is not None:
@@ -71,7 +72,7 @@ def silver(
     }
     if stacked is not None:
         children["comptes_annuels"] = (stacked, fields)
-    return record(base, children)
+    return record(base, children, raw={"comptes_annuels": accounts} if accounts else None)
 
 
 def silver_of_rich(
@@ -179,7 +180,7 @@ def profile_record(
             "dirigeants": (named, ["fonction", "nom", "depuis", "ref_bce", "is_company"]),
             "annees": (yearly.withColumn("pos", F.row_number().over(by_year)), ["year", "ca", "resultat_net", "fonds_propres"]),
         },
-        raw={"activites": activities, "annees": yearly},
+        raw={"activites": [activities], "annees": [yearly]},
     )
 
 

@@ -6,23 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.registry.inputs import table, view, with_views
+from ledgerline.registry.inputs import landed, table, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 class Data:
-    """Input tables and register views of one data directory, read by attribute."""
+    """Input tables and landed register views of one data directory, read by attribute."""
 
     def __init__(self, spark: SparkSession, sf: str):
         self.spark, self.sf = spark, sf
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("fx_"):
-            return view(self.spark, self.sf, name)
+            return landed(self.spark, self.sf, name).read(self.spark)
         return table(self.spark, self.sf, name)
 
+    def derived(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A table derived from the views and landed once, for results that many queries read."""
+        return landed(self.spark, self.sf, name, make).read(self.spark)
+
 
 def query(name: str, sql: str | None = None):
     """Register ``fn(data) -> DataFrame`` under ``name`` with its checking SQL."""

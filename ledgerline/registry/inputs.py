@@ -9,9 +9,12 @@ Views keep all rows of the tables they read.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.sources.landing import Landed, bucket_number, land, source_bytes
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -218,8 +221,13 @@ SELECT {_num('o_custkey')} AS num, o_orderkey AS page,
        || '<div>Avis du ' || {DAY} || ' <a href="https://pub.example/tsv_pdf/2020/01/02/N' || CAST(o_orderkey % 5 AS STRING) || '.pdf">avis</a></div>'
        || '<p><a href="list.html?page=' || CAST(1 + o_orderkey % 80 AS STRING) || '">next</a> <a href="/about">about</a></p></body></html>' AS html
 FROM orders""",
+    "fx_web_page": """
+SELECT 'w' || CAST(page_id AS STRING) AS num, 1 AS page, url, html FROM pages""",
 }
 
+#: Keys by which views are landed where that is not ``num``; codes have none.
+KEYS: dict[str, str | None] = {"fx_document": "enterprise", "fx_code": None}
+
 _EACH = re.compile(r"@each\((\w+): ([^)]*)\)")
 
 
@@ -245,6 +253,22 @@ def view(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.sql(text, **{t: table(spark, sf, t) for t in used})
 
 
+_LANDED: dict[tuple[str, str, str], Landed] = {}
+_SIZES: dict[tuple[str, str], int] = {}
+
+
+def landed(spark: SparkSession, sf: str, name: str, make: Callable[[], DataFrame] | None = None, key: str | None = "num") -> Landed:
+    """The table landed under ``name`` for this data folder, written on its first use in a session; a view unless ``make`` gives its rows."""
+    app = spark.sparkContext.applicationId
+    if (app, sf) not in _SIZES:
+        _SIZES[app, sf] = source_bytes(spark, sf)
+    if (app, sf, name) not in _LANDED:
+        buckets = bucket_number(_SIZES[app, sf])
+        rows, by = (make(), key) if make else (view(spark, sf, name), KEYS.get(name, "num"))
+        _LANDED[app, sf, name] = land(rows, name, by, buckets, min(64 << 20, max(1 << 20, _SIZES[app, sf] // buckets)))
+    return _LANDED[app, sf, name]
+
+
 def with_views(sql: str) -> str:
     """Checking SQL with the views it mentions put in front as CTEs."""
     names = [v for v in VIEWS if re.search(rf"\b{v}\b", sql)]

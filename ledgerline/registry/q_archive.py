@@ -36,18 +36,26 @@ def src01(d):
     return back.select("num", "enterprise_number", "status", "juridical_form", "type_of_enterprise", "start_date")
 
 
-@query("src02_bronze_load", " UNION ALL ".join(f"SELECT 'kbo_{n}' AS name, count(*) AS written, count(*) AS stored FROM {v}" for n, v in DUMPS.items())
-       + " UNION ALL SELECT 'kbo_meta', 1, 1")
+@query("src02_bronze_load", " UNION ALL ".join(
+    f"SELECT 'kbo_{n}' AS name, count(*) AS written, count(*) AS stored, {str(n != 'code').lower()} AND count(*) > 0 AS split, {str(n != 'code').lower()} AND count(*) > 0 AS sorted FROM {v}"
+    for n, v in DUMPS.items()) + " UNION ALL SELECT 'kbo_meta', 1, 1, false, false")
 def src02(d):
+    """Rows written and stored; whether every file is one bucket of the key, and the rows of a file are in its order."""
     source, target = new_folder(d.spark, "csv"), new_folder(d.spark, "bronze")
     dump(d, source)
     counts = register.load_bronze(d.spark, source, target)
-    out = None
-    for name, rows in counts.items():
-        one = d.spark.read.parquet(f"{target}/{name}").agg(F.count("*").alias("stored"))
-        one = one.select(F.lit(name).alias("name"), F.lit(rows).cast("long").alias("written"), "stored")
-        out = one if out is None else out.unionByName(one)
-    return out
+    stored_rows = d.spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(target).select("num", F.input_file_name().alias("file"))
+    bucket = F.regexp_extract("file", r"_(\d+)\.c\d+[^/]*$", 1).try_cast("int")
+    # The buckets of a table are a power of two, 8 at least, so the class of its key modulo 8 is that of its bucket.
+    marked = stored_rows.select(
+        F.regexp_extract("file", "/(kbo_[^/]+)/[^/]*$", 1).alias("name"), "file", "num", (F.pmod(F.hash("num"), F.lit(8)) == F.pmod(bucket, F.lit(8))).alias("fits"),
+        F.monotonically_increasing_id().alias("at"))
+    files = marked.groupBy("name", "file").agg(
+        F.count("*").alias("stored"), F.bool_and(F.coalesce("fits", F.lit(False))).alias("split"),
+        (F.min("num").eqNullSafe(F.min_by("num", "at")) & F.max("num").eqNullSafe(F.max_by("num", "at"))).alias("ends"))
+    tables = files.groupBy("name").agg(F.sum("stored").alias("stored"), F.bool_and("split").alias("split"), F.bool_and(F.col("split") & F.col("ends")).alias("sorted"))
+    written = d.spark.createDataFrame(list(counts.items()), "name string, written long")
+    return written.join(tables, "name", "left").select("name", "written", F.coalesce("stored", F.lit(0)).alias("stored"), *[F.coalesce(c, F.lit(False)).alias(c) for c in ("split", "sorted")])
 
 
 @query("src03_snapshot_date", "SELECT strftime(max(o_orderdate), '%d-%m-%Y') AS snapshot, count(*) AS orders FROM orders")
@@ -189,7 +197,7 @@ def win12(d):
 
 def card_pages(d):
     """Cards with labels, and the raw web pages, which have none."""
-    return d.fx_card_page.unionByName(d.pages.select(F.concat(F.lit("w"), F.col("page_id").cast("string")).alias("num"), F.lit(1).alias("page"), "html"))
+    return d.fx_card_page.unionByName(d.fx_web_page.select("num", "page", "html"))
 
 
 @query("htm02_card_fields", f"""SELECT {_num(C)} AS num, {_dotted(C)} AS numero, CASE WHEN c_custkey % 10 = 0 THEN 'Arrêté' ELSE 'Actif' END AS statut,

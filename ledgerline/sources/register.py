@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.constants import META_FILE, REGISTER_FILES
+from ledgerline.sources.landing import bucket_number, land, source_bytes
+
+#: Columns that may hold the enterprise number of a dump, in this order.
+ENTITY_KEYS = ("EntityNumber", "EnterpriseNumber", "num")
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -46,16 +53,25 @@ def with_provenance(df: DataFrame, file: str, snapshot: str | None) -> DataFrame
     })
 
 
-def load_table(spark: SparkSession, source: str, file: str, target: str, snapshot: str | None) -> int:
-    """Load one file; the row count is observed while writing, without a second scan."""
+def load_table(spark: SparkSession, source: str, file: str, target: str, snapshot: str | None, keys: Sequence[str] = ENTITY_KEYS) -> int:
+    """Load one file; the row count is observed while writing, without a second scan.
+
+    A table with an enterprise key (the first of ``keys`` that it has) is landed in buckets of that key, sorted, so that the
+    register's tables join where they lie; others are written as they come.
+    """
     seen = Observation(file)
     df = with_provenance(read_raw_csv(spark, f"{source}/{file}"), file, snapshot)
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    key = next((k for k in keys if k in df.columns), None)
+    if key is None:
+        counted.write.mode("overwrite").parquet(target)
+    else:
+        land(counted, re.sub(r"\W", "_", file), key, bucket_number(source_bytes(spark, f"{source}/{file}")), path=target)
     return seen.get["rows"]
 
 
 def load_bronze(spark: SparkSession, source: str, target: str, files: dict[str, str] | None = None) -> dict[str, int]:
-    """Load every register file to ``<target>/kbo_<name>`` and return the row counts."""
+    """Load every register file to ``<target>/kbo_<name>`` and return the row counts; a second load replaces the first."""
     snapshot = read_snapshot_date(spark, source)
     counts = {f"kbo_{n}": load_table(spark, source, f, f"{target}/kbo_{n}", snapshot) for n, f in (files or REGISTER_FILES).items()}
     counts["kbo_meta"] = load_table(spark, source, META_FILE, f"{target}/kbo_meta", snapshot)
