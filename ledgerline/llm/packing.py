@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,39 +20,74 @@ GROUP = 16_000
 #: Passes in a row that exchange without emptying a bin, after which a group is left as it is.
 IDLE_PASSES = 8
 #: Distinct words that a task remembers; past that it starts afresh. Bounds memory, not results.
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
 TEXT_BYTES = 4_000_000
+#: Latin letters that no normalisation parts or joins, with marks before and behind them; an apostrophe before letters may be part of their piece.
+MARKED_LETTERS = re.compile(r"(?:([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-ÿ]+))?([!-/:-@\[-`{-~]*)").fullmatch
+#: Characters that byte-level merges use for the bytes that have no printable character: from 256 on, in order.
+BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
-class Words:
-    """Token ids of texts. The tokenizer drops white space before its merges, so a text's ids are those of its ASCII-blank separated words."""
+class Words(dict):
+    """Token ids of texts; maps each blank-separated word to its number.
+
+    The tokenizer drops white space before its merges, so a text's ids are those of its words. Marks around letters are
+    pieces of their own, and capital letters count as small ones, so such words share the ids of their stem. A stem is one
+    piece that the normaliser leaves alone: it goes straight to the merges, as the characters that stand for its bytes; all
+    other words take the whole way. Ids are kept as bytes.
+    """
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
-        self.clear()
+        self.merge = self.tokenizer.model.tokenize
+        self.forget()
 
-    def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
+    def forget(self) -> None:
+        self.clear()
+        self.stems: dict[str, bytes] = {}
+        self.new: list[bytes] = []
         self.ids, self.start, self.count = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+    def _whole_way(self, word: bytes) -> bytes:
+        return array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+
+    def _stem(self, stem: str) -> bytes:
+        if stem not in self.stems:
+            letters = stem if stem.isascii() else stem.encode().decode("latin-1").translate(BYTE_CHARS)
+            self.stems[stem] = array("I", [t.id for t in self.merge(letters)]).tobytes()
+        return self.stems[stem]
+
+    def _ids(self, word: bytes) -> bytes:
+        found = MARKED_LETTERS(word.decode())
+        if not found or b"<|" in word:  # or a special token in it
+            return self._whole_way(word)
+        before, letters, behind = found.groups()
+        ids = self._stem(letters.lower()) if letters else b""
+        if before:
+            ids = self._stem(before) + ids
+        return ids + self._stem(behind) if behind else ids
+
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        if len(self.known) > REMEMBERED:
-            self.clear()
-        parts = [text.split() for text in texts]
-        fresh = list(set().union(*parts).difference(self.known))
-        if fresh:
-            found = [self.tokenizer.encode(w.decode(), add_special_tokens=False).ids for w in fresh]
-            sizes = np.array([len(x) for x in found], np.int64)
-            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)), strict=True))
+        if len(self) > REMEMBERED:
+            self.forget()
+        numbers = [np.fromiter(map(self.__getitem__, words), np.int64, len(words)) for words in map(bytes.split, texts)]
+        if self.new:
+            found = [self._ids(w) for w in self.new]
+            sizes = np.array([len(x) // 4 for x in found], np.int64)
             self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(sizes) - sizes])
             self.count = np.concatenate([self.count, sizes])
-            self.ids = np.concatenate([self.ids, np.array([i for x in found for i in x], "<u4")])
-        for words in parts:
-            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(found), np.uint32)])
+            self.new = []
+        for at in numbers:
             n = self.count[at]
             yield self.ids[np.repeat(self.start[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
 

@@ -159,7 +159,7 @@ def check_packing(rows, capacity):
 def test_packing_keeps_every_token(docs, spec):
     rng = random.Random(3)
     tokenizer = Tokenizer.from_str(spec)
-    odd = ["Á café İ ΑΣ ß Ǆ", "x y z　日本語 don't I'LL", "a\x1cb\x1d\x85c", "<|endoftext|> x<|startoftext|>y", "́ lone", "", None, "\t \n", "w" * 9000, "123 4567 ½ ²"]
+    odd = ["Á café İ ΑΣ ß Ǆ", "x y z　日本語 don't I'LL", "a\x1cb\x1d\x85c", "<|endoftext|> x<|startoftext|>y", "<|ENDOFTEXT|> (Don't) 'said' \"It's,\" --' 'tis a'b É'd `x` <|", "́ lone", "", None, "\t \n", "w" * 9000, "123 4567 ½ ²"]
     texts = odd + [" ".join(rng.choices(["the", "quick", "naïve", "fox.", "jumps,", "42"], k=rng.randrange(0, 400))) for _ in range(300)] + ["many words " * 3000] * 2
     items = [*enumerate(texts), (20, texts[20]), (20, texts[20]), (None, "no id"), (None, "no id")]
     got = packing.pack_documents(clash(docs(items)), spec, capacity=256, group=60).collect()
