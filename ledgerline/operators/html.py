@@ -1,7 +1,8 @@
-"""Rows and links of archived pages; one Arrow batch of pages at a time, no shuffle.
+"""Rows and links of archived pages in one pass; one Arrow batch of pages at a time, no shuffle.
 
 Python only turns markup into rows of cells and links. Everything after that
-(sections, labels, officers, publications) is done with DataFrame operations.
+(sections, labels, officers, publications) is done with DataFrame operations. Link targets
+alone are found without Python, see ``links``.
 """
 
 from __future__ import annotations
@@ -12,11 +13,10 @@ from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # executors need not have this package installed: the parser travels with the tasks
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -26,8 +26,6 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
 _ENDS = {"td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",), "li": ("li",), "p": ("p",)}
 _SCOPE = {"table", "ul", "ol", "div", "body", "html"}
 
-CELL = T.StructType([T.StructField(n, T.StringType()) for n in ("tag", "cls", "text")])
-
 
 class Page(HTMLParser):
     """Elements in document order, each with the span of text pieces it covers."""
@@ -100,40 +98,58 @@ def _rows(page: Page) -> list[list[dict]]:
     return list(rows.values())
 
 
-def page_rows(pages: DataFrame) -> DataFrame:
-    """``(num, page, row_no, cells)`` of every table row that has cells."""
+_ITEM = pa.schema([
+    ("num", pa.string()), ("page", pa.int64()), ("kind", pa.string()), ("no", pa.int32()),
+    ("cells", pa.list_(pa.struct([("tag", pa.string()), ("cls", pa.string()), ("text", pa.string())]))),
+    ("href", pa.string()), ("text", pa.string()), ("row_text", pa.string()), ("block_text", pa.string())])
+ITEM = (
+    "num string, page long, kind string, no int, cells array<struct<tag:string,cls:string,text:string>>, "
+    "href string, text string, row_text string, block_text string")
+#: Pages whose items are handed on together.
+_PAGES = 200
+
+
+def _items(num: str, page: int, html: str | None) -> Iterator[tuple]:
+    parsed = Page(html or "")
+    for i, cells in enumerate(_rows(parsed)):
+        if cells:
+            yield num, page, "row", i, cells, None, None, None, None
+    links = [e for e in parsed.elements if e["tag"] == "a" and e["attrs"].get("href") is not None]
+    for i, link in enumerate(links):
+        row = parsed.enclosing(link, ("tr",)) or parsed.enclosing(link, ("td",)) or link["up"] or link
+        block = parsed.enclosing(link, ("li", "tr", "div", "p")) or link
+        yield num, page, "link", i, None, link["attrs"]["href"], parsed.text(link), parsed.text(row), parsed.text(block)
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def page_items(pages: DataFrame) -> DataFrame:
+    """Table rows with cells and links with a target, as one stream: a page is parsed once for both.
+
+    ``kind`` is ``row`` (number among the page's rows, cells) or ``link`` (number among the links, href and texts). A page
+    without either gives nothing.
+    """
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for num, page, html in batch[["num", "page", "html"]].itertuples(index=False):
-                for i, cells in enumerate(_rows(Page(html or ""))):
-                    if cells:
-                        out.append((num, page, i, cells))
-            yield pd.DataFrame(out, columns=["num", "page", "row_no", "cells"])
+            for start in range(0, batch.num_rows, _PAGES):
+                out = [item for page in zip(*(c.to_pylist() for c in batch.slice(start, _PAGES).columns), strict=True) for item in _items(*page)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _ITEM, strict=True)] if out else [pa.array([], f.type) for f in _ITEM], schema=_ITEM)
 
-    schema = T.StructType([
-        T.StructField("num", T.StringType()), T.StructField("page", T.LongType()),
-        T.StructField("row_no", T.IntegerType()), T.StructField("cells", T.ArrayType(CELL)),
-    ])
-    return pages.select("num", F.col("page").cast("long").alias("page"), "html").mapInPandas(parse, schema)
+    return pages.select("num", F.col("page").cast("long").alias("page"), "html").mapInArrow(parse, ITEM)
 
 
-def page_links(pages: DataFrame) -> DataFrame:
+def rows_of(items: DataFrame) -> DataFrame:
+    """``(num, page, row_no, cells)`` of every table row that has cells."""
+    return items.where(F.col("kind") == "row").select("num", "page", F.col("no").alias("row_no"), "cells")
+
+
+def links_of(items: DataFrame) -> DataFrame:
     """``(num, page, link_no, href, text, row_text, block_text)`` of every link with a target."""
+    return items.where(F.col("kind") == "link").select("num", "page", F.col("no").alias("link_no"), "href", "text", "row_text", "block_text")
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["num", "page", "link_no", "href", "text", "row_text", "block_text"]
-        for batch in batches:
-            out = []
-            for num, page, html in batch[["num", "page", "html"]].itertuples(index=False):
-                parsed = Page(html or "")
-                links = [e for e in parsed.elements if e["tag"] == "a" and e["attrs"].get("href") is not None]
-                for i, link in enumerate(links):
-                    row = parsed.enclosing(link, ("tr",)) or parsed.enclosing(link, ("td",)) or link["up"] or link
-                    block = parsed.enclosing(link, ("li", "tr", "div", "p")) or link
-                    out.append((num, page, i, link["attrs"]["href"], parsed.text(link), parsed.text(row), parsed.text(block)))
-            yield pd.DataFrame(out, columns=names)
-
-    schema = "num string, page long, link_no int, href string, text string, row_text string, block_text string"
-    return pages.select("num", F.col("page").cast("long").alias("page"), "html").mapInPandas(parse, schema)
+
+def page_rows(pages: DataFrame) -> DataFrame:
+    return rows_of(page_items(pages))
+
+
+def page_links(pages: DataFrame) -> DataFrame:
+    return links_of(page_items(pages))

@@ -168,22 +168,34 @@ def eligible(accounts: DataFrame) -> DataFrame:
     return accounts.where(~F.coalesce(F.col("migration"), F.lit(False)) & (F.trim("raw_csv") != ""))
 
 
-def last_csv_value(raw: Column, code: str) -> Column:
-    """Value on the last line of ``code`` after the first line; NULL when absent or empty.
+def csv_pairs(raw: Column, codes: list[str]) -> Column:
+    """Lines of the given codes after the first line, as ``code,value`` cells in line order.
 
-    One compiled pattern per code over the text: no array is built and codegen is kept.
+    One pattern goes over the text once, from line start to line start; lines of other codes are passed over by the matcher.
     """
-    pattern = rf'(?s)^[^\n]*\n(?:.*\n)?[ \t]*"?\Q{code}\E"?[ \t]*,[ \t]*{CSV_CELL}'
-    return none_if_empty(F.trim(csv_cell(F.regexp_extract(raw, pattern, 1))))
+    some = "|".join(rf"\Q{c}\E" for c in codes)
+    return F.regexp_extract_all(raw, F.lit(rf'(?<=\n)[ \t]*(?:"(?:{some})"|(?:{some}))[ \t]*,[ \t]*{CSV_CELL}'), F.lit(0))
+
+
+def last_values(accounts: DataFrame, keys: list[str], codes: list[str]) -> DataFrame:
+    """Text of the last line of each code as a column of that name; NULL when the code is absent or its value empty.
+
+    The text is matched once. The lines found are few: their codes and values become two arrays in reverse line order, and
+    the first place of a code in the one names its value in the other.
+    """
+    # the one-element explodes keep each step from being evaluated for each of its uses
+    found = accounts.select(*keys, F.explode(F.array(F.reverse(csv_pairs(F.col("raw_csv"), codes)))).alias("found"))
+    cells = found.select(*keys, F.explode(F.array(F.struct(
+        F.transform("found", lambda x: F.btrim(F.substring_index(x, ",", 1), F.lit('" \t'))).alias("codes"),
+        F.transform("found", lambda x: none_if_empty(F.trim(csv_cell(F.ltrim(F.substr(x, F.locate(",", x) + 1), F.lit(" \t")))))).alias("vals"),
+    ))).alias("c"))
+    return cells.select(*keys, *[F.get("c.vals", (F.array_position("c.codes", c) - 1).cast("int")).alias(c) for c in codes])
 
 
 def code_table(accounts: DataFrame, keys: list[str]) -> DataFrame:
     """Last amount per code of each filing, no shuffle; a filing with an unreadable used code is left out."""
     used = KPI_CODES + ["670/3"]
-    raw = F.col("raw_csv")
-    wanted = F.struct(*[last_csv_value(raw, c).alias(c) for c in [*used, ENTITY_NAME, PERIOD_END]])
-    # the one-element explode keeps the filter below from matching every pattern a second time
-    values = accounts.select(*keys, F.explode(F.array(wanted)).alias("v")).select(*keys, "v.*")
+    values = last_values(accounts, keys, [*used, ENTITY_NAME, PERIOD_END])
     broken = F.lit(False)
     for c in KPI_CODES:
         broken = broken | (_amount(c).isNotNull() & parse_float(_amount(c)).isNull())

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import line_code, line_value
-from ledgerline.operators import extract, html, lookups, merge
+from ledgerline.operators import extract, html, links, lookups, merge
 from ledgerline.registry.book import query
 from ledgerline.registry.inputs import DAY, _dotted, _num
-from ledgerline.session import new_folder, stored
+from ledgerline.session import new_folder
 from ledgerline.sources import archive, payloads, register
 
 DUMPS = {
@@ -182,14 +182,23 @@ CARD_LABELS = f"""SELECT {_num(C)} AS num, u.label, u.val FROM (SELECT *, [
 {{label: 'Depuis le 3 mai', val: 'x'}}, {{label: CASE WHEN c_custkey % 3 = 0 THEN '' ELSE {REL} END, val: 'est absorbé'}}] AS us FROM customer), unnest(us) AS t(u) WHERE u.label <> ''"""
 
 
+def card_items(d):
+    """Rows and links of all cards: parsed once in a session, then read from the landed table."""
+    return d.derived("card_items", lambda: html.page_items(d.fx_card_page))
+
+
+def card_rows(d):
+    return html.rows_of(card_items(d))
+
+
 @query("htm01_label_values", CARD_LABELS)
 def htm01(d):
-    return extract.label_values(html.page_rows(d.fx_card_page))
+    return extract.label_values(card_rows(d))
 
 
 @query("win12_longest_value", f"SELECT num, count(*) AS labels, max(val) FILTER (label = 'Adresse') AS adresse, max(val) FILTER (label = 'Capital') AS capital FROM ({CARD_LABELS}) GROUP BY num")
 def win12(d):
-    kv = extract.label_values(html.page_rows(d.fx_card_page))
+    kv = extract.label_values(card_rows(d))
     return kv.groupBy("num").agg(
         F.count("*").alias("labels"), F.max(F.when(F.col("label") == "Adresse", F.col("val"))).alias("adresse"),
         F.max(F.when(F.col("label") == "Capital", F.col("val"))).alias("capital"))
@@ -200,20 +209,23 @@ def card_pages(d):
     return d.fx_card_page.unionByName(d.fx_web_page.select("num", "page", "html"))
 
 
+def all_items(d):
+    return card_items(d).unionByName(d.derived("web_items", lambda: html.page_items(d.fx_web_page)))
+
+
 @query("htm02_card_fields", f"""SELECT {_num(C)} AS num, {_dotted(C)} AS numero, CASE WHEN c_custkey % 10 = 0 THEN 'Arrêté' ELSE 'Actif' END AS statut,
 CASE WHEN c_custkey % 5 = 0 THEN c_name || ' SA' ELSE c_name END AS denomination, 'Rue ' || CAST(c_nationkey AS STRING) || ', bte ' || CAST(c_custkey % 90 AS STRING) AS adresse_siege,
 CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING) || ' EUR' AS capital, CAST(c_custkey % 12 AS INT) AS nb_etablissements, NULL::VARCHAR AS email FROM customer
 UNION ALL SELECT 'w' || CAST(page_id AS STRING), NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM pages""")
 def htm02(d):
-    pages = card_pages(d)
-    f = extract.grouped(extract.card_fields(extract.label_values(html.page_rows(pages)), pages))
+    f = extract.grouped(extract.card_fields(extract.label_values(html.rows_of(all_items(d))), card_pages(d)))
     return f.select(
         "num", "generalites.numero", "generalites.statut", "generalites.denomination", "generalites.adresse_siege", "donnees_financieres.capital",
         "nb_etablissements", "contact.email")
 
 
 def sections(d):
-    return extract.with_section(html.page_rows(d.fx_card_page))
+    return extract.with_section(card_rows(d))
 
 
 FUN = "CASE WHEN c_custkey % 2 = 0 THEN 'Fonctions' ELSE 'Functies' END"
@@ -238,19 +250,19 @@ def htm05(d):
 
 @query("htm06_activity_links", f"""SELECT {_num(C)} AS num, '2008' AS nace_version, CAST(70000 + c_custkey % 900 AS STRING) AS nace_code, CAST(70000 + c_custkey % 900 AS STRING) || ' Activité ' || c_mktsegment AS ligne FROM customer""")
 def htm06(d):
-    return extract.activity_links(html.page_links(d.fx_card_page)).drop("link_no")
+    return extract.activity_links(html.links_of(card_items(d))).drop("link_no")
 
 
 @query("htm07_outbound_links", f"""SELECT {_num(C)} AS num, 'ejustice' AS kind, 'http://a.example/ejustice/' || CAST(c_custkey AS STRING) AS href FROM customer
 UNION ALL SELECT {_num(C)}, 'nbb', 'http://consult.cbso.nbb.be/' || CAST(c_custkey AS STRING) FROM customer
 UNION ALL SELECT {_num(C)}, 'notaire', 'http://statuts.notaire.be/' || CAST(c_custkey AS STRING) FROM customer WHERE c_custkey % 6 = 0""")
 def htm07(d):
-    return extract.outbound_links(html.page_links(d.fx_card_page))
+    return extract.outbound_links(links.link_targets(d.fx_card_page))
 
 
 @query("htm10_establishment_link", f"SELECT {_num(C)} AS num, 'toonvestigingps.html?ondernemingsnummer=' || CAST(c_custkey AS STRING) AS ue_url FROM customer")
 def htm10(d):
-    return extract.establishment_link(html.page_links(d.fx_card_page))
+    return extract.establishment_link(links.link_targets(d.fx_card_page))
 
 
 PUBS = f"""SELECT {_num('o_custkey')} AS num, 'P' || CAST(o_orderkey AS STRING) AS numac, {DAY} AS date, 'Acte ' || o_orderpriority || ' no ' || CAST(o_orderkey AS STRING) || ' image' AS titre,
@@ -259,14 +271,18 @@ UNION ALL SELECT {_num('o_custkey')}, 'N' || CAST(o_orderkey % 5 AS STRING), '20
 'https://pub.example/tsv_pdf/2020/01/02/N' || CAST(o_orderkey % 5 AS STRING) || '.pdf', min(o_orderkey), 2 FROM orders GROUP BY o_custkey, o_orderkey % 5"""
 
 
+def publication_items(d):
+    return html.links_of(d.derived("publication_items", lambda: html.page_items(d.fx_pub_page)))
+
+
 @query("htm08_publications", f"SELECT num, numac, date, titre, pdf_url FROM ({PUBS})")
 def htm08(d):
-    return extract.publications(html.page_links(d.fx_pub_page)).drop("place")
+    return extract.publications(publication_items(d)).drop("place")
 
 
 @query("win10_dedup_publications", f"SELECT num, numac, titre, page, CAST(link_no AS INT) AS link_no FROM ({PUBS})")
 def win10(d):
-    p = extract.publications(html.page_links(d.fx_pub_page))
+    p = extract.publications(publication_items(d))
     return p.select("num", "numac", "titre", "place.page", "place.link_no")
 
 
@@ -281,7 +297,7 @@ def htm09(d):
 @query("htm11_keyword_rows", f"""SELECT {_num(C)} AS num, 10 AS row_no, 'Administrateur ' || {_dotted('c_nationkey * 3')} || ' Depuis le 1 mai 2020' AS row_text FROM customer
 UNION ALL SELECT {_num(C)}, 11, 'Gérant Dupont , ' || c_mktsegment FROM customer UNION ALL SELECT {_num(C)}, 12, 'Depuis le 3 mai x' FROM customer""")
 def htm11(d):
-    return extract.rows_with(html.page_rows(d.fx_card_page), ["Gérant", "Depuis le", "Sinds"]).select("num", "row_no", "row_text")
+    return extract.rows_with(card_rows(d), ["Gérant", "Depuis le", "Sinds"]).select("num", "row_no", "row_text")
 
 
 LINKS_RE = """'(?i)<a\\s[^>]*?href="([^"]*)"'"""
@@ -312,9 +328,8 @@ CAST(c_custkey % 12 AS INT) AS nb_etablissements, {_dotted(C)} AS numero, 'toonv
 'http://a.example/ejustice/' || CAST(c_custkey AS STRING) AS ejustice, CASE WHEN c_custkey % 6 = 0 THEN 'http://statuts.notaire.be/' || CAST(c_custkey AS STRING) END AS notaire FROM customer
 UNION ALL SELECT 'w' || CAST(page_id AS STRING), '/kbopub/w' || CAST(page_id AS STRING) || '.html', 0, 0, 0, NULL, NULL, NULL, NULL, NULL FROM pages""")
 def htm14(d):
-    pages = card_pages(d)
-    rows, links = stored(html.page_rows(pages), "page_rows"), stored(html.page_links(pages), "page_links")  # each page parsed once
-    record = extract.card_records(pages, rows, links).counts()
+    items = all_items(d)
+    record = extract.card_records(card_pages(d), html.rows_of(items), html.links_of(items)).counts()
     merged = merge.replace_rows(record.where("num like '%5'"), record, ["num"])
     return merged.select(
         "num", "archive", "fonctions", F.col("liens_entites").alias("liens"), "activites", "nb_etablissements", "generalites.numero", "ue_url",
@@ -324,7 +339,7 @@ def htm14(d):
 @query("htm14b_publication_record", f"""WITH p AS ({PUBS}), n AS (SELECT num, count(*) AS n FROM p GROUP BY num), k AS (SELECT {_num('o_custkey')} AS num, count(*) AS pages FROM orders GROUP BY 1)
 SELECT p.num, k.pages, n.n AS nb_publications, p.numac, p.date FROM p JOIN n ON n.num = p.num JOIN k ON k.num = p.num""")
 def htm14b(d):
-    record = extract.publication_records(d.fx_pub_page, extract.publications(html.page_links(d.fx_pub_page)))
+    record = extract.publication_records(d.fx_pub_page, extract.publications(publication_items(d)))
     return record.rows("publications", "pages", "nb_publications").select("num", "pages", "nb_publications", "numac", "date")
 
 

@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.keys import in_shard
-from ledgerline.operators import extract, html, merge, nest, picks, rollups
+from ledgerline.operators import extract, merge, nest, picks, rollups
 from ledgerline.operators.outcomes import run_items
 from ledgerline.operators.scale import fits
 from ledgerline.plans import entities, reports, serving
 from ledgerline.plans import finance as fin
 from ledgerline.registry.book import query
 from ledgerline.registry.inputs import _dotted, _num
+from ledgerline.registry.q_archive import card_rows
 from ledgerline.registry.q_finance import hotel_targets
 from ledgerline.registry.q_register import (
     CHILD_COUNTS, CHILDREN, COUNT_COLS, DECODED, DEDUP_SQL, ISO_SQL, LABEL_CTE, NAMES_SQL, SECTOR_SQL, inlist, rich,
@@ -362,7 +363,7 @@ a AS (SELECT num, count(*) AS n FROM fx_activity GROUP BY num)
 SELECT p.num, p.denomination, p.adresse, p.nb_exercices, coalesce(a.n, 0) AS activites, CASE WHEN c.c_custkey IS NULL THEN 0 ELSE 2 END AS dirigeants,
 CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING) || ' EUR' AS capital FROM p LEFT JOIN a ON a.num = p.num LEFT JOIN customer c ON {_num('c.c_custkey')} = p.num""")
 def ent07(d):
-    rows = stored(html.page_rows(d.fx_card_page), "page_rows")  # parsed once for fields and officers
+    rows = card_rows(d)
     fields = extract.card_fields(extract.label_values(rows), d.fx_card_page).select("num", "capital")
     officers = entities.officer_list(extract.officers(extract.with_section(rows)), d.fx_denomination)
     out = profile(d).select("num", "denomination", "adresse", "nb_exercices").join(fields, "num", "left")
@@ -373,7 +374,7 @@ def ent07(d):
 
 def profile_record(d):
     """The profile of every enterprise with its activities, officers and years as long tables."""
-    officers = extract.officers(extract.with_section(html.page_rows(d.fx_card_page)))
+    officers = extract.officers(extract.with_section(card_rows(d)))
     return entities.profile_record(
         d.fx_enterprise, d.fx_activity, d.fx_code, officers, d.fx_denomination, fin.yearly_metrics(d.fx_filing_line, hotel_targets(d)))
 

@@ -54,3 +54,27 @@ def test_a_page_without_labels_is_still_a_record(spark):
 def test_unclosed_tags_do_not_multiply(spark):
     page = html.Page("<div><b>" * 3000 + "x</i>" * 3000 + "</b></div>")
     assert page.depth["div"] == 0 and len(page.elements) == 6000
+
+
+MARKUP = """<p><A HREF="/a?x=1&amp;y=2">one</a> <a class='k' href='/b "q"'>two</a><a name="n">none</a><a href=/c>three</a>
+<!-- <a href="/no">x</a> --><script>var s = '<a href="/no">';</script><abbr href="/no">x</abbr><a title="a > b" href="/d&#233;&#x20AC;&unknown;">four</a><a
+ data-href="/no" href="">empty</a></p>"""
+
+
+def test_link_targets_without_python_are_those_of_the_parser(spark):
+    from ledgerline.operators import links
+
+    df = spark.createDataFrame([("1", 1, MARKUP), ("2", 1, None), ("3", 1, ""), ("4", 2, "<p>no links</p>")], "num string, page long, html string")
+    want = sorted((r["num"], r["page"], r["link_no"], r["href"]) for r in html.page_links(df).collect())
+    got = links.link_targets(df)
+    assert sorted(map(tuple, got.collect())) == want and len(want) == 5
+    assert "Python" not in got._jdf.queryExecution().executedPlan().toString() and "MapInArrow" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_and_links_come_from_one_parse(spark):
+    items = html.page_items(pages(spark))
+    both = html.rows_of(items).select("num", "page").unionByName(html.links_of(items).select("num", "page"))
+    assert items._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert both.count() == html.page_rows(pages(spark)).count() + html.page_links(pages(spark)).count()
+    empty = spark.createDataFrame([("1", 1, None), ("2", 1, "")], "num string, page long, html string")
+    assert html.page_items(empty).collect() == []
