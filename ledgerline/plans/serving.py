@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.text import tokens
 from ledgerline.operators.filters import any_token, is_number_search, number_prefix
 from ledgerline.operators.lookups import flag_present
 from ledgerline.operators.paging import page, with_total
 from ledgerline.operators.picks import display_names
+from ledgerline.operators.search import keys_with_any
 from ledgerline.plans.finance import schema_type, yearly_metrics
 
 
@@ -18,22 +18,10 @@ def held(shown: DataFrame) -> DataFrame:
     return shown.sparkSession.createDataFrame(shown.collect(), shown.schema)
 
 
-def name_tokens(denominations: DataFrame) -> DataFrame:
-    """Search table ``(token, num)`` of the words of all names, to be stored once.
-
-    It is laid out by token, so a search reads only the row groups of its words; the number as second key splits frequent words.
-    """
-    found = denominations.where("num IS NOT NULL").select(F.explode(tokens(F.col("valeur"))).alias("token"), "num").distinct()
-    return found.repartitionByRange("token", "num").sortWithinPartitions("token", "num")
-
-
-def numbers_of_tokens(names: DataFrame, text: str) -> DataFrame:
-    """Enterprises with one of the words, from the search table."""
-    return names.where(F.array_contains(tokens(F.lit(text)), F.col("token"))).select("num").distinct()
-
-
-def matching_numbers(denominations: DataFrame, text: str) -> DataFrame:
-    """Enterprises with a name that has one of the words."""
+def matching_numbers(denominations: DataFrame, text: str, names: DataFrame | None = None) -> DataFrame:
+    """Enterprises with a name that has one of the words: from a landed token table ``names``, else through all names."""
+    if names is not None:
+        return keys_with_any(names, "num", text)
     return denominations.where(any_token(F.col("valeur"), text)).select("num").distinct()
 
 
@@ -43,14 +31,14 @@ def enterprise_page(
 ) -> DataFrame:
     """Directory page of all enterprises by number prefix or name; ``skip`` only without a search text.
 
-    With a stored search table ``names`` a search reads that, else it goes through all names.
+    With a landed token table ``names`` a search reads that, else it goes through all names.
     """
     if not text:
         hits = page(enterprises, skip=skip, limit=limit)
     elif is_number_search(text):
         hits = page(enterprises.where(number_prefix(F.col("num"), text)), limit=limit)
     else:
-        found = numbers_of_tokens(names, text) if names is not None else matching_numbers(denominations, text)
+        found = matching_numbers(denominations, text, names)
         hits = page(enterprises.join(found, "num", "left_semi"), limit=limit)
     shown = held(hits.select("num", "juridical_form", "status"))
     keys = F.broadcast(shown.select("num"))
@@ -60,24 +48,31 @@ def enterprise_page(
 
 def target_page(
     targets: DataFrame, lines: DataFrame, denominations: DataFrame, text: str = "", skip: int = 0, limit: int = 50,
+    names: DataFrame | None = None, gold_names: DataFrame | None = None,
 ) -> DataFrame:
-    """Sector page with the latest year's figures; the page is cut first, and only its keys' filing ``lines`` are evaluated."""
+    """Sector page with the latest year's figures; the page is cut first, and only its keys' filing ``lines`` are evaluated.
+
+    The name is that of the register, else of the target list, else of gold (``gold_names``: ``num, gold_name``).
+    """
     if not text:
         hits = targets
     elif is_number_search(text):
         hits = targets.where(number_prefix(F.col("num"), text))
     else:
-        keys = matching_numbers(denominations, text)
+        keys = matching_numbers(denominations, text, names)
         hits = targets.join(keys, "num", "left_semi")
     shown = held(with_total(page(hits, skip=skip, limit=limit).select("num", "denomination", "status", "nace_codes"), hits))
     keys = F.broadcast(shown.select("num"))  # at most one page of rows
     latest = F.max_by(F.struct(F.col("year").alias("dernier_exercice"), "ca", "resultat_net"), "year").alias("latest")
     own = yearly_metrics(lines.join(keys, "num", "left_semi")).groupBy("num").agg(
         latest, F.count("*").alias("nb_exercices"), schema_type(F.col("ca"), F.col("fonds_propres")).alias("schema_type"))
-    names = display_names(denominations.join(keys, "num", "left_semi")).withColumnRenamed("denomination", "silver_name")
-    out = shown.join(own, "num", "left").join(names, "num", "left")
+    shown_names = display_names(denominations.join(keys, "num", "left_semi")).withColumnRenamed("denomination", "silver_name")
+    out = shown.join(own, "num", "left").join(shown_names, "num", "left")
+    if gold_names is not None:
+        out = out.join(gold_names.join(keys, "num", "left_semi").select("num", "gold_name"), "num", "left")
+    last = ["gold_name"] if gold_names is not None else []
     return out.select(
-        "num", F.coalesce("silver_name", "denomination").alias("denomination"), "status",
+        "num", F.coalesce("silver_name", "denomination", *last).alias("denomination"), "status",
         F.coalesce("nb_exercices", F.lit(0)).alias("nb_exercices"), "latest.*", "nace_codes", "schema_type",
         F.col("nb_exercices").isNotNull().alias("has_gold"), "total",
     )

@@ -23,9 +23,9 @@ class Data:
             return landed(self.spark, self.sf, name).read(self.spark)
         return table(self.spark, self.sf, name)
 
-    def derived(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        """A table derived from the views and landed once, for results that many queries read."""
-        return landed(self.spark, self.sf, name, make).read(self.spark)
+    def derived(self, name: str, make: Callable[[], DataFrame], key: str = "num") -> DataFrame:
+        """A table derived from the views and landed once by its key, for results that many queries read."""
+        return landed(self.spark, self.sf, name, make, key).read(self.spark)
 
 
 def query(name: str, sql: str | None = None):

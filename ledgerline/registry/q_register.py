@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.constants import FORMS_WITHOUT_DEEDS, PUBLIC_FORMS, SEAT_TYPES, SECTOR_CODES, SECTOR_LABELS
 from ledgerline.functions import dates, keys, text
-from ledgerline.operators import filters, lookups, nest, paging, picks, rollups
+from ledgerline.operators import filters, lookups, nest, paging, picks, rollups, search
 from ledgerline.plans import entities
 from ledgerline.plans import finance as fin
 from ledgerline.registry.book import query
@@ -248,12 +248,15 @@ def flt09(d):
 
 @query("flt10_name_contains", "SELECT DISTINCT num FROM fx_denomination WHERE contains(lower(valeur), lower('MER#00000000'))")
 def flt10(d):
-    return d.fx_denomination.where(filters.name_contains(F.col("valeur"), "MER#00000000")).select("num").distinct()
+    table = d.derived("name_grams", lambda: search.gram_table(d.fx_denomination, "num", "valeur"), "word")
+    counts = d.derived("name_gram_counts", lambda: search.gram_counts(table), "word")
+    return search.containing(table, counts, d.fx_denomination, "num", "valeur", "MER#00000000")
 
 
 @query("flt11_any_token", "SELECT doc_id FROM documents WHERE list_has_any(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}_]+'), ['that', 'queque'])")
 def flt11(d):
-    return d.documents.where(filters.any_token(F.col("text"), "That queque")).select("doc_id")
+    table = d.derived("document_tokens", lambda: search.token_table(d.documents, "doc_id", "text"), "word")
+    return search.keys_with_any(table, "doc_id", "That queque")
 
 
 @query("flt12_fiscal_year", """SELECT id, 'min' AS mode FROM fx_deposit WHERE period_year >= 1999 UNION ALL SELECT id, 'set' FROM fx_deposit

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.keys import in_shard
-from ledgerline.operators import extract, merge, nest, picks, rollups
+from ledgerline.operators import extract, merge, nest, picks, rollups, search
 from ledgerline.operators.outcomes import run_items
 from ledgerline.operators.scale import fits
 from ledgerline.plans import entities, reports, serving
@@ -167,13 +167,24 @@ def flt21(d):
     return one.select("num", "status", *[F.size(c).alias(c) for c in CHILDREN])
 
 
-@query("prj09_key_inventory", """SELECT DISTINCT 'codes.' || trim(replace(split_part(line, ',', 1), '"', '')) AS key FROM (
-SELECT unnest(string_split(raw_csv, chr(10))[2:]) AS line FROM fx_account WHERE NOT coalesce(migration, false) AND trim(raw_csv) <> '') WHERE trim(line) <> ''
-UNION ALL SELECT unnest(['activites', 'activites.classification', 'activites.nace_code', 'num', 'status'])""")
+IN_REGISTER = "num IN (SELECT num FROM fx_enterprise)"
+
+
+@query("prj09_key_inventory", f"""SELECT * FROM (SELECT 'codes.' || trim(replace(split_part(line, ',', 1), '"', '')) AS key, count(*) AS n FROM (
+SELECT unnest(string_split(raw_csv, chr(10))[2:]) AS line FROM fx_account WHERE NOT coalesce(migration, false) AND trim(raw_csv) <> '') WHERE trim(line) <> '' GROUP BY 1
+UNION ALL SELECT 'num', count(num) FROM fx_enterprise UNION ALL SELECT 'status', count(status) FROM fx_enterprise UNION ALL SELECT 'juridical_form', count(juridical_form) FROM fx_enterprise
+UNION ALL SELECT 'fin_activite', count(CASE WHEN status = 'XX' THEN start_date END) FROM fx_enterprise
+UNION ALL SELECT 'kbopub', count(*) FROM fx_branch WHERE {IN_REGISTER} UNION ALL SELECT 'kbopub.' || k, n FROM (
+  SELECT unnest(['branch_id', 'branch_name']) AS k, unnest([count(branch_id), count(branch_name)]) AS n FROM fx_branch WHERE {IN_REGISTER})
+UNION ALL SELECT unnest(['activites', 'activites.nace_code', 'activites.classification', 'activites.nace_version']), unnest([count(*), count(nace_code), count(classification), count(nace_version)])
+  FROM fx_activity WHERE {IN_REGISTER}
+UNION ALL SELECT unnest(['denominations', 'denominations.valeur']), unnest([count(*), count(valeur)]) FROM fx_denomination WHERE {IN_REGISTER}) WHERE n > 0""")
 def prj09(d):
-    nested = nest.record(d.fx_enterprise.select("num", "status"), {"activites": (d.fx_activity, ["nace_code", "classification"])}).nested([])
+    card = d.fx_branch.select("num", F.struct("branch_id", "branch_name").alias("kbopub"))
+    base = d.fx_enterprise.select("num", "status", "juridical_form", F.when(F.col("status") == "XX", F.col("start_date")).alias("fin_activite")).join(card, "num", "left")
+    records = nest.record(base, {"activites": (d.fx_activity, ["nace_code", "classification", "nace_version"]), "denominations": (d.fx_denomination, ["valeur"])})
     codes = fin.csv_codes(fin.eligible(d.fx_account), ["deposit_id"])
-    return reports.key_inventory(d.spark, nested).unionByName(reports.map_keys_seen(codes, "codes"))
+    return reports.keys_in_use(records).unionByName(reports.map_keys_seen(codes, "codes"))
 
 
 SILVER_SQL = f"""SELECT replace(e.enterprise_number, '.', '') AS num, e.status, {ISO_SQL} AS date_creation,
@@ -305,9 +316,13 @@ def ent05c(d):
     return directory(d, text="Customer 1")
 
 
+def name_tokens(d):
+    return d.derived("name_tokens", lambda: search.token_table(d.fx_denomination, "num", "valeur"), "word")
+
+
 @query("ent05d_directory_name_table", ent05_sql(f"num IN (SELECT num FROM fx_denomination WHERE {TOKENS})", "LIMIT 50"))
 def ent05d(d):
-    return directory(d, text="Customer 1", names=stored(serving.name_tokens(d.fx_denomination), "name_tokens"))
+    return directory(d, text="Customer 1", names=name_tokens(d))
 
 
 def ent06_sql(where):
@@ -321,7 +336,7 @@ FROM (SELECT * FROM hits ORDER BY num LIMIT 50 OFFSET 10) t LEFT JOIN last ON la
 
 def sector_page(d, text):
     targets = d.fx_target.withColumn("nace_codes", F.substring("denomination", 1, 4))
-    out = serving.target_page(targets, d.fx_filing_line, d.fx_denomination, text=text, skip=10)
+    out = serving.target_page(targets, d.fx_filing_line, d.fx_denomination, text=text, skip=10, names=name_tokens(d) if text else None)
     return out.withColumns({"ca": F.round("ca", 2), "resultat_net": F.round("resultat_net", 2)})
 
 
