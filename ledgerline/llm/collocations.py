@@ -22,10 +22,12 @@ from ledgerline.llm.common import join_unique, narrow, whole
 from ledgerline.session import stored
 
 PIECE_ENDS = ".,;:!?\n\v\f\r"
-BLOCK_BYTES = 6_000_000
+BLOCK_BYTES = 4_500_000
 #: Fingerprints that one task adds up, on average.
 BUCKET_PRINTS = 2_000_000
 MAX_WORDS = 3
+#: Width of the bands in which scores (up to a million) are counted before ranking.
+SCORE_BAND = 500
 _BASE = 0xD1342543DE82EF95  # odd, so it has an inverse modulo 2^64
 _WORD_BASE = 0xAF251AF3B0F025B5
 
@@ -266,7 +268,13 @@ def collocations(docs: DataFrame, least: int = 10, top: int = 2000, text_col: st
     left = best.join(covered.withColumn("n_words", F.lit(2)), ["lang", "phrase", "n_words"], "left").where(F.coalesce(100 * F.col("longer") < 50 * F.col("a"), F.lit(True)))
     rows = left.select("lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("cut.score").alias("score"))
     order = [F.desc("score"), F.desc("a"), "phrase"]
-    # The best of each part of a language first, so that no task sorts a whole language.
+    rows = stored(rows.withColumn("band", F.floor(F.col("score") / SCORE_BAND)), "scored_phrases")
+    # Bands of scores, from the top, until they hold enough: most phrases of a language go before anything is sorted.
+    bands = rows.groupBy("lang", "band").agg(F.count("*").alias("size"))
+    above = F.sum("size").over(Window.partitionBy("lang").orderBy(F.desc("band"))) - F.col("size")
+    lowest = bands.withColumn("above", above).where(F.col("above") < top).groupBy("lang").agg(F.min("band").alias("lowest"))
+    rows = join_unique(rows, lowest, ["lang"]).where(F.col("band") >= F.col("lowest"))
+    # Then the best of each part of what is left, as a band may hold any number of ties.
     parts = rows.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(256)))
     parts = parts.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)
     ranked = parts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
