@@ -98,14 +98,3 @@ def copy_missing(tables: dict[str, DataFrame], root: str) -> list[str]:
         else:
             copied.append(name)
     return copied
-
-
-def write_version(df: DataFrame, root: str, version: str | int) -> str:
-    """Write one version of a state table; a repeated run overwrites only its own version."""
-    path = f"{root}/version={version}"
-    df.write.mode("overwrite").parquet(path)
-    return path
-
-
-def read_version(spark: SparkSession, root: str, version: str | int) -> DataFrame:
-    return spark.read.parquet(f"{root}/version={version}")

@@ -88,10 +88,14 @@ def with_metrics(filings: DataFrame) -> DataFrame:
     return out.select(*keep, *METRICS, "fonds_propres_negatifs", *RATIOS)
 
 
+def filing_year(filings: DataFrame) -> DataFrame:
+    """The fiscal year of each filing, from its period end, else from its reference."""
+    return filings.withColumn("year", fiscal_year_of(_amount(PERIOD_END), F.col("reference")))
+
+
 def one_filing_per_year(filings: DataFrame) -> DataFrame:
     """The highest reference of each fiscal year."""
-    dated = filings.withColumn("year", fiscal_year_of(_amount(PERIOD_END), F.col("reference")))
-    return last_per_key(dated, ["num", "year"], "reference")
+    return last_per_key(filings if "year" in filings.columns else filing_year(filings), ["num", "year"], "reference")
 
 
 def with_growth(yearly: DataFrame) -> DataFrame:
