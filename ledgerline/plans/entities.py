@@ -169,16 +169,26 @@ def profiles(
 
 def profile_record(
     enterprises: DataFrame, activities: DataFrame, codes: DataFrame, officers: DataFrame, denominations: DataFrame, yearly: DataFrame,
+    cards: Record | None = None,
 ) -> Record:
-    """Profiles with their long tables: decoded activities, resolved officers in page order, fiscal years in ascending order."""
+    """Profiles with their long tables: decoded activities, resolved officers in page order, fiscal years in ascending order.
+
+    With web cards also the card's groups (contact, financial data, outbound links and the rest) and the linked entities.
+    """
     by_year = Window.partitionBy("num").orderBy("year")  # one row per enterprise and year
     named = resolve_officers(officers, denominations).withColumn("pos", F.col("row_no"))
+    base = enterprises.select("num", "juridical_form", "status", "type_of_enterprise")
+    linked = {}
+    if cards is not None:
+        base = base.join(cards.base, "num", "left")
+        linked["liens_entites"] = (cards.children["liens_entites"], ["bce", "nom", "texte"])
     return record(
-        enterprises.select("num", "juridical_form", "status", "type_of_enterprise"),
+        base,
         {
             "activites": (decode_activities(activities, codes), ACTIVITY + LABELS),
             "dirigeants": (named, ["fonction", "nom", "depuis", "ref_bce", "is_company"]),
             "annees": (yearly.withColumn("pos", F.row_number().over(by_year)), ["year", "ca", "resultat_net", "fonds_propres"]),
+            **linked,
         },
         raw={"activites": [activities], "annees": [yearly]},
     )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import line_code, line_value
 from ledgerline.operators import extract, html, links, lookups, merge
+from ledgerline.plans import finance as fin
 from ledgerline.registry.book import query
 from ledgerline.registry.inputs import DAY, _dotted, _num
 from ledgerline.session import new_folder
@@ -78,14 +79,29 @@ def src05(d):
     return register.read_raw_csv(d.spark, path).select("num", "branch_id", "branch_name")
 
 
-@query("src06_text_lines", """SELECT code, val, count(*) AS n FROM (SELECT trim(replace(split_part(line, ',', 1), '"', '')) AS code, trim(replace(split_part(line, ',', 2), '"', '')) AS val
-FROM (SELECT unnest(string_split(raw_csv, chr(10))) AS line FROM fx_account WHERE trim(raw_csv) <> '') WHERE line LIKE '%,%') GROUP BY code, val""")
+@query("src06_text_lines", """SELECT year, code, val, count(*) AS n FROM (SELECT year, trim(replace(split_part(line, ',', 1), '"', '')) AS code, trim(replace(split_part(line, ',', 2), '"', '')) AS val
+FROM (SELECT period_year AS year, unnest(string_split(raw_csv, chr(10))) AS line FROM fx_account WHERE trim(raw_csv) <> '') WHERE line LIKE '%,%') GROUP BY year, code, val""")
 def src06(d):
+    """Lines of all files under a folder per year; the year is that of each line's path."""
     path = new_folder(d.spark, "lines")
-    d.fx_account.where(F.trim("raw_csv") != "").select("raw_csv").write.text(path)
+    d.fx_account.where(F.trim("raw_csv") != "").select("raw_csv", "period_year").write.partitionBy("period_year").text(path)
     lines = archive.text_lines(d.spark, path)
-    parsed = lines.select(line_code(F.col("value")).alias("code"), line_value(F.col("value")).alias("val"))
-    return parsed.where(F.col("code") != "").groupBy("code", "val").agg(F.count("*").alias("n"))
+    year = F.regexp_extract("path", "/period_year=([0-9]+)/[^/]*$", 1).cast("int")
+    parsed = lines.select(year.alias("year"), line_code(F.col("value")).alias("code"), line_value(F.col("value")).alias("val"))
+    return parsed.where(F.col("code") != "").groupBy("year", "code", "val").agg(F.count("*").alias("n"))
+
+
+@query("src06b_filing_files", """WITH a AS (SELECT num, reference, raw_csv FROM fx_account WHERE coalesce(num, '') <> '' AND coalesce(reference, '') <> '' AND coalesce(raw_csv, '') <> ''
+AND num IN (SELECT num FROM fx_target WHERE status IS NULL)), l AS (SELECT num, reference, i, string_split(raw_csv, chr(10))[i] AS line FROM a, unnest(range(1, len(string_split(raw_csv, chr(10))) + 1)) AS t(i)),
+c AS (SELECT num, reference, i, trim(replace(split_part(line, ',', 1), '"', '')) AS code, trim(replace(split_part(line, ',', 2), '"', '')) AS val FROM l WHERE line LIKE '%,%')
+SELECT num, reference, code, arg_max(val, i) AS val FROM c GROUP BY num, reference, code""")
+def src06b(d):
+    """Filings of some targets written one file each, read back by path, last value of each code in line order."""
+    folder = new_folder(d.spark, "filings")
+    archive.export_accounts(d.fx_account, folder, d.fx_target.where("status IS NULL"))
+    lines = archive.text_lines(d.spark, folder)
+    path = F.regexp_replace("path", "enterprise=([^/]+)/reference=([^/]+)/[^/]*$", "$1/hbb/$2.csv")
+    return fin.last_code_values(archive.filing_lines(lines.withColumn("path", path)))
 
 
 @query("src07_by_keys", "SELECT deposit_id, num, reference FROM fx_account WHERE num IN (SELECT num FROM fx_target WHERE status = 'pending')")
@@ -159,6 +175,16 @@ def src15(d):
     return archive.export_counts(d.fx_account)
 
 
+@query("src15b_export_targets", """SELECT num, reference, md5(raw_csv || chr(10)) AS digest FROM fx_account WHERE coalesce(num, '') <> '' AND coalesce(reference, '') <> ''
+AND coalesce(raw_csv, '') <> '' AND num IN (SELECT num FROM fx_target WHERE status IS NULL)""")
+def src15b(d):
+    """The stored filings of some targets as one file each, with their texts as they were."""
+    folder = new_folder(d.spark, "export")
+    archive.export_accounts(d.fx_account, folder, d.fx_target.where("status IS NULL"))
+    back = d.spark.read.schema("value string, enterprise string, reference string").text(folder, wholetext=True)
+    return back.select(F.col("enterprise").alias("num"), "reference", F.md5("value").alias("digest"))
+
+
 @query("src16_overwrite", "SELECT status, count(*) AS n FROM fx_enterprise GROUP BY status")
 def src16(d):
     path = new_folder(d.spark, "table")

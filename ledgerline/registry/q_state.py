@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.keys import in_shard
-from ledgerline.operators import extract, merge, nest, picks, rollups, search
+from ledgerline.operators import extract, html, merge, nest, paging, picks, rollups, search
 from ledgerline.operators.outcomes import run_items
 from ledgerline.operators.scale import fits
 from ledgerline.plans import entities, reports, serving
 from ledgerline.plans import finance as fin
 from ledgerline.registry.book import query
 from ledgerline.registry.inputs import _dotted, _num
-from ledgerline.registry.q_archive import card_rows
+from ledgerline.registry.q_archive import PUBS, card_items, card_rows, publication_items
 from ledgerline.registry.q_finance import hotel_targets
 from ledgerline.registry.q_register import (
     CHILD_COUNTS, CHILDREN, COUNT_COLS, DECODED, DEDUP_SQL, ISO_SQL, LABEL_CTE, NAMES_SQL, SECTOR_SQL, inlist, rich,
@@ -214,6 +214,21 @@ def ent01(d):
         F.col("kbopub").isNotNull().alias("has_kbopub"), F.col("ejustice").isNotNull().alias("has_ejustice"))
 
 
+@query("ent01e_silver_web", f"""SELECT {_num('c_custkey')} AS num, {_dotted('c_custkey')} AS numero, CASE WHEN c_custkey % 5 = 0 THEN c_name || ' SA' ELSE c_name END AS denomination,
+CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING) || ' EUR' AS capital, CAST(c_custkey % 12 AS INT) AS nb_etablissements, 'http://a.example/ejustice/' || CAST(c_custkey AS STRING) AS ejustice,
+'/kbopub/' || {_num('c_custkey')} || '.html' AS archive, p.n AS nb_publications, k.pages FROM customer LEFT JOIN (SELECT num, count(*) AS n FROM ({PUBS}) GROUP BY num) p ON p.num = {_num('c_custkey')}
+LEFT JOIN (SELECT {_num('o_custkey')} AS num, count(*) AS pages FROM orders GROUP BY 1) k ON k.num = {_num('c_custkey')}""")
+def ent01e(d):
+    """Silver with the records made from the archived card and publication pages."""
+    items = card_items(d)
+    cards = extract.card_records(d.fx_card_page, html.rows_of(items), html.links_of(items)).base
+    publications = extract.publication_records(d.fx_pub_page, extract.publications(publication_items(d))).base
+    s = entities.silver(d.fx_enterprise, d.fx_activity, d.fx_address, d.fx_denomination, d.fx_document, [d.fx_account], cards=cards, publications=publications)
+    return s.base.select(
+        "num", "kbopub.generalites.numero", "kbopub.generalites.denomination", "kbopub.donnees_financieres.capital", "kbopub.nb_etablissements",
+        "kbopub.liens_externes.ejustice", "kbopub.archive", "ejustice.nb_publications", "ejustice.pages")
+
+
 @query("ent01b_silver_children", f"""WITH c AS (SELECT num, 'denominations' AS child, valeur AS item FROM fx_denomination UNION ALL
 SELECT num, 'adresses', street_nl FROM fx_address WHERE type_of_address IN ('Siège', 'REGO') UNION ALL SELECT num, 'activites', nace_code FROM {DEDUP_SQL} UNION ALL
 SELECT enterprise, 'documents', path FROM fx_document UNION ALL SELECT num, 'comptes_annuels', CAST(deposit_id AS STRING) FROM fx_account UNION ALL
@@ -251,6 +266,7 @@ def ent02(d):
     return r.select("num", "status", "nace_code", "classification", "group_fr", "classification_nl", "nace_fr", "nace_nl")
 
 
+SECTOR_CODES_CTE = f"""hit AS (SELECT num, string_agg(DISTINCT trim(nace_code), ',' ORDER BY trim(nace_code)) AS codes FROM fx_activity WHERE trim(classification) = 'MAIN' AND trim(nace_code) IN ({inlist(SECTOR_CODES)}) GROUP BY num)"""
 ENT03 = f"""WITH sel AS ({SECTOR_SQL}),
 hit AS (SELECT num, string_agg(DISTINCT trim(nace_code), ',' ORDER BY trim(nace_code)) AS codes FROM fx_activity WHERE trim(classification) = 'MAIN' AND trim(nace_code) IN ({inlist(SECTOR_CODES)}) GROUP BY num),
 nm AS (SELECT num, valeur FROM fx_denomination QUALIFY row_number() OVER (PARTITION BY num ORDER BY pos) = 1)"""
@@ -345,6 +361,22 @@ def ent06(d):
     return sector_page(d, "")
 
 
+@query("ent06c_sector_page_stored", f"""WITH {SECTOR_CODES_CTE}, {FILINGS}, cnt AS (SELECT num, count(*) AS n FROM growth GROUP BY num),
+hits AS (SELECT num, CASE WHEN num LIKE '%7' THEN NULL ELSE denomination END AS denomination, denomination AS gold_name, status FROM fx_target)
+SELECT t.num, coalesce(d.denomination, t.denomination, 'gold ' || t.gold_name) AS denomination, t.status, coalesce(cnt.n, 0) AS nb_exercices, coalesce(hit.codes, '') AS nace_codes, (SELECT count(*) FROM hits) AS total
+FROM (SELECT * FROM hits ORDER BY num LIMIT 200 OFFSET 10) t LEFT JOIN cnt ON cnt.num = t.num LEFT JOIN hit ON hit.num = t.num LEFT JOIN {DISPLAY} d ON d.num = t.num AND t.num NOT LIKE '%77'""")
+def ent06c(d):
+    """The page with the codes stored with the targets; a name missing there and in the register comes from gold."""
+    def stored_targets():
+        name = F.when(~F.col("num").endswith("7"), F.col("denomination"))
+        return d.fx_target.join(entities.matched_codes(d.fx_activity), "num", "left").withColumn("denomination", name)
+
+    named = d.fx_denomination.where(~F.col("num").endswith("77"))
+    gold_names = d.fx_target.select("num", F.concat(F.lit("gold "), "denomination").alias("gold_name"))
+    out = serving.target_page(d.derived("coded_targets", stored_targets), d.fx_filing_line, named, skip=10, limit=200, gold_names=gold_names)
+    return out.select("num", "denomination", "status", "nb_exercices", F.coalesce(F.array_join("nace_codes", ","), F.lit("")).alias("nace_codes"), "total")
+
+
 @query("jn10_page_enrichment", ent06_sql("starts_with(num, '00000000')"))
 def jn10(d):
     return sector_page(d, "00000000")
@@ -389,9 +421,11 @@ def ent07(d):
 
 def profile_record(d):
     """The profile of every enterprise with its activities, officers and years as long tables."""
-    officers = extract.officers(extract.with_section(card_rows(d)))
+    items = card_items(d)
+    cards = extract.card_records(d.fx_card_page, html.rows_of(items), html.links_of(items))
     return entities.profile_record(
-        d.fx_enterprise, d.fx_activity, d.fx_code, officers, d.fx_denomination, fin.yearly_metrics(d.fx_filing_line, hotel_targets(d)))
+        d.fx_enterprise, d.fx_activity, d.fx_code, cards.children["fonctions"].withColumn("row_no", F.col("pos")), d.fx_denomination,
+        fin.yearly_metrics(d.fx_filing_line, hotel_targets(d)), cards)
 
 
 @query("ent07b_profile_activities", f"WITH {LABEL_CTE} SELECT num, nace_code, classification, nace_fr, nace_nl, classification_fr FROM ({DECODED.format(t='fx_activity')}) x WHERE num IN (SELECT num FROM fx_enterprise)")
@@ -413,6 +447,34 @@ def ent07d(d):
     return years.select("num", "pos", "year", F.round("ca", 2).alias("ca"), F.round("resultat_net", 2).alias("resultat_net"))
 
 
+@query("ent07e_profile_card", f"""SELECT {_num('c_custkey')} AS num, CAST(1 + c_custkey % 2 AS STRING) AS type_of_enterprise, {_dotted('c_custkey')} AS numero, NULL::VARCHAR AS email,
+CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING) || ' EUR' AS capital, 'http://consult.cbso.nbb.be/' || CAST(c_custkey AS STRING) AS nbb, CAST(c_custkey % 12 AS INT) AS nb_etablissements,
+CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE 1 END AS liens_entites, 2 AS dirigeants FROM customer""")
+def ent07e(d):
+    """The card's part of every profile: contact, financial data, links, and how many linked entities and officers."""
+    p = profile_record(d)
+    p = p._replace(children={n: p.children[n] for n in ("liens_entites", "dirigeants")})
+    return p.counts().select(
+        "num", "type_of_enterprise", "generalites.numero", "contact.email", "donnees_financieres.capital", "liens_externes.nbb", "nb_etablissements", "liens_entites", "dirigeants")
+
+
+@query("ent07f_profile_page", f"""WITH {FILINGS}, n AS {DISPLAY}, a AS (SELECT num, count(*) AS n FROM fx_activity GROUP BY num),
+y AS (SELECT num, count(*) AS n, max(year) AS last, list(ca ORDER BY year DESC)[1] AS ca FROM growth WHERE num IN (SELECT num FROM fx_target) GROUP BY num)
+SELECT e.num, e.status, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING) || ' EUR' AS capital, CAST(coalesce(a.n, 0) AS INT) AS activites, 2 AS dirigeants,
+coalesce(n.denomination, {_dotted('c.c_nationkey * 3')}) AS premier_dirigeant, CAST(coalesce(y.n, 0) AS INT) AS annees, y.last AS derniere_annee, round(y.ca, 2) AS ca,
+CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE {_num('c.c_nationkey')} END AS lien FROM (SELECT * FROM fx_enterprise ORDER BY num LIMIT 20 OFFSET 5) e JOIN customer c ON {_num('c.c_custkey')} = e.num
+LEFT JOIN a ON a.num = e.num LEFT JOIN y ON y.num = e.num LEFT JOIN n ON n.num = {_num('c.c_nationkey * 3')}""")
+def ent07f(d):
+    """Whole profiles of one page of enterprises, with their lists in order."""
+    keys = [r["num"] for r in paging.page(d.fx_enterprise.select("num"), skip=5, limit=20).collect()]
+    shown = profile_record(d).nested(keys)
+    last = F.try_element_at("annees", F.lit(-1))
+    return shown.select(
+        "num", "status", "donnees_financieres.capital", F.size("activites").alias("activites"), F.size("dirigeants").alias("dirigeants"),
+        F.get("dirigeants", F.lit(0))["nom"].alias("premier_dirigeant"), F.size("annees").alias("annees"), last["year"].alias("derniere_annee"), F.round(last["ca"], 2).alias("ca"),
+        F.get("liens_entites", F.lit(0))["bce"].alias("lien"))
+
+
 @query("ent08_progress", """SELECT 'cibles' AS metric, count(*)::DOUBLE AS value FROM fx_target UNION ALL SELECT 'done', count(*) FROM fx_target WHERE status = 'done'
 UNION ALL SELECT 'pending', count(*) FROM fx_target WHERE status = 'pending' UNION ALL SELECT 'error', count(*) FROM fx_target WHERE status = 'error'
 UNION ALL SELECT 'pct', round(100.0 * count(*) FILTER (status IN ('done', 'error')) / count(*), 1) FROM fx_target

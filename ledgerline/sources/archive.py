@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import line_code, line_value, path_enterprise, path_reference
@@ -22,15 +22,22 @@ def text_lines(spark: SparkSession, glob: str) -> DataFrame:
 def filing_lines(lines: DataFrame) -> DataFrame:
     """Code and value of each line; enterprise and reference come from the path ``../{num}/hbb/{ref}.csv``.
 
-    A filing is far smaller than a scan block, so the row number of its task is its line order.
+    Lines keep their order in the file where they carry a position (``text_lines``), also when a scan splits the file.
     """
+    pos = place_in_file(F.col("pos")) if "pos" in lines.columns else F.monotonically_increasing_id()
     parsed = lines.select(
         path_enterprise(F.col("path")).alias("num"), path_reference(F.col("path")).alias("reference"),
-        line_code(F.col("value")).alias("code"), line_value(F.col("value")).alias("val"), F.monotonically_increasing_id().alias("pos"),
+        line_code(F.col("value")).alias("code"), line_value(F.col("value")).alias("val"), pos.alias("pos"),
     )
     return parsed.where(F.col("code") != "")
 
 
+def place_in_file(pos: Column) -> Column:
+    """Line position as one number of fixed width: split of the file, then row of its task."""
+    row = pos["row"].bitwiseAND(F.lit((1 << 33) - 1))  # the upper bits number the task
+    return pos["block"].cast("decimal(19,0)") * F.lit(1 << 33).cast("decimal(11,0)") + row
+
+
 def account_lines(accounts: DataFrame) -> DataFrame:
     """Lines of the filing texts stored with the accounts, under the path each has in the archive."""
     path = F.concat(F.lit("/"), "num", F.lit("/hbb/"), "reference", F.lit(".csv"))

@@ -84,3 +84,26 @@ def test_first_filled(spark, tmp_path):
     broken = lambda: spark.read.parquet(str(tmp_path / "none"))
     assert archive.first_filled(broken, lambda: spark.range(0), lambda: spark.range(3)).count() == 3
     assert archive.first_filled(lambda: spark.range(2), broken).count() == 2
+
+
+def test_lines_keep_their_order_when_a_file_is_split(spark, tmp_path):
+    """A filing of many scan splits: the last line of a code wins, and positions rise with the lines."""
+    folder = tmp_path / "0400000001" / "hbb"
+    folder.mkdir(parents=True)
+    rows = [f'"{i % 5}","{i}"' for i in range(5000)]
+    (folder / "2020-1.csv").write_text("\n".join(rows) + "\n")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k, v in zip(old, ("4096", "1"), strict=True):
+            spark.conf.set(k, v)
+        read = archive.text_lines(spark, str(folder / "*.csv"))
+        assert read.rdd.getNumPartitions() > 4
+        lines = archive.filing_lines(read)
+        got = [r["val"] for r in lines.orderBy("pos").collect()]
+        last = {r["code"]: r["val"] for r in fin.last_code_values(lines).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == [str(i) for i in range(5000)]
+    assert last == {str(k): str(4995 + k) for k in range(5)}
+    assert lines.schema["pos"].dataType.typeName() == "decimal"  # of fixed width: no sort for the last line of a code
