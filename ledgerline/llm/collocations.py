@@ -244,8 +244,9 @@ def _phrases(block: Block, first: np.ndarray, n: np.ndarray) -> list[bytes]:
 def collocations(docs: DataFrame, least: int = 10, top: int = 2000, text_col: str = "text", lang_col: str = "lang", bucket_prints: int = BUCKET_PRINTS) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the ``top`` phrases of two or three words of each language.
 
-    A null language is ``und``; null and empty texts have no words; repeated rows count as often as they come; an empty table
-    gives an empty result; other columns are ignored. Ties of the score go to the larger ``a``, then to the smaller phrase.
+    A null language is ``und``; null and empty texts have no words; repeated rows count as often as they come; texts of any
+    length are read whole (a block holds the longest one at least); an empty table gives an empty result; other columns are
+    ignored, whatever their names. Of equal cuts the one after fewer words counts. Ties of the score go to the larger ``a``, then to the smaller phrase.
     """
     phrases, totals = frequent_phrases(docs, least, text_col, lang_col, bucket_prints)
     words = F.split("phrase", " ")

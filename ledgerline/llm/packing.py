@@ -311,7 +311,8 @@ def pack_documents(docs: DataFrame, spec: str, end_id: int = 1, capacity: int =
     """One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
 
     ``spec`` is the text of a tokenizer file. A null or empty text is the end token alone. Rows that repeat an id, or have
-    none, are documents like any other. Only documents longer than ``capacity`` are cut. An empty table gives an empty
-    result; other columns are ignored.
+    none, are documents like any other. Only documents longer than ``capacity`` are cut, into pieces that are full but the
+    last. Pieces of equal length are told apart by their number, so a rerun over the same files packs them alike. An empty
+    table gives an empty result; other columns are ignored, whatever their names.
     """
     return pack(pieces(docs, spec, end_id, capacity, id_col, text_col), capacity, group)

@@ -280,7 +280,8 @@ def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     A word's form is the most frequent word one edit away (ties: the smallest), if it is at least twice as frequent. Null and
     empty texts have no words, an empty table gives an empty result; a null id counts as empty text in the hash; rows that
-    repeat an id count as they come; other columns are ignored.
+    repeat an id count as they come; texts and runs of any length are read whole; other columns are ignored, whatever their
+    names.
     """
     words = stored(count_words(docs, id_col, text_col), "words")
     near = near_words(words, trie_words)
