@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.session import drop_intermediates
 from ledgerline.sources.landing import Landed, bucket_number, land, source_bytes
 
 TABLES = (
@@ -269,6 +270,14 @@ def landed(spark: SparkSession, sf: str, name: str, make: Callable[[], DataFrame
     return _LANDED[app, sf, name]
 
 
+def forget(spark: SparkSession) -> None:
+    """Drop the landed tables and all other intermediates of this application; later queries land anew."""
+    app = spark.sparkContext.applicationId
+    for key in [k for k in _LANDED if k[0] == app]:
+        spark.sql(f"DROP TABLE IF EXISTS {_LANDED.pop(key).name}")
+    drop_intermediates(spark)
+
+
 def with_views(sql: str) -> str:
     """Checking SQL with the views it mentions put in front as CTEs."""
     names = [v for v in VIEWS if re.search(rf"\b{v}\b", sql)]

@@ -11,6 +11,7 @@ from ledgerline.plans import entities
 from ledgerline.plans import finance as fin
 from ledgerline.registry.book import query
 from ledgerline.registry.sqltext import FILINGS
+from ledgerline.session import new_folder
 
 
 def inlist(values):
@@ -652,6 +653,15 @@ def srt02(d):
     return paging.with_total(paging.page(t, skip=20, limit=50), t)
 
 
+@query("srt02b_seek_page", """SELECT id, num, reference FROM (SELECT *, row_number() OVER (ORDER BY id) AS place, count(*) OVER () AS n FROM fx_deposit)
+WHERE place > n * 2 // 3 AND place <= n * 2 // 3 + 50""")
+def srt02b(d):
+    """A page deep inside all deposits, found by the number of rows in each key range."""
+    table = paging.in_order(d.fx_deposit.select("id", "num", "reference"), "id", new_folder(d.spark, "ordered"), 16)
+    total = table.ranges.agg(F.sum("rows")).first()[0]
+    return paging.seek(table, skip=total * 2 // 3, limit=50)
+
+
 @query("srt04_deposit_order", "SELECT id, num, period_year, deposit_date FROM fx_deposit ORDER BY period_year DESC, deposit_date DESC, id")
 def srt04(d):
     return d.fx_deposit.select("id", "num", "period_year", "deposit_date").orderBy(F.desc("period_year"), F.desc("deposit_date"), "id")

@@ -35,9 +35,23 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Folder of everything that this application writes for itself."""
+    return f"{shared_dir(spark)}/ledgerline/{spark.sparkContext.applicationId}"
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the shared directory, never reused."""
-    return f"{shared_dir(spark)}/ledgerline/{purpose}-{uuid.uuid4().hex}"
+    """A fresh folder under that of the run, never reused."""
+    return f"{run_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def drop_intermediates(spark: SparkSession) -> bool:
+    """Delete what this application wrote for itself, once its results are stored elsewhere or read; other runs keep theirs.
+
+    Results that are not read yet depend on these files. Returns whether there was anything.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:

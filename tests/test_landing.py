@@ -91,3 +91,24 @@ def test_settings_are_restored(spark):
             assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "1234"
             raise RuntimeError
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == before
+
+
+def test_intermediates_of_a_run_can_be_dropped(spark, sf):
+    import os
+
+    from ledgerline.registry import inputs
+    from ledgerline.session import run_folder, stored
+
+    d = Data(spark, sf)
+    rows, other = d.fx_branch.count(), stored(d.region, "other")
+    assert other.count() == 5
+    folder = run_folder(spark).removeprefix("file:").replace("//", "/")
+    beside = os.path.join(os.path.dirname(folder), "another-run")
+    os.makedirs(beside, exist_ok=True)
+    assert os.path.isdir(folder)
+    inputs.forget(spark)
+    assert not os.path.isdir(folder) and os.path.isdir(beside)
+    os.rmdir(beside)
+    assert not any(k[0] == spark.sparkContext.applicationId for k in inputs._LANDED)
+    assert Data(spark, sf).fx_branch.count() == rows  # landed anew
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("landed_fx_") and "fx_branch" not in t.name]
