@@ -11,8 +11,10 @@ from ledgerline.llm.common import WHITE, WORD, narrow, whole, words
 MAX_LOST = 0.5
 WINDOW = 5
 
-#: Characters that may end a line of some length.
-ENDS = ".!?:;,…\"'”»)]"
+#: What may end a line of some length: closing or terminal punctuation of any script, by its Unicode class ..
+ENDS = r"[\p{Pe}\p{Pf}\p{Pi}\p{Po}]\z"
+#: .. but for these, which are of the same class and end nothing.
+NO_ENDS = "#%&*@/\\"
 #: Symbols or doubled marks on words.
 MARKED = r"[#*$%&<>]{2,}|!{2,}|[?]{2,}"
 #: A line without any of these has neither marks nor separators.
@@ -26,7 +28,7 @@ BOILERPLATE = r"(?i)(?:enable javascript|javascript is (?:disabled|required)|(?:
 def line_fails(line: Column, n: Column) -> Column:
     """True for a line of ``n`` words that breaks the punctuation, navigation or boilerplate rule."""
     last = F.substring(F.rtrim(line, F.lit(WHITE)), -1, 1)
-    no_end = (n >= 12) & ~F.lit(ENDS).contains(last)
+    no_end = (n >= 12) & (~last.rlike(ENDS) | F.lit(NO_ENDS).contains(last))
     odd = line.rlike(ODD)
     marked = odd & (F.regexp_count(line, F.lit(MARKED)) * 10 > n * 3)
     navigation = (odd & (F.regexp_count(line, F.lit(SEPARATOR)) * 5 > n)) | ((n <= 4) & line.rlike(MENU))
@@ -84,17 +86,25 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max
     """One row per input row: ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_bad_lines,
     lost_words, clean_text, base_failed, kept``.
 
-    Null and empty texts have no words and fail. Windows of five words are compared by 64-bit hashes within a document.
+    clean_text holds the lines that pass, joined by newlines. Null and empty texts have no words and fail, and their clean_text
+    is empty. Windows of five words are compared by 64-bit hashes within a document. The punctuation rule knows every script's
+    closing marks; the navigation and boilerplate lists are English, so such lines of other languages pass them.
     Rows with the same id are judged each on its own; other columns of ``docs`` are ignored.
     """
     return _judged(narrow(docs, doc_id=id_col, text=text_col), ["doc_id"], max_lost)
 
 
-def keep_good(docs: DataFrame, text_col: str = "text", max_lost: float = MAX_LOST) -> DataFrame:
-    """The rows of ``docs`` that pass, all columns unchanged. The row is carried along, so nothing is shuffled.
+def keep_good(docs: DataFrame, text_col: str = "text", max_lost: float = MAX_LOST, length_col: str = "n_chars") -> DataFrame:
+    """The rows of ``docs`` that pass, without their failing lines; a text without such lines is unchanged.
 
-    The row number keeps the optimiser from evaluating the verdict a second time inside the filter.
+    ``length_col``, where ``docs`` has it, follows a changed text; all other columns are unchanged, whatever their names. A
+    row that passes loses at most ``max_lost`` of its words, so some are left. The row is carried along as one struct, so
+    nothing is shuffled; its number keeps the optimiser from evaluating the verdict a second time inside the filter.
     """
-    rows = docs.select(docs[text_col].alias("text"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    judged = _judged(rows, ["row"], max_lost).select("row", "kept", F.monotonically_increasing_id().alias("at"))
-    return judged.where("kept AND at >= 0").select("row.*")
+    others = [docs[c] for c in docs.columns if c != text_col]
+    rows = docs.select(docs[text_col].alias("text"), F.struct(*(others or [F.lit(0).alias("none")])).alias("row"))
+    judged = _judged(rows, ["row"], max_lost).select("row", "clean_text", "n_bad_lines", "kept", F.monotonically_increasing_id().alias("at"))
+    new = {c: F.col("row").getField(c) for c in docs.columns if c != text_col} | {text_col: F.col("clean_text")}
+    if length_col in new and length_col != text_col:
+        new[length_col] = F.when(F.col("n_bad_lines") > 0, F.length("clean_text").cast(docs.schema[length_col].dataType)).otherwise(new[length_col])
+    return judged.where("kept AND at >= 0").select(*[new[c].alias(c) for c in docs.columns])

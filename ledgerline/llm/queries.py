@@ -24,7 +24,8 @@ def op1_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     out = quality.quality(_table(spark, sf, "documents"))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_words")
+    measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_words", "n_bad_lines")
+    return out.select("doc_id", *measures, F.sha2("clean_text", 256).alias("clean_sha256"))
 
 
 def op3_line_dedup(spark: SparkSession, sf: str) -> DataFrame:

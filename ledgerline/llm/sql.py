@@ -21,7 +21,8 @@ def _count(text: str, pattern: str) -> str:
 
 def _line_fails(x: str) -> str:
     n = _count(x, WORD)
-    return f"""(({n} >= 12 AND NOT contains({_q(quality.ENDS)}, right(rtrim({x}, {_WHITE}), 1))) OR {_count(x, quality.MARKED)} * 10 > {n} * 3
+    last = f"right(rtrim({x}, {_WHITE}), 1)"
+    return f"""(({n} >= 12 AND (NOT regexp_matches({last}, {_q(quality.ENDS)}) OR contains({_q(quality.NO_ENDS)}, {last}))) OR {_count(x, quality.MARKED)} * 10 > {n} * 3
         OR {_count(x, quality.SEPARATOR)} * 5 > {n} OR ({n} <= 4 AND regexp_matches({x}, {_q(quality.MENU)}))
         OR ({n} <= 40 AND regexp_matches({x}, {_q(quality.BOILERPLATE)})))"""
 
@@ -43,12 +44,13 @@ t AS (SELECT doc_id, i, gram IS NOT NULL AND count(*) OVER (PARTITION BY doc_id,
 c AS (SELECT doc_id, max(twice::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS covered FROM t),
 r AS (SELECT doc_id, sum(covered)::BIGINT AS n_repeat_words FROM c GROUP BY doc_id),
 m AS (
-  SELECT doc_id, len(words) AS n_words, len(array_to_string(words, '')) AS word_chars, {_count('text', '[#*$%&|<>]')} AS n_symbols,
+  SELECT doc_id, [x FOR x IN lines IF NOT {_line_fails('x')}] AS good, len(lines) AS n_lines, len(words) AS n_words, len(array_to_string(words, '')) AS word_chars, {_count('text', '[#*$%&|<>]')} AS n_symbols,
     len([x FOR x IN lines IF regexp_matches(x, {_q(WORD)})]) - len(list_distinct([x FOR x IN lines IF regexp_matches(x, {_q(WORD)})])) AS n_dup_lines,
     coalesce(list_sum([{_count('x', WORD)} FOR x IN lines IF {_line_fails('x')}]), 0)::BIGINT AS lost_words
   FROM d),
 b AS (SELECT m.*, coalesce(n_repeat_words, 0) AS n_repeat_words, n_words < 10 OR 100 * coalesce(n_repeat_words, 0) > 20 * n_words AS base_failed FROM m LEFT JOIN r USING (doc_id))
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND lost_words <= {quality.MAX_LOST} * n_words AS kept, lost_words FROM b"""
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND lost_words <= {quality.MAX_LOST} * n_words AS kept, lost_words,
+  n_lines - len(good) AS n_bad_lines, sha256(coalesce(array_to_string(good, chr(10)), '')) AS clean_sha256 FROM b"""
 
 ORACLES["op3_line_dedup"] = f"""
 WITH l AS (

@@ -40,6 +40,34 @@ def test_quality(docs):
     assert quality.quality(docs([])).collect() == []
 
 
+def test_quality_line_ends_of_other_scripts(docs):
+    """Lines of 15 words that end in their script's own mark pass; without any, or with a mark that ends nothing, they fail."""
+    hindi, arabic, german = "यह वाक्य " * 7 + "है", "هذه جملة " * 7 + "هنا", "das Wort " * 7 + "hier"
+    numbered = lambda t: " ".join(f"{w}{i}" for i, w in enumerate(t.split()))
+    good = [numbered(hindi) + "।", numbered(arabic) + "؟", numbered(german) + ".“", numbered(german) + "“", numbered(german) + "。", numbered(german) + "!)  "]
+    bad = [numbered(hindi), numbered(german), numbered(german) + "@", numbered(german) + "\\", numbered(german) + "-"]
+    got = by_id(quality.quality(docs(good + bad)))
+    assert [got[i].kept for i in range(len(good) + len(bad))] == [True] * len(good) + [False] * len(bad)
+
+
+def test_quality_removes_failing_lines(docs):
+    """A document that stays loses its failing lines and nothing else; its length follows. Rows may repeat, ids may be null."""
+    body = "\n".join(" ".join(f"w{i}x{j}" for j in range(14)) + "." for i in range(3))
+    dirty = f"Home\n{body}\n\n  All rights reserved.\nthe end"
+    clean = f"{body}\n\nthe end"
+    items = [(1, dirty), (1, dirty), (None, dirty), (2, body), (3, "Home\nLogin\n" + "word " * 3), (4, None), (5, "")]
+    got = by_id(quality.quality(clash(docs(items))))
+    assert (got[1].clean_text, got[1].n_bad_lines, got[1].lost_words) == (clean, 2, 4) and got[2].clean_text == body and got[4].clean_text == ""
+    own = ("clean_text", "n_bad_lines", "at", "lines", "marks", "n", "lost_words")
+    df = clash(docs(items)).withColumns({c: F.lit("own") for c in own})
+    kept = quality.keep_good(df)
+    assert kept.columns == df.columns and all(r[c] == "own" for r in kept.collect() for c in own)
+    assert sorted(((str(r.doc_id), r.text, r.n_chars) for r in kept.collect())) == sorted(
+        [(i, clean, len(clean)) for i in ("1", "1", "None")] + [("2", body, len(body))])
+    assert quality.keep_good(docs([])).collect() == []
+    assert [r.text for r in quality.keep_good(docs(items).select("text")).collect()].count(clean) == 3
+
+
 def test_line_dedup(docs):
     line = "A line that is long enough"
     texts = [f"{line}\none", f"  {line.upper()}\t\ntwo", f"{line}\n{line}\nthree", None, "", "short\nshort", (2, "other text of the same id"), (None, line)]

@@ -67,6 +67,14 @@ def test_quality_stage(spark, docs, items):
     assert kept == want and len(kept) >= 90
 
 
+def test_quality_stage_takes_failing_lines_out(spark, docs, items):
+    """Menu and boilerplate lines go from the documents that stay; lines beside them, and documents without any, are as before."""
+    junk = ["Home", "All rights reserved.", "News | Sport | Shop | Help"]
+    dirty = [(i, (f"{junk[i % 3]}\n{text}\n{junk[(i + 1) % 3]}" if i % 2 else text), *rest) for i, text, *rest in items if i < 90]
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.good_quality(spark, docs(dirty), "").collect()}
+    assert got == {i: (text, len(text)) for i, text, *_ in items if i < 90}
+
+
 def test_line_dedup_stage(spark, docs, items):
     keys = lambda t: [k if len(k) >= 20 else None for k in (ascii_lower(x.strip(SPACE)) for x in t.split("\n"))]
     holders = {}
