@@ -124,5 +124,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, all columns unchanged; rows without an id are left out of it only as copies."""
-    kept = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("__kept_id")), "left_semi")
+    kept = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("stays")).distinct()
+    rows = docs.select(docs[id_col].alias("id"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    return rows.join(kept, rows["id"].eqNullSafe(kept["stays"]), "left_semi").select("row.*")

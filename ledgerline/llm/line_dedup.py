@@ -42,22 +42,27 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A line's key is the line stripped of ASCII white space with A-Z lower-cased. Keys of ``min_chars`` code points or more
     that are in ``min_docs`` documents or more lose all their lines except in the largest id holding it. Null and empty
     texts are one empty line. An id is one document: rows that repeat it count once, and rows that share the largest id all
-    keep the line. A row without an id neither counts nor loses lines. Columns named like the new ones are replaced.
+    keep the line. A row without an id neither counts nor loses lines. Columns named like the new ones are replaced; all
+    other names are free, as columns are carried along in one struct.
     """
     extra = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "kept_text")]
+    others = [docs[c] for c in extra if c not in (id_col, text_col)]
     rows = narrow(docs, doc_id=id_col, text=text_col).withColumn("text", whole("text"))
     keyed = stored(keyed_lines(rows, min_chars).where("doc_id IS NOT NULL").select("doc_id", F.xxhash64("text").alias("row"), "keys"), "keys")
     frequent = stored(frequent_lines(keyed, min_docs), "lines")  # read back with its true size: small ones are broadcast
     places = keyed.select("doc_id", "row", F.posexplode_outer("keys").alias("pos", "key")).where("key IS NOT NULL")
     places = places.select("doc_id", "row", "pos", F.col("key.h1").alias("h1"), F.col("key.h2").alias("h2"))
     lost = places.join(frequent, ["h1", "h2"]).where(F.col("doc_id") != F.col("owner"))
-    lost = lost.groupBy(F.col("doc_id").alias("__id"), F.col("row").alias("__row")).agg(F.collect_set("pos").alias("__lost"))
-    whole_text = whole(docs[text_col])
-    same = (docs[id_col] == F.col("__id")) & (F.xxhash64(whole_text) == F.col("__row"))
-    out = docs.join(lost.hint("shuffle_hash"), same, "left").withColumn("__lines", F.when(F.col("__lost").isNotNull(), F.split(whole_text, "\n", -1)))
+    lost = lost.groupBy(F.col("doc_id").alias("of"), F.col("row").alias("hash")).agg(F.collect_set("pos").alias("lost"))
+    given = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), *([F.struct(*others).alias("row")] if others else []))
+    whole_text = whole("text")
+    same = (given["id"] == lost["of"]) & (F.xxhash64(whole(given["text"])) == lost["hash"])
+    out = given.join(lost.hint("shuffle_hash"), same, "left").withColumn("lines", F.when(F.col("lost").isNotNull(), F.split(whole_text, "\n", -1)))
     n = F.regexp_count(whole_text, F.lit("\n")) + 1
-    places_left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "__lost")
-    kept = F.when(F.col("__lost").isNull(), whole_text).otherwise(F.array_join(F.transform(places_left, lambda i: F.get("__lines", i)), "\n"))
-    return out.select(
-        *[docs[c] for c in extra], n.cast("long").alias("n_lines"),
-        F.coalesce(F.when(F.col("__lost").isNotNull(), F.size("__lost")), F.lit(0)).cast("long").alias("n_dropped"), kept.alias("kept_text"))
+    places_left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "lost")
+    kept = F.when(F.col("lost").isNull(), whole_text).otherwise(F.array_join(F.transform(places_left, lambda i: F.get("lines", i)), "\n"))
+    own = {id_col: F.col("id"), text_col: F.col("text")}
+    out = out.select(
+        *given.columns, n.cast("long").alias("n_lines"),
+        F.coalesce(F.when(F.col("lost").isNotNull(), F.size("lost")), F.lit(0)).cast("long").alias("n_dropped"), kept.alias("kept_text"))
+    return out.select(*[(own[c] if c in own else F.col("row").getField(c)).alias(c) for c in extra], "n_lines", "n_dropped", "kept_text")

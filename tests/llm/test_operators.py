@@ -79,6 +79,23 @@ def test_line_dedup(docs):
     assert got[3, None] == (1, 0, "") and got[None, line] == (1, 0, line)
 
 
+def test_line_dedup_and_keep_distinct_with_their_own_names(docs):
+    """Columns named like any helper are carried along unchanged, in place."""
+    line = "A line that is long enough"
+    items = [(i, f"{line}\n{i % 2}") for i in range(4)] + [(9, None), (None, line)]
+    names = ("__id", "__row", "__lost", "__lines", "id", "of", "hash", "lost", "lines", "row", "keys", "pos", "h1", "h2", "owner", "stays", "__kept_id", "sha")
+    df = docs(items).withColumns({c: F.lit(c) for c in names})
+    rows = line_dedup.line_dedup(df).collect()
+    assert len(rows) == 6 and all(r[c] == c for r in rows for c in names)
+    assert sorted((str(r.doc_id), r.n_dropped) for r in rows) == [("0", 1), ("1", 1), ("2", 1), ("3", 0), ("9", 0), ("None", 0)]
+    other = line_dedup.line_dedup(df.withColumnsRenamed({"doc_id": "k", "text": "body"}), id_col="k", text_col="body")
+    assert other.columns == [*["k", "body"], *df.columns[2:], "n_lines", "n_dropped", "kept_text"]
+    assert sorted((str(r.k), r.n_dropped) for r in other.collect()) == sorted((str(r.doc_id), r.n_dropped) for r in rows)
+    stay = exact_dedup.keep_distinct(df)
+    assert stay.columns == df.columns
+    assert sorted(str(r.doc_id) for r in stay.collect()) == ["2", "3", "9", "None"] and all(r[c] == c for r in stay.collect() for c in names)
+
+
 def test_line_dedup_counts_documents_not_rows(docs):
     """Rows 1, 1, 2 hold a line, and row 3 comes three times beside 4: two documents each, so nothing goes."""
     a, b = "A line that two documents hold", "Another line that two documents hold"

@@ -43,7 +43,8 @@ def items():
 
 
 def test_every_stage_keeps_the_columns(spark, docs, items):
-    clashing = ["id", "copies", "n_dropped", "kept_text", "row", "size", "fp", "kept", "words"]
+    clashing = ["id", "copies", "n_dropped", "kept_text", "row", "size", "fp", "kept", "words", "__id", "__copies", "__copy", "__row", "of", "lost",
+                "copy", "at", "lines", "clean_text", "n_bad_lines"]
     df = docs(items)
     for c in clashing:
         df = df.withColumn(c, F.lit("own"))
