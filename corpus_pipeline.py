@@ -12,7 +12,7 @@ from ledgerline.session import stored
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules, unchanged. The rules are evaluated beside the row, so nothing is shuffled."""
+    """Documents that pass the quality rules, without their failing lines; ``n_chars`` follows the text. Nothing is shuffled."""
     return quality.keep_good(docs)
 
 
@@ -47,11 +47,14 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it, none included."""
-    plan = mixing.mix(docs).where("copies > 0").select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("copies").alias("__copies")).distinct()
-    same = docs.doc_id.eqNullSafe(plan["__id"]) & docs.source.eqNullSafe(plan["__source"])
-    out = docs.join(plan.hint("shuffle_hash"), same)
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*[docs[c] for c in docs.columns])
+    """Each document as many times as the mix takes it, none included. The other columns are one struct, so they may have any names."""
+    plan = mixing.mix(docs).where("copies > 0").select(F.col("doc_id").alias("id"), F.col("source").alias("of"), "copies").distinct()
+    own = {"doc_id", "source"}
+    others = [docs[c] for c in docs.columns if c not in own]
+    rows = docs.select("doc_id", "source", F.struct(*others).alias("row"))
+    out = rows.join(plan.hint("shuffle_hash"), rows.doc_id.eqNullSafe(plan.id) & rows.source.eqNullSafe(plan.of))
+    out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    return out.select(*[(F.col(c) if c in own else F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
