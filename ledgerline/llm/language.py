@@ -22,6 +22,8 @@ PENALTY = 4.0
 #: Proportions count as settled when no others have a log-likelihood higher by more than this (in a text of over 10 million n-grams, by
 #: a thousand-millionth of their number). The penalty is always more.
 SETTLED = 0.01
+#: Rounds that settling takes at most, and halvings in a shift.
+MAX_STEPS, HALVINGS = 100, 50
 
 _NO_LETTER = re.compile(r"[\W\d_]+")
 
@@ -56,17 +58,33 @@ class Model:
 
     @staticmethod
     def settle(p: np.ndarray, weight: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, float]:
-        """Proportions and their log-likelihood after as many rounds of expectation and maximisation as it takes to settle.
+        """Proportions settled by expectation and maximisation, and their log-likelihood.
 
         The likelihood is concave, so no proportions exceed it by more than the largest slope less the number of n-grams.
+        Every round is followed by a shift, between the languages of the largest and the smallest slope, of the share that
+        raises the likelihood most, found by halving. So a few rounds settle two languages that are nearly alike, too, which
+        would take very many without. After ``MAX_STEPS`` the proportions reached are returned.
         """
         total = weight.sum()
-        while True:
+        for _ in range(MAX_STEPS):
             mixed = p @ share
             slope = (weight / mixed) @ p
             if slope.max() - total <= max(SETTLED, 1e-9 * total):
-                return share, float(weight @ np.log(mixed))
-            share = np.maximum(share * slope / total, 1e-300)
+                break
+            share = share * slope / total
+            mixed = p @ share
+            slope = (weight / mixed) @ p
+            up = int(slope.argmax())
+            down = int(np.where(share > 0, slope, np.inf).argmin())
+            along = p[:, up] - p[:, down]
+            low, high = 0.0, float(share[down])
+            for _ in range(HALVINGS):
+                middle = (low + high) / 2
+                low, high = (middle, high) if ((weight * along) / (mixed + middle * along)).sum() > 0 else (low, middle)
+            share[up] += low
+            share[down] = share[down] - low if high < share[down] else 0.0
+            share /= share.sum()
+        return share, float(weight @ np.log(p @ share))
 
     def mixture(self, found: np.ndarray, weight: np.ndarray, rounds: int = ROUNDS, penalty: float = PENALTY) -> tuple[list[int], np.ndarray]:
         """Languages of a text and their proportions, largest first.

@@ -265,6 +265,51 @@ def test_language_rare_one_is_learned_whole(docs):
     assert language.fit_sample(docs([(free[0], "the cat", "en")] * 200), rows=2).names == ["en"]
 
 
+def noisy_model(rng, noise, common=400, spread=3):
+    """Languages over shared buckets: the second one is the first with noise, the others have buckets of their own."""
+    counts = np.zeros((language.BUCKETS, spread))
+    for i in range(spread):
+        at = rng.permutation(language.BUCKETS)[:common]
+        counts[at, i] = rng.integers(2000, 9000, common)
+    counts[:, 1] = np.round(counts[:, 0] * (1 + noise * rng.standard_normal(language.BUCKETS)))
+    return language.Model([f"l{i}" for i in range(spread)], counts)
+
+
+def test_language_settles_in_few_steps_between_near_alike_languages():
+    """Profiles that differ by one hundredth: settled within the steps allowed, however many n-grams; no grid point is better."""
+    rng = np.random.default_rng(8)
+    model = noisy_model(rng, 0.01)
+    for total in (10**4, 10**6, 10**8):
+        weight = rng.poisson(model.prob @ np.array([0.7, 0.3, 0.0]) * total)
+        found = np.flatnonzero(weight)
+        p, n = model.prob[found], weight[found]
+        share, fit = language.Model.settle(p, n, np.full(3, 1 / 3))
+        assert abs(share.sum() - 1) < 1e-9 and ((n / (p @ share)) @ p).max() - n.sum() <= max(language.SETTLED, 1e-9 * n.sum())
+        assert all(n @ np.log(p @ np.array([1 - x, x, 0])) <= fit + max(language.SETTLED, 1e-9 * n.sum()) for x in np.linspace(0, 1, 201))
+
+
+def test_language_set_is_the_best_of_all_subsets():
+    """The chosen set has the penalised likelihood of the best of all sets of languages, each settled by plain rounds."""
+    rng = np.random.default_rng(11)
+    model = noisy_model(rng, 0.3, spread=4)
+
+    def plain(p, n):
+        share = np.full(p.shape[1], 1 / p.shape[1])
+        for _ in range(3000):
+            share = share * ((n / (p @ share)) @ p) / n.sum()
+        return n @ np.log(p @ share)
+
+    for total in (60, 500, 4000):
+        for mix in ([1, 0, 0, 0], [0.5, 0, 0.5, 0], [0, 0.8, 0, 0.2], [0.4, 0, 0.3, 0.3]):
+            weight = rng.poisson(model.prob @ np.array(mix) * total)
+            found = np.flatnonzero(weight)
+            p, n = model.prob[found], weight[found]
+            cost = language.PENALTY * 0.5 * np.log(n.sum() + 1)
+            worth = {s: plain(p[:, list(s)], n) - cost * (len(s) - 1) for k in range(1, 5) for s in combinations(range(4), k)}
+            which, part = model.mixture(found, n)
+            assert worth[tuple(sorted(which))] >= max(worth.values()) - 0.02 and abs(part.sum() - 1) < 1e-9
+
+
 def test_language_small_share_of_a_long_text():
     """One hundredth of a long text is admitted by the penalty, also behind a language that does not gain; a chance word is not."""
     rng = np.random.default_rng(5)
