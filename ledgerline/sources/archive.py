@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import os
+import re
+import uuid
+from collections.abc import Callable, Iterator
+from itertools import groupby
+from urllib.parse import urlsplit
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,12 +15,19 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import line_code, line_value, path_enterprise, path_reference
 from ledgerline.operators.scale import fits, lookup
+from ledgerline.sources.landing import settings
 from ledgerline.sources.register import line_position
 
 
+def few_listing_tasks(spark: SparkSession):
+    """Setting under which a folder of very many folders is listed by a few tasks per core, not by one for each folder."""
+    return settings(spark, spark__sql__sources__parallelPartitionDiscovery__parallelism=str(4 * spark.sparkContext.defaultParallelism))
+
+
 def text_lines(spark: SparkSession, glob: str) -> DataFrame:
     """Lines of many small files with their path and place."""
-    raw = spark.read.text(glob)
+    with few_listing_tasks(spark):
+        raw = spark.read.option("recursiveFileLookup", True).text(glob)  # folder names are read from the path, not as partitions
     return raw.select("value", F.col("_metadata.file_path").alias("path"), line_position().alias("pos"))
 
 
@@ -107,13 +119,55 @@ def export_counts(accounts: DataFrame) -> DataFrame:
     return accounts.agg(F.count_if(ok).alias("written"), F.count_if(~ok).alias("skipped"))
 
 
+#: Characters that Spark escapes in the folder name of a partition.
+_ESCAPED = r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]"""
+
+
 def export_accounts(accounts: DataFrame, target: str, only: DataFrame | None = None) -> None:
-    """One text file per (enterprise, reference)."""
+    """One text file per (enterprise, reference), in place of what is there.
+
+    In a mounted folder the tasks write the files themselves: Hadoop's local file system starts a process for the rights of
+    each folder, file and checksum. Other stores go through Spark's writer.
+    """
     kept = accounts.where(exportable(accounts))
     if only is not None:
         kept = lookup(kept, only.select("num"), ["num"], "left_semi")
     rows = kept.select(F.col("num").alias("enterprise"), "reference", F.col("raw_csv").alias("value"))
-    rows.write.mode("overwrite").partitionBy("enterprise", "reference").option("lineSep", "\n").text(target)
+    if urlsplit(target).scheme not in ("", "file"):
+        rows.write.mode("overwrite").partitionBy("enterprise", "reference").option("lineSep", "\n").text(target)
+        return
+    rows.select("value").limit(0).write.mode("overwrite").text(target)
+    dealt = rows.repartition("enterprise", "reference").sortWithinPartitions("enterprise", "reference", "value")
+    dealt.withColumn("value", F.col("value").cast("binary")).foreachPartition(_file_writer(re.sub("^file:(//[^/]*)?", "", target)))
+
+
+def _file_writer(folder: str) -> Callable[[Iterator], None]:
+    """Writes sorted rows as files named by their filing; a repeated task writes the same files again."""
+    special = re.compile(_ESCAPED)
+
+    def write(rows: Iterator) -> None:
+        for names, texts in groupby(rows, key=lambda r: (r["enterprise"], r["reference"])):
+            enterprise, reference = (special.sub(lambda m: f"%{ord(m[0]):02X}", n) for n in names)
+            path = os.path.join(folder, f"enterprise={enterprise}", f"reference={reference}")
+            os.makedirs(path, exist_ok=True)
+            unfinished = os.path.join(path, f".{uuid.uuid4().hex}")
+            with open(unfinished, "wb") as file:
+                for row in texts:
+                    file.write(bytes(row["value"]) + b"\n")
+            os.replace(unfinished, os.path.join(path, "part-00000.txt"))
+
+    return write
+
+
+def exported_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """``(num, reference, value)`` of the files that ``export_accounts`` wrote, each with its whole text."""
+    with few_listing_tasks(spark):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+
+    def name(part: str) -> Column:
+        return F.url_decode(F.replace(F.regexp_extract("path", f"/{part}=([^/]+)/[^/]+/?[^/]*$", 1), F.lit("+"), F.lit("%2B")))
+
+    return files.select(name("enterprise").alias("num"), name("reference").alias("reference"), F.col("content").cast("string").alias("value"))
 
 
 def archive_pages(pages: DataFrame) -> DataFrame:

@@ -107,3 +107,23 @@ def test_lines_keep_their_order_when_a_file_is_split(spark, tmp_path):
     assert got == [str(i) for i in range(5000)]
     assert last == {str(k): str(4995 + k) for k in range(5)}
     assert lines.schema["pos"].dataType.typeName() == "decimal"  # of fixed width: no sort for the last line of a code
+
+
+def test_export_keeps_odd_names_and_texts(spark, tmp_path):
+    """Names as they are after a round trip, rows of one filing in one file, an earlier export gone; no partition per file."""
+    rows = [("0001", "2020-1", "a,1\n"), ("0001", "a/b=c%2F d+é", "x\r\ny"), ("0 #2", "2020-1", "é"), ("0 #2", "2020-1", "é")]
+    odd = spark.createDataFrame(rows, "num string, reference string, raw_csv string")
+    folder = f"file://{tmp_path}/a b"
+    archive.export_accounts(odd.withColumn("reference", F.lit("old")), folder)
+    archive.export_accounts(odd.repartition(4), folder)
+    got = sorted((r["num"], r["reference"], r["value"]) for r in archive.exported_texts(spark, folder).collect())
+    assert got == [("0 #2", "2020-1", "é\né\n"), ("0001", "2020-1", "a,1\n\n"), ("0001", "a/b=c%2F d+é", "x\r\ny\n")]
+    assert sorted(r["value"] for r in spark.read.schema("value string, enterprise string, reference string").text(folder, wholetext=True).where("reference = 'a/b=c%2F d+é'").collect()) == ["x\r\ny\n"]
+    assert not list((tmp_path / "a b").glob("enterprise=*/reference=*/*.crc"))
+
+
+def test_no_file_of_an_export_is_a_partition(spark, tmp_path):
+    archive.export_accounts(spark.createDataFrame([("1", "r", "70,1")], "num string, reference string, raw_csv string"), str(tmp_path / "out"))
+    read = archive.text_lines(spark, str(tmp_path / "out"))
+    assert read.select("value").count() == 1 and "PartitionFilters: []" in read._jdf.queryExecution().executedPlan().toString()
+    assert "enterprise" not in read._jdf.queryExecution().analyzed().toString().split("LogicalRelation")[-1]
