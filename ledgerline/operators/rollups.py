@@ -89,3 +89,13 @@ def run_summary(outcomes: DataFrame, batch: int) -> DataFrame:
     return ranked.groupBy(lot.cast("long").alias("lot")).agg(
         F.count("*").alias("seen"), *[F.count_if(F.col("outcome") == o).alias(o) for o in ("processed", "skipped", "errors")]
     )
+
+
+def sum_of_squares(rows: DataFrame, column: str) -> DataFrame:
+    """``(n, total)`` of a whole-number column. The sum is exact: a BIGINT as long as one holds it, else a decimal of 38 digits."""
+    value = F.col(column).cast("decimal(19,0)")
+    sums = rows.agg(F.count("*").alias("n"), F.sum(value * value).alias("total"))
+    n, total = sums.first()
+    small = total is None or total < 1 << 63
+    one = rows.sparkSession.createDataFrame([(n, total)], "n long, total decimal(38,0)")
+    return one.withColumn("total", F.col("total").cast("long")) if small else one

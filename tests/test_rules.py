@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from ledgerline.operators import filters, merge, picks
+from ledgerline.operators import filters, merge, picks, rollups
 from ledgerline.plans import finance as fin
 
 
@@ -106,3 +106,11 @@ def test_both_csv_readers_agree_on_quotes(spark):
 def test_year_columns_take_all_years(spark):
     long = spark.createDataFrame([("1", "ca", "2001", 1.0), ("1", "ca", "?", 2.0)], "num string, indicator string, year string, value double")
     assert fin.year_columns(long).first().asDict() == {"num": "1", "indicator": "ca", "2001": 1.0, "?": 2.0}
+
+
+def test_sum_of_squares_is_exact_beyond_a_bigint(spark):
+    big = rollups.sum_of_squares(spark.createDataFrame([(4_000_000_000,), (3,), (None,)], "k long"), "k")
+    assert tuple(big.first()) == (3, 4_000_000_000**2 + 9)
+    small = rollups.sum_of_squares(spark.createDataFrame([(3,), (None,)], "k long"), "k")
+    assert tuple(small.first()) == (2, 9) and dict(small.dtypes) == {"n": "bigint", "total": "bigint"}
+    assert tuple(rollups.sum_of_squares(spark.createDataFrame([], "k long"), "k").first()) == (0, None)
