@@ -1,5 +1,7 @@
 """Markup that real pages contain: nesting, unclosed cells, entities, scripts."""
 
+import random
+
 from ledgerline.operators import extract, html
 
 MESSY = """<html><script>var t = "</td>";</script><table>
@@ -78,3 +80,36 @@ def test_rows_and_links_come_from_one_parse(spark):
     assert both.count() == html.page_rows(pages(spark)).count() + html.page_links(pages(spark)).count()
     empty = spark.createDataFrame([("1", 1, None), ("2", 1, "")], "num string, page long, html string")
     assert html.page_items(empty).collect() == []
+
+
+PIECES = [
+    "<td>", "</td>", "<tr>", "</tr>", "<table>", "</table>", '<a href="/x?a=1&amp;b=2">', "<a href=/c>", "<a href=c/>", """<a class='k' href='/b "q"'>""",
+    '<a href="x&copy=1">', "</a>", "<li>", "</p >", '</p class="x">', "<br/>", '<img src="a>b"/>', "text", "a & b", "&eacute;", "&amp", "<", "a < b", "<!-- c -->",
+    "<!--->", "<!-- a -- b -->", "<!DOCTYPE html>", "<?php x ?>", "<script>", "</script>", "</ script>", '<script src="a">var t="</p>";', "<title>", "</title>",
+    '<TD CLASS="I QL">', '<td class="a" class="b">', "<div>", "</div>", "<a href = 'y'>", '<a href="u', "'", ">", "<td/>", "\xa0", "</>",
+]
+
+
+class Parsed(html.Page):
+    """A page that is always left to HTMLParser."""
+
+    def _scan(self, text):
+        return False
+
+
+def outcome(page):
+    return [(e["tag"], e["attrs"], e["start"], e["end"]) for e in page.elements], page.texts, html._rows(page)
+
+
+def test_scan_of_plain_markup_gives_what_the_parser_gives():
+    rng = random.Random(3)
+    for _ in range(4000):
+        text = "".join(rng.choice(PIECES) for _ in range(rng.randrange(1, 14)))
+        assert outcome(html.Page(text)) == outcome(Parsed(text)), text
+
+
+def test_plain_pages_need_no_parser(monkeypatch):
+    calls = []
+    monkeypatch.setattr(html.Page, "feed", lambda self, text: calls.append(text))
+    page = html.Page('<!DOCTYPE html><title>a &amp; b</title><script>if (a < b) t="</p>";</script><!-- ad --><table><tr><td class="QL">G&eacute;rant<td>x</table><a href="/p?a=1&amp;b=2">l</a>')
+    assert not calls and html._rows(page) == [[("td", "QL", "Gérant"), ("td", "", "x")]] and page.elements[-1]["attrs"] == {"href": "/p?a=1&b=2"}
