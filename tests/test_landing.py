@@ -112,3 +112,18 @@ def test_intermediates_of_a_run_can_be_dropped(spark, sf):
     assert not any(k[0] == spark.sparkContext.applicationId for k in inputs._LANDED)
     assert Data(spark, sf).fx_branch.count() == rows  # landed anew
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("landed_fx_") and "fx_branch" not in t.name]
+
+
+def test_a_gigabyte_of_source_has_buckets_that_one_task_can_sort():
+    assert landing.bucket_number(1 << 30) >= 128 and landing.bucket_number(6 << 30) >= 768
+
+
+def test_a_global_sort_reads_the_view_without_landing_it(spark, sf):
+    text = plan(QUERIES["srt06_activity_order"](spark, sf))
+    assert "lineitem.parquet" in text and "Bucketed: true" not in text
+
+
+def test_bronze_rows_are_counted_by_key_in_hash_buffers(spark, sf):
+    import re
+
+    assert re.search(r"HashAggregate\(keys=\[name#\d+, file#\d+, num#\d+\]", plan(QUERIES["src02_bronze_load"](spark, sf)))
