@@ -1,9 +1,12 @@
 """Landed tables: file layout, co-partitioned plans, hot buckets."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.registry import QUERIES
+from ledgerline.operators import extract
+from ledgerline.registry import QUERIES, q_archive
 from ledgerline.registry.book import Data
 from ledgerline.sources import landing
 
@@ -127,3 +130,22 @@ def test_bronze_rows_are_counted_by_key_in_hash_buffers(spark, sf):
     import re
 
     assert re.search(r"HashAggregate\(keys=\[name#\d+, file#\d+, num#\d+\]", plan(QUERIES["src02_bronze_load"](spark, sf)))
+
+
+def test_cards_of_two_landed_tables_are_joined_and_come_once(spark, no_broadcast):
+    """Buckets that are read one table after the other must neither be joined as if they were one layout nor repeat a key."""
+    def table(name, keys):
+        rows = spark.createDataFrame([(k, 1, "<p>x</p>") for k in keys], "num string, page int, html string")
+        return landing.land(rows, name, "num", 8).read(spark)
+
+    d = SimpleNamespace(fx_card_page=table("cards", ["1", "2", None, "2"]), fx_web_page=table("web", ["w1", "2", None]))
+    labels = spark.createDataFrame([("1", "Statut", "Actif"), ("2", "Statut", "Clos"), ("4", "Statut", "Actif")], "num string, label string, val string")
+    labels = landing.land(labels, "labels", "num", 8).read(spark)
+    got = [(r["num"], r["statut"]) for r in extract.card_fields(labels, q_archive.card_pages(d)).collect()]
+    assert sorted(got, key=str) == [("1", "Actif"), ("2", "Clos"), ("w1", None), (None, None)]
+
+
+@pytest.mark.parametrize("name", ["htm02_card_fields"])
+def test_card_records_run_without_broadcast(spark, sf, no_broadcast, name):
+    cards = spark.read.parquet(f"{sf}/customer.parquet").count() + spark.read.parquet(f"{sf}/pages.parquet").count()
+    assert len(QUERIES[name](spark, sf).collect()) == cards
