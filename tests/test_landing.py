@@ -145,7 +145,7 @@ def test_cards_of_two_landed_tables_are_joined_and_come_once(spark, no_broadcast
     assert sorted(got, key=str) == [("1", "Actif"), ("2", "Clos"), ("w1", None), (None, None)]
 
 
-@pytest.mark.parametrize("name", ["htm02_card_fields"])
+@pytest.mark.parametrize("name", ["htm02_card_fields", "htm14_page_record"])
 def test_card_records_run_without_broadcast(spark, sf, no_broadcast, name):
     cards = spark.read.parquet(f"{sf}/customer.parquet").count() + spark.read.parquet(f"{sf}/pages.parquet").count()
     assert len(QUERIES[name](spark, sf).collect()) == cards
