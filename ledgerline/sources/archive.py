@@ -6,9 +6,11 @@ import os
 import re
 import uuid
 from collections.abc import Callable, Iterator
-from itertools import groupby
-from urllib.parse import urlsplit
+from itertools import groupby, islice
+from urllib.parse import quote, urlsplit
+from zlib import crc32
 
+import pyarrow as pa
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,6 +123,8 @@ def export_counts(accounts: DataFrame) -> DataFrame:
 
 #: Characters that Spark escapes in the folder name of a partition.
 _ESCAPED = r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]"""
+#: Characters of a path that its URI has as escapes.
+_QUOTED = r"""[\x00-\x20"#%<>?\[\\\]^`{|}\x7f-\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"""
 
 
 def export_accounts(accounts: DataFrame, target: str, only: DataFrame | None = None) -> None:
@@ -133,12 +137,17 @@ def export_accounts(accounts: DataFrame, target: str, only: DataFrame | None = N
     if only is not None:
         kept = lookup(kept, only.select("num"), ["num"], "left_semi")
     rows = kept.select(F.col("num").alias("enterprise"), "reference", F.col("raw_csv").alias("value"))
-    if urlsplit(target).scheme not in ("", "file"):
+    if not (folder := _mounted(target)):
         rows.write.mode("overwrite").partitionBy("enterprise", "reference").option("lineSep", "\n").text(target)
         return
     rows.select("value").limit(0).write.mode("overwrite").text(target)
     dealt = rows.repartition("enterprise", "reference").sortWithinPartitions("enterprise", "reference", "value")
-    dealt.withColumn("value", F.col("value").cast("binary")).foreachPartition(_file_writer(re.sub("^file:(//[^/]*)?", "", target)))
+    dealt.withColumn("value", F.col("value").cast("binary")).foreachPartition(_file_writer(folder))
+
+
+def _mounted(folder: str) -> str | None:
+    """Path of a folder that the tasks can open themselves, None in other stores."""
+    return re.sub("^file:(//[^/]*)?", "", folder) if urlsplit(folder).scheme in ("", "file") else None
 
 
 def _file_writer(folder: str) -> Callable[[Iterator], None]:
@@ -159,6 +168,74 @@ def _file_writer(folder: str) -> Callable[[Iterator], None]:
     return write
 
 
+def exported_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``(path, uri, content)`` of the files that ``export_accounts`` wrote, without empty ones.
+
+    In a mounted folder the tasks list and read them: Spark's index of files holds every one on the driver. The names are dealt
+    anew before the reading, so that the files of one large enterprise are read by many tasks. Other stores go through that index.
+    """
+    path = _mounted(folder)
+    if not path:
+        with few_listing_tasks(spark):
+            return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", F.col("_metadata.file_path").alias("uri"), "content")
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    names = spark.range(0, tasks, 1, tasks).mapInArrow(_file_lister(path, tasks), "name binary")
+    return names.repartition(tasks, "name").mapInArrow(_file_reader(), "path string, uri string, content binary")
+
+
+def _file_lister(folder: str, tasks: int, most: int = 10_000) -> Callable[[Iterator], Iterator]:
+    """Names of the files that Spark would list; each task goes through its share of what lies in the folder."""
+
+    def shown(name: bytes) -> bool:
+        return not (name.startswith(b".") or (name.startswith(b"_") and b"=" not in name) or name.endswith(b"._COPYING_"))
+
+    def below(entries: Iterator) -> Iterator[bytes]:
+        for entry in entries:
+            if not shown(entry.name):
+                continue
+            if entry.is_dir():
+                with os.scandir(entry.path) as inside:
+                    yield from below(inside)
+            else:
+                yield entry.path
+
+    def listed(batches: Iterator) -> Iterator:
+        for task in (k for batch in batches for k in batch.column(0).to_pylist()):
+            with os.scandir(folder.encode()) as inside:
+                found = below(x for x in inside if crc32(x.name) % tasks == task)
+                while names := list(islice(found, most)):
+                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary())], ["name"])
+
+    return listed
+
+
+def _file_reader(most: int = 1_000, most_bytes: int = 4 << 20) -> Callable[[Iterator], Iterator]:
+    """Paths, as they are and as Spark's ``file_path`` has them, and contents of the named files, a bounded number at a time."""
+    quoted = re.compile(_QUOTED)
+
+    def batch(paths: list[str], texts: list[bytes]) -> pa.RecordBatch:
+        uris = [quoted.sub(lambda m: quote(m[0], safe=""), p) for p in paths]
+        return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(uris, pa.string()), pa.array(texts, pa.binary())], ["path", "uri", "content"])
+
+    def read(batches: Iterator) -> Iterator:
+        paths, texts, size = [], [], 0
+        for name in (x for batch in batches for x in batch.column(0).to_pylist()):
+            with open(name, "rb") as file:
+                text = file.read()
+            if not text:
+                continue
+            paths.append("file:" + name.decode("utf-8", "replace"))
+            texts.append(text)
+            size += len(text)
+            if len(paths) == most or size >= most_bytes:
+                yield batch(paths, texts)
+                paths, texts, size = [], [], 0
+        if paths:
+            yield batch(paths, texts)
+
+    return read
+
+
 def exported_texts(spark: SparkSession, folder: str) -> DataFrame:
     """``(num, reference, value)`` of the files that ``export_accounts`` wrote, each with its whole text."""
     with few_listing_tasks(spark):
@@ -170,6 +247,19 @@ def exported_texts(spark: SparkSession, folder: str) -> DataFrame:
     return files.select(name("enterprise").alias("num"), name("reference").alias("reference"), F.col("content").cast("string").alias("value"))
 
 
+def exported_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of the files that ``export_accounts`` wrote with their path and place, as ``text_lines`` has them."""
+    if not _mounted(folder):
+        return text_lines(spark, folder)
+    text = F.col("content").cast("string")
+    whole = F.when(text.startswith("\ufeff"), F.substr(text, F.lit(2))).otherwise(text)
+    split = exported_files(spark, folder).select(F.col("uri").alias("path"), F.split(whole, "\r\n|\r|\n").alias("lines"))
+    ended = F.when(F.element_at("lines", -1) == "", F.slice("lines", F.lit(1), F.size("lines") - 1)).otherwise(F.col("lines"))
+    lines = split.select("path", F.posexplode(ended).alias("row", "value"))
+    place = F.struct(F.col("path").alias("file"), F.lit(0).cast("long").alias("block"), F.col("row").cast("long").alias("row"))
+    return lines.select("value", "path", place.alias("pos"))
+
+
 def archive_pages(pages: DataFrame) -> DataFrame:
     """Archive rows ``(num, page, html, scraped_at)``; the last page scraped under a key stays."""
     return pages.select("num", "page", "html", F.current_timestamp().alias("scraped_at"))

@@ -1,11 +1,14 @@
 """File sources and sinks, in fresh folders."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.constants import REGISTER_FILES
 from ledgerline.operators import rollups
 from ledgerline.plans import finance as fin
+from ledgerline.registry import q_archive
 from ledgerline.registry.inputs import view
 from ledgerline.sources import archive, register
 
@@ -127,3 +130,43 @@ def test_no_file_of_an_export_is_a_partition(spark, tmp_path):
     read = archive.text_lines(spark, str(tmp_path / "out"))
     assert read.select("value").count() == 1 and "PartitionFilters: []" in read._jdf.queryExecution().executedPlan().toString()
     assert "enterprise" not in read._jdf.queryExecution().analyzed().toString().split("LogicalRelation")[-1]
+
+
+ODD_FILINGS = [
+    ("0001", "2020-1", "a,1\nb,2\na,3\n"), ("0001", "a/b=c%2F d+é", "x,1\r\ny,2"), ("0 #2", "<|>~`\u00a0$", "é,1"), ("0 #2", "<|>~`\u00a0$", "é,1"),
+    ("a:b?*", "r{1}[2]^\"'", "\ufeffk,v\r\rk,w\n\n"), ("_h", ".x", "  \n"), ("0003", "2020-1", "a,9\n")]
+
+
+def two_tables(spark):
+    """Filings of some targets, and one of an enterprise that is none."""
+    targets = [(n, "done" if n == "0003" else None) for n in sorted({r[0] for r in ODD_FILINGS})]
+    return SimpleNamespace(
+        spark=spark, fx_account=spark.createDataFrame(ODD_FILINGS, "num string, reference string, raw_csv string"),
+        fx_target=spark.createDataFrame(targets, "num string, status string"))
+
+
+def test_lines_of_an_export_are_those_of_its_files(spark, tmp_path):
+    """Line ends, marks and names as Spark reads them, hidden and empty files left out; lines of a file in order."""
+    archive.export_accounts(two_tables(spark).fx_account, str(tmp_path / "a b"))
+    for name, text in (("_hidden", b"h,1\n"), (".tmp/f", b"h,1\n"), ("_temporary/f", b"h,1\n"), ("enterprise=9/reference=e/f.txt", b""), ("enterprise=9/reference=bad/f.txt", b"\xff,1\n\n\xc3")):
+        file = tmp_path / "a b" / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_bytes(text)
+    read = [lines.select("path", "value", "pos.block", "pos.row").collect() for lines in (archive.text_lines(spark, str(tmp_path / "a b")), archive.exported_lines(spark, str(tmp_path / "a b")))]
+    want, got = ([(p, v) for p, _, _, v in sorted((r["path"], r["block"], r["row"], r["value"]) for r in rows)] for rows in read)
+    assert got == want and len(got) == 20
+
+
+def test_filings_read_back_are_not_listed_on_the_driver(spark):
+    got = q_archive.src06b(two_tables(spark))
+    assert not got.inputFiles()
+    rows = {(r["num"], r["reference"], r["code"]): r["val"] for r in got.collect()}
+    assert {k[2]: v for k, v in rows.items() if k[:2] == ("0001", "2020-1")} == {"a": "3", "b": "2"}
+    assert len(rows) == 6 and "0003" not in {k[0] for k in rows}
+
+
+def test_files_of_one_large_enterprise_are_read_by_many_tasks(spark, tmp_path):
+    rows = [("1", str(i), "a,1") for i in range(300)]
+    archive.export_accounts(spark.createDataFrame(rows, "num string, reference string, raw_csv string"), str(tmp_path / "out"))
+    files = archive.exported_files(spark, str(tmp_path / "out"))
+    assert files.count() == 300 and files.select(F.spark_partition_id()).distinct().count() > 8
