@@ -238,13 +238,12 @@ def _file_reader(most: int = 1_000, most_bytes: int = 4 << 20) -> Callable[[Iter
 
 def exported_texts(spark: SparkSession, folder: str) -> DataFrame:
     """``(num, reference, value)`` of the files that ``export_accounts`` wrote, each with its whole text."""
-    with few_listing_tasks(spark):
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
 
     def name(part: str) -> Column:
         return F.url_decode(F.replace(F.regexp_extract("path", f"/{part}=([^/]+)/[^/]+/?[^/]*$", 1), F.lit("+"), F.lit("%2B")))
 
-    return files.select(name("enterprise").alias("num"), name("reference").alias("reference"), F.col("content").cast("string").alias("value"))
+    return exported_files(spark, folder).select(
+        name("enterprise").alias("num"), name("reference").alias("reference"), F.col("content").cast("string").alias("value"))
 
 
 def exported_lines(spark: SparkSession, folder: str) -> DataFrame:

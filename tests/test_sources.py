@@ -165,6 +165,15 @@ def test_filings_read_back_are_not_listed_on_the_driver(spark):
     assert len(rows) == 6 and "0003" not in {k[0] for k in rows}
 
 
+def test_files_of_an_export_are_not_listed_on_the_driver(spark):
+    from hashlib import md5
+
+    got = q_archive.src15b(two_tables(spark))
+    assert not got.inputFiles()
+    texts = {(n, r): "".join(t + "\n" for m, q, t in ODD_FILINGS if (m, q) == (n, r)) for n, r, _ in ODD_FILINGS if n != "0003"}
+    assert {(r["num"], r["reference"]): r["digest"] for r in got.collect()} == {k: md5(t.encode()).hexdigest() for k, t in texts.items()}
+
+
 def test_files_of_one_large_enterprise_are_read_by_many_tasks(spark, tmp_path):
     rows = [("1", str(i), "a,1") for i in range(300)]
     archive.export_accounts(spark.createDataFrame(rows, "num string, reference string, raw_csv string"), str(tmp_path / "out"))
